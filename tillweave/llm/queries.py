@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import chat, fingerprints, line_dedup, mixing
+from tillweave.llm import chat, fingerprints, line_crf, line_dedup, mixing, packing, quality_rules, warc
 from tillweave.llm.shared import sha256, text_of
 
 
@@ -18,6 +18,23 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256(text_of()).alias("kept_sha256"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
@@ -44,11 +61,22 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
 
+def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = line_crf.scores(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= line_crf.ACCEPT).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_warc": op4_warc,
+    "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_fingerprints": op9_fingerprints,
+    "op10_line_crf": op10_line_crf,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -63,6 +91,12 @@ marked AS (SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op4_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+k AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS keeper FROM m)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keeper != page_id THEN keeper END AS refers_to FROM k""",
     "op7_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

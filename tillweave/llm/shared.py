@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
 
 from pyspark import cloudpickle
@@ -21,6 +22,14 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+ship(__name__)
+
+
+def kept() -> dict:
+    """What a worker process keeps between tasks (shipped modules are made anew for each)."""
+    return sys.modules.setdefault("_tillweave_kept", types.ModuleType("_tillweave_kept")).__dict__
+
+
 def scratch(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a temporary one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
