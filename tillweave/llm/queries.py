@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import chat, fingerprints, line_crf, line_dedup, mixing, packing, quality_rules, warc
+from tillweave.llm import chat, fingerprints, jaccard, line_crf, line_dedup, mixing, packing, quality_rules, warc
 from tillweave.llm.shared import sha256, text_of
 
 
@@ -18,6 +18,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", sha256(text_of()).alias("kept_sha256"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.quality(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -70,6 +74,7 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_jaccard": op2_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
