@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import chat, fingerprints, jaccard, line_crf, line_dedup, mixing, packing, quality_rules, warc
+from tillweave.llm import chat, fingerprints, jaccard, line_crf, line_dedup, mixing, packing, quality_rules, repeats, warc
 from tillweave.llm.shared import sha256, text_of
 
 
@@ -31,6 +31,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
@@ -77,6 +81,7 @@ QUERIES = {
     "op2_jaccard": op2_jaccard,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
+    "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
