@@ -45,26 +45,37 @@ K = [np.uint64(x | 1) for x in (0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AF
 
 
 def _set_batches(batches):
-    """kind 0: doc_id, size and two set hashes; kind 1: a shingle hash found in 3 or more rows of a chunk."""
+    """kind 0: doc_id, size and two set hashes; kind 1: a shingle hash found in 3 or more different sets of a batch."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for i, j, buf, offs in A.chunks(batch.column("text"), 16 << 20):
+        size, one, two, kept, seen = [], [], [], [], set()
+        for _i, _j, buf, offs in A.chunks(batch.column("text")):
             ptr, h = A.shingle_sets(buf, offs, WORDS)
-            n = np.diff(ptr)
-            one, two = (A.sums(A.mix(h ^ k).view(np.int64), ptr) for k in K[:2])
-            order = np.unique(one + n * 7, return_index=True)[1]
-            first = np.zeros(j - i, bool)
-            first[order] = True
-            kept = np.sort(h[np.repeat(first, n)])
-            start = np.flatnonzero(np.concatenate(([True], kept[1:] != kept[:-1]))) if len(kept) else np.zeros(0, np.int64)
-            count = np.diff(np.append(start, len(kept)))
-            many = np.flatnonzero(count >= 3)
-            heavy, times = kept[start[many]].view(np.int64), count[many]
-            zero, none = np.zeros(len(many), np.int64), np.zeros(j - i, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in ((none, zero + 1), (ids[i:j], heavy), (n, times), (one, zero), (two, zero))],
-                ["kind", "doc_id", "n", "s1", "s2"],
-            )
+            size.append(np.diff(ptr))
+            one.append(A.sums(A.mix(h ^ K[0]).view(np.int64), ptr))
+            two.append(A.sums(A.mix(h ^ K[1]).view(np.int64), ptr))
+            kept.append(h[np.repeat(_unseen(one[-1], size[-1], seen), size[-1])])
+        if not size:
+            continue
+        n, one, two, kept = (np.concatenate(x) for x in (size, one, two, kept))
+        kept.sort()
+        start = np.flatnonzero(np.concatenate(([True], kept[1:] != kept[:-1]))) if len(kept) else np.zeros(0, np.int64)
+        count = np.diff(np.append(start, len(kept)))
+        many = np.flatnonzero(count >= 3)
+        heavy, times = kept[start[many]].view(np.int64), count[many]
+        zero, none = np.zeros(len(many), np.int64), np.zeros(len(n), np.int64)
+        columns = ((none, zero + 1), (ids, heavy), (n, times), (one, zero), (two, zero))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], ["kind", "doc_id", "n", "s1", "s2"])
+
+
+def _unseen(sig: np.ndarray, n: np.ndarray, seen: set) -> np.ndarray:
+    """Marks the first row of every set not yet in seen, and adds them to it."""
+    out = np.zeros(len(sig), bool)
+    for r, key in enumerate(zip(sig.tolist(), n.tolist(), strict=True)):
+        if key not in seen:
+            seen.add(key)
+            out[r] = True
+    return out
 
 
 def bands(n: np.ndarray) -> np.ndarray:
@@ -108,14 +119,11 @@ def _entry_batches(bits_packed: bytes, buckets: int):
         bits = np.unpackbits(np.frombuffer(bits_packed, np.uint8)).astype(bool)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            out = []
-            for i, j, buf, offs in A.chunks(batch.column("text"), 8 << 20):
+            out, seen = [], set()
+            for i, j, buf, offs in A.chunks(batch.column("text")):
                 ptr, h = A.shingle_sets(buf, offs, WORDS)
                 n = np.diff(ptr)
-                sig = A.sums(A.mix(h ^ K[0]).view(np.int64), ptr) + n * 7
-                first = np.zeros(j - i, bool)
-                first[np.unique(sig, return_index=True)[1]] = True
-                first &= n > 0
+                first = _unseen(A.sums(A.mix(h ^ K[0]).view(np.int64), ptr), n, seen) & (n > 0)
                 home = bands(n)
                 longest = n * 4 // 3
                 for band in range(int(home.max(initial=0)) + 2):
