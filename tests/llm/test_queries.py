@@ -1,0 +1,46 @@
+"""The opN_ queries against their SQL twins, and the pipeline against a stage-by-stage check."""
+
+import pytest
+from oracle import compare
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tillweave.llm import jaccard, line_crf, queries
+from tillweave.llm.shared import settled
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_twin(spark, sf_dir, name):
+    compare(spark, sf_dir, queries.QUERIES[name], queries.ORACLE_SQL[name])
+
+
+def test_numbers():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, sizes, kept = docs.columns, [docs.count()], [docs]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = settled(stage(spark, docs, sf_dir))
+        assert docs.columns == columns
+        sizes.append(docs.count())
+        kept.append(docs)
+    model = line_crf.train(kept[0], spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert sizes[1] == line_crf.scores(kept[0], model).filter(F.col("score") >= line_crf.ACCEPT).count()
+    assert sizes[2] == sizes[1]
+    assert sizes[3] == jaccard.linked(kept[2]).select("component_id").distinct().count()
+    once = kept[4].groupBy("doc_id").count()
+    assert once.filter("count > 3").count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept[4], sf_dir)
+    got = packed.groupBy("doc_id").agg((F.sum("length") / F.first("doc_tokens")).alias("times"))
+    assert got.join(once, "doc_id").filter("times != count").count() == 0 and got.count() == once.count()
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_odd_tables(spark, sf_dir, stage):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "word " * 30, None, "s", 150), (2, "word " * 30, None, "s", 150), (3, "tail\n\n", "en", "s", None)]
+    f = corpus_pipeline.STAGES[stage][1]
+    assert f(spark, spark.createDataFrame([], schema), sf_dir).count() == 0
+    assert f(spark, spark.createDataFrame(rows, schema), sf_dir).count() >= 0

@@ -148,11 +148,11 @@ def _entry_batches(bits_packed: bytes, buckets: int):
                             e["token"], e["doc"], e["n"] = t, ids[i:j][rows][r], size[r]
                             salt = np.where(v, 1 + (A.mix(e["doc"].view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
                             out.append((((A.mix(t + salt.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64) * 2 + v, e))
-            if out:
+            if sum(len(e) for _, e in out):
                 bucket, entry = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
                 order = np.argsort(bucket, kind="stable")
                 bucket, entry = bucket[order], entry[order]
-                at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
+                at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
                 blobs = [entry[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(blobs, pa.binary())], ["bucket", "entries"])
 

@@ -44,9 +44,11 @@ PACKED = "kind int, bucket long, entries binary"
 
 
 def _packed(kind: int, bucket: np.ndarray, entry: np.ndarray) -> list[tuple[int, int, bytes]]:
+    if not len(bucket):
+        return []
     order = np.argsort(bucket, kind="stable")
     bucket, entry = bucket[order], entry[order]
-    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     return [(kind, int(bucket[a]), entry[a:b].tobytes()) for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
 
 
