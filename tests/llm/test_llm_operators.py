@@ -392,7 +392,10 @@ def test_fingerprints(spark, rows, empty):
     assert fingerprints.compare(empty).count() == 0
 
 
-def test_fingerprints_over_ranges(spark, monkeypatch):
+@pytest.mark.parametrize("ranges", [(1024, 1000), (4, 100)])
+def test_fingerprints_over_ranges(spark, monkeypatch, ranges):
+    monkeypatch.setattr(fingerprints, "MAX_RANGES", ranges[0])
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", ranges[1])
     rows = [(i * 37 % 5000, f"text {i} " * 5) for i in range(5000)] + [(7, "second of id 7"), (None, "last")]
     got = {(r.doc_id, r.n_chars): r.edited_sha256 for r in fingerprints.compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
     order = sorted((r for r in rows if r[0] not in (None, 7)), key=lambda r: r[0])

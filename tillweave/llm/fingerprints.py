@@ -20,8 +20,8 @@ from pyspark.sql import Window as W
 from tillweave.llm.shared import need, text_of
 
 PIECE, SECTION = 48, 8
-#: Most ranges of document ids; a range's first rows are what neighbours are told of.
-MAX_RANGES = 1024
+#: Most ranges of document ids, and of equal steps within each; a range's first row is what its neighbour is told of.
+MAX_RANGES, MAX_STEPS, RANGE_ROWS = 1024, 1024, 1000
 
 
 def pieces(text: Column) -> Column:
@@ -67,17 +67,24 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
 def successors(docs: DataFrame) -> DataFrame:
     """doc_id, text, leaves, next_text, next_leaves, with one exchange of the texts.
 
-    Ids are cut into ranges at approximate quantiles (their number is bounded and any cut gives the
-    same result). Each range's first row is also sent to the range before it, so that the
+    Ids are cut into ranges at approximate quantiles, large tables' ranges into equal steps (all
+    numbers are bounded and any cut gives the same result). Each range's first row is also sent to the range before it, so that the
     last row of a range meets its successor.
     """
     need(docs, "doc_id", "text")
     rows = docs.select("doc_id", text_of().alias("text"))
-    total = rows.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [i / MAX_RANGES for i in range(1, MAX_RANGES)], 10 * MAX_RANGES).alias("q")).first()
-    want = min(MAX_RANGES, max(1, total.n // 1000))
+    quantiles = F.percentile_approx("doc_id", [i / MAX_RANGES for i in range(1, MAX_RANGES)], 10 * MAX_RANGES)
+    total = rows.agg(F.count("*").alias("n"), quantiles.alias("q"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    want = min(MAX_RANGES, max(1, total.n // RANGE_ROWS))
+    steps = min(MAX_STEPS, max(1, total.n // (RANGE_ROWS * MAX_RANGES)))
     cuts = sorted(set((total.q or [])[MAX_RANGES // want - 1 :: MAX_RANGES // want]))
     place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    last = len(cuts) + 1
+    if steps > 1:
+        edges = F.array(*map(F.lit, [total.lo, *cuts, total.hi]))
+        low, high = F.get(edges, place).cast("double"), F.get(edges, place + 1).cast("double")
+        part = F.least(F.floor((F.col("doc_id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * steps), F.lit(steps - 1))
+        place = place * steps + part
+    last = (len(cuts) + 1) * steps
     slot = F.when(F.col("doc_id").isNull(), last).otherwise(place)
     keyed = rows.select("doc_id", "text", slot.cast("int").alias("slot"), F.xxhash64("text").alias("th"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("th")]
