@@ -55,7 +55,7 @@ def prediction_left(predictions: DataFrame, actuals: DataFrame, keys: Sequence[s
 
 def eligible(customers: DataFrame, eligibility: DataFrame) -> DataFrame:
     """Customers who may be mailed about the campaign."""
-    wanted = eligibility.filter("channel = 'Email' and country = 'UK' and type = 'Sparks' and marketing_status = 'Opt-in Active'")
+    wanted = eligibility.filter("channel = 'Email' and country = 'UK' and type = 'Member' and marketing_status = 'Opt-in Active'")
     return customers.join(wanted.select("cust_id"), "cust_id", "left_semi")
 
 

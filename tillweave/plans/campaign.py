@@ -278,7 +278,7 @@ query("anti_already_assigned", f"SELECT DISTINCT cust_id FROM scoped WHERE l2_id
     lambda v: v.scoped.filter("l2_id = 'SMALL'").select("cust_id").distinct().join(ce.sequential_exclusive(v.scoped, ["ECONOMY"], 20, "l2_id").select("cust_id"), "cust_id", "left_anti")
 )
 query("anti_test_accounts", "SELECT cust_id, account_id FROM accounts WHERE uk_digital_id NOT IN (SELECT 'D' || c_custkey FROM customer WHERE c_custkey % 100 = 1)")(
-    lambda v: v.accounts.join(v.table("customer").filter("c_custkey % 100 = 1").select(F.concat(F.lit("D"), "c_custkey").alias("WCS_ID")), F.col("uk_digital_id") == F.col("WCS_ID"), "left_anti").select("cust_id", "account_id")
+    lambda v: v.accounts.join(v.table("customer").filter("c_custkey % 100 = 1").select(F.concat(F.lit("D"), "c_custkey").alias("digital_id")), F.col("uk_digital_id") == F.col("digital_id"), "left_anti").select("cust_id", "account_id")
 )
 
 

@@ -89,7 +89,7 @@ query("tag_run", "SELECT cust_id, sum(sales_amt)::DOUBLE AS spend, 20010801 AS c
     lambda v: fl.tag_run(v.scoped.groupBy("cust_id").agg(F.sum("sales_amt").cast("double").alias("spend")), campaign=20010801, l1_id="FD", category_level=False)
 )
 query("normalise_headers", "SELECT p_partkey AS offer_id, p_brand AS bu_id, p_name AS \"desc\" FROM part")(
-    lambda v: fl.normalise_headers(v.table("part").select(F.col("p_partkey").alias("TIBCO Id"), F.col("p_brand").alias("Business Unit"), F.col("p_name").alias("Offer Text")), {"tibco_id": "offer_id", "business_unit": "bu_id", "offer_text": "desc"})
+    lambda v: fl.normalise_headers(v.table("part").select(F.col("p_partkey").alias("Offer Id"), F.col("p_brand").alias("Business Unit"), F.col("p_name").alias("Offer Text")), {"business_unit": "bu_id", "offer_text": "desc"})
 )
 # Codes of business units.
 UNIT_CODES = {"Brand#1": "01", "Brand#2": "02", "Brand#3": "03", "Brand#4": "04", "Brand#5": "05", "Brand#6": "06", "Brand#7": "07"}
@@ -134,7 +134,7 @@ SHARED["nation_spend"] = "SELECT area_name, l2_id, sum(sales_amt)::DOUBLE AS spe
 query("audience_right", "SELECT cust_id, spend FROM (SELECT cust_id, sum(sales_amt)::DOUBLE AS spend FROM scoped GROUP BY cust_id) RIGHT JOIN (SELECT DISTINCT cust_id FROM customer_master WHERE gender = 'M') USING (cust_id)")(
     lambda v: v.scoped.groupBy("cust_id").agg(F.sum("sales_amt").cast("double").alias("spend")).join(v.customer_master.filter("gender = 'M'").select("cust_id").distinct(), "cust_id", "right")
 )
-query("eligible_inner", "SELECT cust_id, spend FROM (SELECT cust_id, sum(sales_amt)::DOUBLE AS spend FROM scoped GROUP BY cust_id) WHERE cust_id IN (SELECT cust_id FROM eligibility WHERE channel = 'Email' AND country = 'UK' AND type = 'Sparks' AND marketing_status = 'Opt-in Active')")(
+query("eligible_inner", "SELECT cust_id, spend FROM (SELECT cust_id, sum(sales_amt)::DOUBLE AS spend FROM scoped GROUP BY cust_id) WHERE cust_id IN (SELECT cust_id FROM eligibility WHERE channel = 'Email' AND country = 'UK' AND type = 'Member' AND marketing_status = 'Opt-in Active')")(
     lambda v: jn.eligible(v.scoped.groupBy("cust_id").agg(F.sum("sales_amt").cast("double").alias("spend")), v.eligibility)
 )
 query("first_account_link", "SELECT cust_id, a.account_id AS account_id, a.uk_digital_id AS uk_digital_id FROM (SELECT DISTINCT cust_id FROM scoped) LEFT JOIN (SELECT cust_id, min((account_id, uk_digital_id)) AS m, min(account_id) AS account_id, arg_min(uk_digital_id, account_id) AS uk_digital_id FROM accounts GROUP BY cust_id) a USING (cust_id)")(

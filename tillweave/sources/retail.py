@@ -105,7 +105,7 @@ class Views:
     def eligibility(self) -> DataFrame:
         return self.table("customer").selectExpr(
             "c_custkey as cust_id", "if(c_custkey % 5 = 0, 'Post', 'Email') as channel", "if(c_custkey % 7 = 0, 'IE', 'UK') as country",
-            "if(c_custkey % 11 = 0, 'Other', 'Sparks') as type", "if(c_custkey % 6 = 0, 'Opt-out', 'Opt-in Active') as marketing_status",
+            "if(c_custkey % 11 = 0, 'Other', 'Member') as type", "if(c_custkey % 6 = 0, 'Opt-out', 'Opt-in Active') as marketing_status",
         )
 
     @cached_property
@@ -157,7 +157,7 @@ DUCK = {
       '[' || lo || ',' || hi || ']' AS offer_limits, '£' || pay || ' off when you spend £' || least || ' on food in store' AS offer_desc, lo, hi, ord
       FROM bands, (VALUES (7), (10)) AS r(reward_perc), (SELECT DISTINCT l2_id AS target FROM lu_article UNION ALL SELECT 'full_basket') AS t""",
     "eligibility": """SELECT c_custkey AS cust_id, CASE WHEN c_custkey % 5 = 0 THEN 'Post' ELSE 'Email' END AS channel, CASE WHEN c_custkey % 7 = 0 THEN 'IE' ELSE 'UK' END AS country,
-      CASE WHEN c_custkey % 11 = 0 THEN 'Other' ELSE 'Sparks' END AS type, CASE WHEN c_custkey % 6 = 0 THEN 'Opt-out' ELSE 'Opt-in Active' END AS marketing_status FROM customer""",
+      CASE WHEN c_custkey % 11 = 0 THEN 'Other' ELSE 'Member' END AS type, CASE WHEN c_custkey % 6 = 0 THEN 'Opt-out' ELSE 'Opt-in Active' END AS marketing_status FROM customer""",
     "counted": """SELECT * FROM trx_line WHERE l2_id NOT IN ('FOPA') AND trans_line_type = 'S' AND l4_id NOT IN ('F98A', 'F88A', 'T46', 'T63')
       AND area_name <> 'PETROL STATIONS' AND sales_amt >= 0.1 AND l3_id NOT IN ('40', '41') AND cust_id IS NOT NULL""",
     "scoped": f"""SELECT *, floor(date_diff('day', d, DATE '2001-08-01') / 28.0)::INTEGER AS win FROM counted
