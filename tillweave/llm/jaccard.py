@@ -213,21 +213,32 @@ def _verify_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def fitting(df: DataFrame) -> DataFrame:
+    """df, with a broadcast hint if it has at most BROADCAST_IDS (short) rows; else joins shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else df
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents, b the center, whose whole sets are similar enough."""
+    """The pairs (a, b) of documents, b the center, whose whole sets are similar enough.
+
+    A center meets at most about STAR others in one salt; its text goes to each salt once."""
     sizes = pairs.groupBy("b").agg(F.count("*").alias("k"))
-    salted = pairs.join(sizes, "b").select("a", "b", F.expr(f"cast(pmod(xxhash64(a), k div {STAR} + 1) as int)").alias("salt"))
-    salted = settled(salted)
-    wanted = salted.select(F.col("a").alias("id")).unionByName(salted.select(F.col("b").alias("id"))).distinct()
-    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("id"), "left_semi")
+    salted = fitting(settled(pairs.join(sizes, "b").select("a", "b", F.expr(f"cast(pmod(xxhash64(a), k div {STAR} + 1) as int)").alias("salt"))))
+    heads = fitting(settled(salted.select("b", "salt").distinct()))
+    texts = docs.select("doc_id", "text")
     sides = texts.join(salted, F.col("doc_id") == F.col("a")).select(F.col("b").alias("c"), "salt", "doc_id", F.lit(0).alias("lead"), "text")
-    heads = salted.select("b", "salt").distinct()
     heads = texts.join(heads, F.col("doc_id") == F.col("b")).select(F.col("b").alias("c"), "salt", "doc_id", F.lit(1).alias("lead"), "text")
     rows = sides.unionByName(heads).repartition("c", "salt").sortWithinPartitions("c", "salt", F.desc("lead"), "doc_id")
     return rows.mapInArrow(_verify_batches, "a long, b long")
 
 
+def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    of = lambda c: fitting(comp.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.filter("coalesce(c_a, a) != coalesce(c_b, b)").drop("c_a", "c_b")
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     need(docs, "doc_id", "text")
@@ -249,32 +260,43 @@ def linked(docs: DataFrame) -> DataFrame:
     real = member.filter("rep is not null").select("doc_id", "n", "rep").distinct()
 
     def of_reps(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs of different classes (b the smaller) whose sizes allow a link."""
+        """Pairs of different classes (b the smaller) whose sizes allow a link, and how often each was met."""
         a = real.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"))
         b = real.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"))
-        both = pairs.join(a, "a").join(b, "b").filter("ra != rb and 4 * least(na, nb) >= 3 * greatest(na, nb)")
-        return both.select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).distinct()
+        both = pairs.join(fitting(a), "a").join(fitting(b), "b").filter("ra != rb and 4 * least(na, nb) >= 3 * greatest(na, nb)")
+        return both.groupBy(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).agg(F.sum("times").alias("times"))
 
-    stars = met.filter("kind = 0").select("a", F.col("others")[0].alias("b"))
+    stars = met.filter("kind = 0").groupBy("a", F.col("others")[0].alias("b")).agg(F.count("*").alias("times"))
     mins = met.filter("kind = 2").select("token", "a")
     low = mins.groupBy("token").agg(F.min("a").alias("b"))
-    stars = stars.unionByName(mins.join(low, "token").filter("a != b").select("a", "b"))
-    tried = settled(of_reps(stars.distinct()))
+    stars = settled(of_reps(stars.unionByName(mins.join(low, "token").filter("a != b").groupBy("a", "b").agg(F.count("*").alias("times")))))
+    # first each class with the center that it met most often, then the other stars that this left apart
+    tried = settled(stars.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")))
     links = settled(verified(named, tried))
     comp = settled(components(links))
-
-    # what is still apart in a bucket: the other pairs between its components
-    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(real, "doc_id")
-    crowd = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    apart = crowd.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
-    rest = settled(crowd.join(apart, "token", "left_semi").distinct())
-    x = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    y = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    more = x.join(y, "token").filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
-    more = settled(more.join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionByName(settled(verified(named, more)))
+    second = settled(apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), comp))
+    if not second.isEmpty():
+        links = links.unionByName(settled(verified(named, second)))
         comp = settled(components(links))
+    # a bucket that is still apart has a star that is: only there the other pairs are tried
+    open_ = settled(apart(stars.select("a", "b"), comp))
+    if not open_.isEmpty():
+        ends = open_.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        leads = fitting(settled(real.join(fitting(ends), "rep", "left_semi").select(F.col("doc_id").alias("a"))))
+        crowds = met.filter("kind = 1")
+        tokens = fitting(settled(crowds.join(leads, "a", "left_semi").select("token").distinct()))
+        crowd = crowds.join(tokens, "token", "left_semi").select("token", F.explode("others").alias("doc_id")).join(real, "doc_id")
+        crowd = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        rest = settled(crowd.distinct())
+        split = rest.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
+        rest = rest.join(split, "token", "left_semi")
+        x = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+        y = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+        more = x.join(y, "token").filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
+        more = settled(more.join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            links = links.unionByName(settled(verified(named, more)))
+            comp = settled(components(links))
     out = member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
     nameless = docs.filter("doc_id is null").mapInArrow(_set_batches, "kind long, doc_id long, n long, s1 long, s2 long").filter("kind = 0")
