@@ -24,6 +24,8 @@ extra columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -84,39 +86,39 @@ def bands(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(edges, n, "right")
 
 
-def sketch_tokens(h: np.ndarray, n: np.ndarray, band: int, bits: np.ndarray, single: bool = False):
-    """Block sketches of rows of one band: token, row, whether all its shingles are frequent."""
+def sketch_tokens(h: np.ndarray, n: np.ndarray, band: int, levels: np.ndarray, single: bool = False):
+    """Block sketches of rows of one band: token, row, the level of its rarest shingle."""
     ptr = np.concatenate(([0], np.cumsum(n)))
     row = A.owners(ptr)
-    light = ~bits[(h >> np.uint64(64 - HEAVY_BITS)).astype(np.int64)]
+    level = levels[(h >> np.uint64(64 - HEAVY_BITS)).astype(np.int64)]
     if band == 0 or single:
-        return A.mix(h * K[2] + np.uint64(band * 2 + single)), row, ~light
+        return A.mix(h * K[2] + np.uint64(band * 2 + single)), row, level
     m = np.uint64(int(FIRST_BAND * FACTOR**band / FILL))
     block = ((h >> np.uint64(32)) * m) >> np.uint64(32)  # grows with h, and rows are sorted by h
     new = np.ones(len(h), bool)
     new[1:] = (block[1:] != block[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
     if not len(at):
-        return h, row, ~light
+        return h, row, level
     parity = np.bitwise_xor.reduceat(A.mix(h * K[3]), at)
-    return A.mix(parity ^ (block[at] * K[2]) ^ np.uint64(band << 1)), row[at], ~np.logical_or.reduceat(light, at)
+    return A.mix(parity ^ (block[at] * K[2]) ^ np.uint64(band << 1)), row[at], np.minimum.reduceat(level, at)
 
 
-def prefix(token, row, heavy, keep: np.ndarray):
-    """The first keep[row] tokens of each row in the global order."""
-    order = np.lexsort((token, heavy, row))
-    token, row, heavy = token[order], row[order], heavy[order]
+def prefix(token, row, level, keep: np.ndarray):
+    """The first keep[row] tokens of each row in the global order: rarest first, then by hash."""
+    order = np.lexsort((token, level, row))
+    token, row, level = token[order], row[order], level[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row, "left")
     some = rank < keep[row]
-    return token[some], row[some], heavy[some]
+    return token[some], row[some], level[some] > 0
 
 
 ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("n", "<i4")])
 
 
-def _entry_batches(bits_packed: bytes, buckets: int):
+def _entry_batches(packed_levels: bytes, buckets: int):
     def run(batches):
-        bits = np.unpackbits(np.frombuffer(bits_packed, np.uint8)).astype(bool)
+        levels = np.frombuffer(zlib.decompress(packed_levels), np.uint8)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             out, seen = [], set()
@@ -134,14 +136,14 @@ def _entry_batches(bits_packed: bytes, buckets: int):
                         size = n[rows]
                         hh = h[np.repeat(ptr[rows] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())]
                         need_ = (size + np.minimum(longest[rows], edge - 1)) // 7 + 1
-                        token, row, heavy = sketch_tokens(hh, size, band, bits)
+                        token, row, level = sketch_tokens(hh, size, band, levels)
                         some = np.bincount(row, minlength=len(rows))
-                        parts = [prefix(token, row, heavy, need_)]
+                        parts = [prefix(token, row, level, need_)]
                         few = np.flatnonzero(some < need_)
                         if len(few):  # too few blocks for the pigeonhole: single shingles too
                             start = np.concatenate(([0], np.cumsum(size)[:-1]))[few]
                             one = hh[np.repeat(start - np.concatenate(([0], np.cumsum(size[few])[:-1])), size[few]) + np.arange(size[few].sum())]
-                            t, r, v = prefix(*sketch_tokens(one, size[few], band, bits, True), need_[few])
+                            t, r, v = prefix(*sketch_tokens(one, size[few], band, levels, True), need_[few])
                             parts.append((t, few[r], v))
                         for t, r, v in parts:
                             e = np.empty(len(t), ENTRY)
@@ -248,11 +250,11 @@ def linked(docs: DataFrame) -> DataFrame:
     sets = found.filter("kind = 0").drop("kind")
     total = sets.agg(F.sum("n")).first()[0] or 0
     heavy = found.filter("kind = 1").groupBy(F.expr(f"shiftrightunsigned(doc_id, {64 - HEAVY_BITS})").alias("slot"), "doc_id").agg(F.sum("n").alias("n"))
-    slots = heavy.filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "doc_id").limit(HEAVY_KEPT).select("slot").distinct().toPandas()["slot"]
-    bits = np.zeros(1 << HEAVY_BITS, bool)
-    bits[slots.to_numpy(np.int64)] = True
+    heavy = heavy.filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "doc_id").limit(HEAVY_KEPT).groupBy("slot").agg(F.max("n").alias("n")).toPandas()
+    levels = np.zeros(1 << HEAVY_BITS, np.uint8)
+    levels[heavy["slot"].to_numpy(np.int64)] = np.minimum(255, 1 + 4 * np.log2(heavy["n"].to_numpy(np.float64) / HEAVY)).astype(np.uint8)
     buckets = int(min(MAX_BUCKETS, max(64, total / 3 / ENTRIES)))
-    entries = named.mapInArrow(_entry_batches(np.packbits(bits).tobytes(), buckets), "bucket long, entries binary")
+    entries = named.mapInArrow(_entry_batches(zlib.compress(levels.tobytes(), 1), buckets), "bucket long, entries binary")
     met = settled(entries.groupBy("bucket").applyInArrow(join_bucket, FOUND))
 
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
