@@ -43,17 +43,21 @@ HEAVY, HEAVY_KEPT, HEAVY_BITS = 24, 1 << 20, 22
 SALTS, STAR, ENTRIES, MAX_BUCKETS = 16, 256, 200_000, 1 << 20
 #: Documents that are candidates are found by a broadcast of ids up to this many (8 bytes each).
 BROADCAST_IDS = 500_000
+#: Words of the parity sketch that candidates are held against before their texts are fetched.
+BIT_WORDS = 16
+SETS = "kind long, doc_id long, n long, s1 long, s2 long, bits array<long>"
 K = [np.uint64(x | 1) for x in (0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 
 
 def _set_batches(batches):
-    """kind 0: doc_id, size and two set hashes; kind 1: a shingle hash found in 3 or more different sets of a batch."""
+    """kind 0: doc_id, size, two set hashes, parity bits; kind 1: a shingle hash found in 3 or more different sets of a batch."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        size, one, two, kept, seen = [], [], [], [], set()
+        size, one, two, kept, bits, seen = [], [], [], [], [], set()
         for _i, _j, buf, offs in A.chunks(batch.column("text")):
             ptr, h = A.shingle_sets(buf, offs, WORDS)
             size.append(np.diff(ptr))
+            bits.append(parity_bits(ptr, h))
             one.append(A.sums(A.mix(h ^ K[0]).view(np.int64), ptr))
             two.append(A.sums(A.mix(h ^ K[1]).view(np.int64), ptr))
             kept.append(h[np.repeat(_unseen(one[-1], size[-1], seen), size[-1])])
@@ -67,7 +71,18 @@ def _set_batches(batches):
         heavy, times = kept[start[many]].view(np.int64), count[many]
         zero, none = np.zeros(len(many), np.int64), np.zeros(len(n), np.int64)
         columns = ((none, zero + 1), (ids, heavy), (n, times), (one, zero), (two, zero))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], ["kind", "doc_id", "n", "s1", "s2"])
+        words = np.concatenate(bits)
+        at = np.concatenate((np.arange(len(n) + 1) * BIT_WORDS, np.full(len(many), len(n) * BIT_WORDS))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(at), pa.array(words.ravel()))
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in columns), lists], ["kind", "doc_id", "n", "s1", "s2", "bits"])
+
+
+def parity_bits(ptr: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """A row of BIT_WORDS 64-bit words per set: every shingle flips one bit, so differing bits never outnumber differing shingles."""
+    rows, width = len(ptr) - 1, BIT_WORDS * 64
+    bit = (A.mix(h ^ K[2]) % np.uint64(width)).astype(np.int64)
+    odd = np.bincount(A.owners(ptr) * width + bit, minlength=rows * width) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").reshape(rows, BIT_WORDS)
 
 
 def _unseen(sig: np.ndarray, n: np.ndarray, seen: set) -> np.ndarray:
@@ -246,8 +261,8 @@ def linked(docs: DataFrame) -> DataFrame:
     need(docs, "doc_id", "text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = docs.filter("doc_id is not null")
-    found = settled(named.mapInArrow(_set_batches, "kind long, doc_id long, n long, s1 long, s2 long"))
-    sets = found.filter("kind = 0").drop("kind")
+    found = settled(named.mapInArrow(_set_batches, SETS))
+    sets = found.filter("kind = 0").select("doc_id", "n", "s1", "s2")
     total = sets.agg(F.sum("n")).first()[0] or 0
     heavy = found.filter("kind = 1").groupBy(F.expr(f"shiftrightunsigned(doc_id, {64 - HEAVY_BITS})").alias("slot"), "doc_id").agg(F.sum("n").alias("n"))
     heavy = heavy.filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "doc_id").limit(HEAVY_KEPT).groupBy("slot").agg(F.max("n").alias("n")).toPandas()
@@ -268,15 +283,25 @@ def linked(docs: DataFrame) -> DataFrame:
         both = pairs.join(fitting(a), "a").join(fitting(b), "b").filter("ra != rb and 4 * least(na, nb) >= 3 * greatest(na, nb)")
         return both.groupBy(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).agg(F.sum("times").alias("times"))
 
+    drawn = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_set(F.struct("n", "bits")).alias("z")).filter("size(z) = 1")
+    drawn = settled(drawn.join(real.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.col("z")[0]["n"].alias("n"), F.col("z")[0]["bits"].alias("bits")))
+    differ = "aggregate(zip_with(wa, wb, (x, y) -> bit_count(x ^ y)), 0, (s, k) -> s + k)"
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs that their sketches do not rule out: more bits differ than shingles may."""
+        side = lambda c: fitting(drawn.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"w{c}")))
+        both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+        return both.filter(f"wa is null or wb is null or 7 * {differ} <= na + nb").select("a", "b")
+
     stars = met.filter("kind = 0").groupBy("a", F.col("others")[0].alias("b")).agg(F.count("*").alias("times"))
     mins = met.filter("kind = 2").select("token", "a")
     low = mins.groupBy("token").agg(F.min("a").alias("b"))
     stars = settled(of_reps(stars.unionByName(mins.join(low, "token").filter("a != b").groupBy("a", "b").agg(F.count("*").alias("times")))))
     # first each class with the center that it met most often, then the other stars that this left apart
-    tried = settled(stars.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")))
+    tried = settled(close(stars.select("a", "b")).join(stars, ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")))
     links = settled(verified(named, tried))
     comp = settled(components(links))
-    second = settled(apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), comp))
+    second = settled(close(apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), comp)))
     if not second.isEmpty():
         links = links.unionByName(settled(verified(named, second)))
         comp = settled(components(links))
@@ -295,11 +320,11 @@ def linked(docs: DataFrame) -> DataFrame:
         x = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
         y = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
         more = x.join(y, "token").filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
-        more = settled(more.join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
+        more = settled(close(more).join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             links = links.unionByName(settled(verified(named, more)))
             comp = settled(components(links))
     out = member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
-    nameless = docs.filter("doc_id is null").mapInArrow(_set_batches, "kind long, doc_id long, n long, s1 long, s2 long").filter("kind = 0")
+    nameless = docs.filter("doc_id is null").mapInArrow(_set_batches, SETS).filter("kind = 0")
     return out.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
