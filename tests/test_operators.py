@@ -108,7 +108,7 @@ def test_quotas_and_exclusive_cells(spark):
 def test_shuffled_index_is_a_permutation(spark):
     d = spark.range(500).withColumnRenamed("id", "k")
     got = ce.shuffled_index(d, "k").orderBy("index").collect()
-    assert [r.index for r in got] == list(range(500)) and [r.k for r in got] != list(range(500))
+    assert [r["index"] for r in got] == list(range(500)) and [r.k for r in got] != list(range(500))
 
 
 def test_sequential_exclusive(spark):
