@@ -151,6 +151,22 @@ def test_jaccard_salted_buckets(spark, rows, docs, monkeypatch):
     assert got == sorted((r[0], v[1]) for r, v in zip(rows, brute_groups(rows), strict=True))
 
 
+@pytest.mark.parametrize("heavy", [24, 3])
+def test_jaccard_excerpts(spark, monkeypatch, heavy):
+    """The smallest id of a bucket is too long for the others, which link with each other."""
+    monkeypatch.setattr(jaccard, "HEAVY", heavy)
+    data = []
+    for seed in range(60):
+        rng = random.Random(seed)
+        words = [f"w{seed}x{rng.randrange(10**6)}" for _ in range(66)]
+        part, changed = words[:48], 4 + seed % 3
+        near = part[:-changed] + [f"n{seed}x{rng.randrange(10**6)}" for _ in range(changed)]
+        data += [(3 * seed, " ".join(words)), (3 * seed + 1, " ".join(part)), (3 * seed + 2, " ".join(near))]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.linked(spark.createDataFrame(data, "doc_id long, text string")).collect())
+    assert [x[2] for x in got] == [3 * s + min(k, 1) for s in range(60) for k in range(3)]
+    assert got == keyed(data, brute_groups(data))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -13,9 +13,9 @@ have one shingle a block; a set with too few non-empty blocks for its D also joi
 shingles. The order puts blocks of frequent shingles last; it changes cost, never results. The
 frequent shingles are counted over all documents and kept as a bitmap of fixed size.
 
-Cost: equal sets are one class first. A bucket's members are linked to its smallest member; only
-where members then still lie in different components are the other pairs tried, so groups of
-copies cost links in proportion to their size. Buckets of frequent blocks are salted by document.
+Cost: equal sets are one class first. A bucket's members are linked to its smallest member if their
+sizes allow it; wherever members of like size then still lie in different components, whatever became
+of their stars, the other pairs are tried, so groups of copies cost links in proportion to their size. Buckets of frequent blocks are salted by document.
 
 Defined results: no words or null text: size 0 and linked with nothing; a null doc_id is its own row
 with a null component; rows that repeat a doc_id are one node, linked where either text is;
@@ -256,6 +256,12 @@ def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return both.filter("coalesce(c_a, a) != coalesce(c_b, b)").drop("c_a", "c_b")
 
 
+def like_sizes(n: str):
+    """Two size classes of a set: sets that may link, by their sizes, have one in common (4 / 3 < exp(1 / 3))."""
+    k = F.floor(F.ln(n) * 3).cast("int")
+    return F.array(k, k + 1)
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     need(docs, "doc_id", "text")
@@ -305,21 +311,15 @@ def linked(docs: DataFrame) -> DataFrame:
     if not second.isEmpty():
         links = links.unionByName(settled(verified(named, second)))
         comp = settled(components(links))
-    # a bucket that is still apart has a star that is: only there the other pairs are tried
-    open_ = settled(apart(stars.select("a", "b"), comp))
-    if not open_.isEmpty():
-        ends = open_.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        leads = fitting(settled(real.join(fitting(ends), "rep", "left_semi").select(F.col("doc_id").alias("a"))))
-        crowds = met.filter("kind = 1")
-        tokens = fitting(settled(crowds.join(leads, "a", "left_semi").select("token").distinct()))
-        crowd = crowds.join(tokens, "token", "left_semi").select("token", F.explode("others").alias("doc_id")).join(real, "doc_id")
-        crowd = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        rest = settled(crowd.distinct())
-        split = rest.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
-        rest = rest.join(split, "token", "left_semi")
-        x = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        y = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        more = x.join(y, "token").filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
+    # stars that sizes rule out say nothing of the others: pairs are tried wherever a bucket's members of like size are still apart
+    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(fitting(real), "doc_id")
+    crowd = crowd.join(fitting(comp.withColumnRenamed("node", "rep")), "rep", "left").select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n", F.coalesce("component", "rep").alias("component"))
+    split = settled(crowd.groupBy("token", "like").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token", "like"))
+    if not split.isEmpty():
+        rest = settled(crowd.join(fitting(split), ["token", "like"], "left_semi").distinct())
+        x = rest.select("token", "like", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+        y = rest.select("token", "like", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+        more = x.join(y, ["token", "like"]).filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
         more = settled(close(more).join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             links = links.unionByName(settled(verified(named, more)))
