@@ -1,6 +1,7 @@
 """Semantics on hand-made frames: traps, ties, edges, quotas, ladders."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,6 +157,37 @@ def test_knn_reaches_hand_value(spark):
     assert math.isclose(got[(1, "c")], 3.0)
 
 
+def brute_knn(rows, k, kind):
+    by, out = {}, {}
+    for u, i, r in rows:
+        by.setdefault(u, {})[i] = r
+    m = {u: sum(x.values()) / len(x) if kind != "basic" else 0.0 for u, x in by.items()}
+    s = {u: math.sqrt(sum((r - m[u]) ** 2 for r in x.values()) / len(x)) or 1.0 if kind == "zscore" else 1.0 for u, x in by.items()}
+    for u, mine in by.items():
+        near = []
+        for v, x in by.items():
+            both = sorted(set(mine) & set(x))
+            if v != u and both:
+                norm = math.sqrt(sum(mine[i] ** 2 for i in both) * sum(x[i] ** 2 for i in both))
+                near.append((-round(sum(mine[i] * x[i] for i in both) / norm, 12), v))
+        near.sort()
+        for i in {i for x in by.values() for i in x}:
+            top = [(-a, v) for a, v in near if i in by[v]][:k]
+            if top:
+                out[u, i] = m[u] + s[u] * sum(a * (by[v][i] - m[v]) / s[v] for a, v in top) / sum(a for a, _ in top)
+    return out
+
+
+@pytest.mark.parametrize(("kind", "hot"), [("basic", 1), ("means", 2), ("zscore", 7), ("means", 2000)])
+def test_knn_meets_every_user(spark, kind, hot):
+    rng = random.Random(hot)
+    rows = [(u, i, float(rng.randrange(1, 60))) for u in range(40) for i in "abcd" if rng.random() < 0.6]
+    d = spark.createDataFrame(rows, "u long, i string, r double")
+    got, want = {(x.u, x.i): x.prediction for x in mo.knn(d, "u", "i", "r", k=3, kind=kind, hot=hot).collect()}, brute_knn(rows, 3, kind)
+    assert set(got) == set(want)
+    assert all(math.isclose(got[x], want[x], rel_tol=1e-9, abs_tol=1e-9) for x in want)
+
+
 def test_clusters_fall_back_to_zero(spark):
     d = spark.createDataFrame([(i, "g", float(i), 1.0) for i in range(5)], "cust_id long, c string, x double, y double")
     assert {r.segmentation for r in sg.search(d, "c", ["x", "y"], 2, 3, lower=10).collect()} == {0}

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import uniform
 
@@ -67,20 +71,102 @@ def factorise(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
 def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind: str = "basic", hot: int = 2000) -> DataFrame:
     """user, item, prediction from the k most alike users who rated the item.
 
-    kind: 'basic', 'means' or 'zscore'. Users meet over items; an item's raters are dealt into blocks of
-    at most `hot` by a hash, and users are compared within the blocks of an item."""
-    stats = ratings.groupBy(user).agg(F.avg(F.col(rating).cast("double")).alias("m"), F.coalesce(F.stddev_pop(F.col(rating).cast("double")), F.lit(0.0)).alias("s"))
-    x = ratings.join(stats, user).withColumn("r", F.col(rating).cast("double"))
+    kind: 'basic', 'means' or 'zscore'. Alike is the cosine over all items that both rated, to twelve places;
+    of equals the smaller users come first. Every user meets every other: blocks of about `hot` users each read all
+    rating vectors (one a user; one rating for each user and item) once, in user order, and hold the best k so far.
+    The work grows with the square of the users; a block holds hot x items x k neighbours.
+    Null ratings are left out; where all weights are 0 the prediction is null."""
+    known = ratings.select(user, item, F.col(rating).cast("double").alias("r")).dropna()
+    stats = known.groupBy(user).agg(F.avg("r").alias("m"), F.coalesce(F.stddev_pop("r"), F.lit(0.0)).alias("s"))
     shift = F.lit(0.0) if kind == "basic" else F.col("m")
     scale = F.when(F.col("s") > 0, F.col("s")).otherwise(1.0) if kind == "zscore" else F.lit(1.0)
-    sizes = x.groupBy(item).agg(F.count("*").alias("n"))
-    x = x.join(F.broadcast(sizes), item).withColumn("block", F.pmod(F.xxhash64(user), F.ceil(F.col("n") / hot))).withColumn("z", (F.col("r") - shift) / scale)
-    a = x.select(F.col(user).alias("ua"), item, "block", F.col("r").alias("ra"))
-    b = x.select(F.col(user).alias("ub"), item, "block", F.col("r").alias("rb"))
-    sims = a.join(b, [item, "block"]).filter("ua != ub").groupBy("ua", "ub").agg((F.sum(F.col("ra") * F.col("rb")) / F.sqrt(F.sum(F.col("ra") * F.col("ra")) * F.sum(F.col("rb") * F.col("rb")))).alias("sim"))
-    near = sims.join(x.select(F.col(user).alias("ub"), item, "z"), "ub")
-    top = near.withColumn("rank", F.row_number().over(W.partitionBy("ua", item).orderBy(F.desc("sim"), "ub"))).filter(F.col("rank") <= k)
-    pred = top.groupBy("ua", item).agg((F.sum(F.col("sim") * F.col("z")) / F.sum("sim")).alias("p")).withColumnRenamed("ua", user)
+    x = _numbered(known, item).join(stats, user).withColumn("z", (F.col("r") - shift) / scale)
+    names = x.select(item, "item_no").distinct()
+    n_items = names.count()
+    vectors = x.groupBy(user).agg(F.collect_list("item_no").alias("items"), F.collect_list(F.struct("r", "z")).alias("values"))
+    blocks = max(1, -(-stats.count() // hot))
+    mine = F.pmod(F.xxhash64(user), F.lit(blocks))
+    asks = vectors.withColumns({"block": mine, "lead": F.lit(1)})
+    meets = vectors.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "lead": F.lit(0)})
+    rows = asks.unionByName(meets).repartition(blocks, "block").sortWithinPartitions("block", F.desc("lead"), user)
+
+    def best(batches):
+        def dense(part):
+            items, values = part.column("items"), part.column("values")
+            at = np.repeat(np.arange(part.num_rows), pc.list_value_length(items).to_numpy(zero_copy_only=False)), items.flatten().to_numpy()
+            r, z, has = np.zeros((part.num_rows, n_items)), np.zeros((part.num_rows, n_items)), np.zeros((part.num_rows, n_items), bool)
+            r[at], z[at], has[at] = pc.struct_field(values.flatten(), "r").to_numpy(), pc.struct_field(values.flatten(), "z").to_numpy(), True
+            return r, z, has
+
+        def meet(state, part):
+            r, z, has = dense(part)
+            q, q_has, place, held = state["r"], state["has"], state["place"], state["held"]
+            dot, one, two, both = np.zeros((len(q), len(r))), np.zeros((len(q), len(r))), np.zeros((len(q), len(r))), np.zeros((len(q), len(r)), bool)
+            for i in range(n_items):  # in one order, so that sums do not depend on the batches
+                dot += np.outer(q[:, i], r[:, i])
+                one += np.outer(q[:, i] ** 2, has[:, i])
+                two += np.outer(q_has[:, i], r[:, i] ** 2)
+                both |= np.outer(q_has[:, i], has[:, i])
+            norm = np.sqrt(one * two)
+            sim = np.where(both, np.round(np.divide(dot, norm, out=np.zeros_like(dot), where=norm > 0), 12), -np.inf)
+            for c, u in enumerate(part.column(user).to_pylist()):
+                if u in place:
+                    sim[place[u], c] = -np.inf
+            for i in range(n_items):
+                at = np.flatnonzero(has[:, i])
+                old = held[i]
+                row, col = np.nonzero(sim[:, at] > old["least"][:, None])  # who comes later is after its equals
+                if not len(row):
+                    continue
+                rows_, sims = np.concatenate((old["row"], row)), np.concatenate((old["sim"], sim[row, at[col]]))
+                zs = np.concatenate((old["z"], z[at[col], i]))
+                order = np.lexsort((np.arange(len(rows_)), -sims, rows_))
+                rows_, sims, zs = rows_[order], sims[order], zs[order]
+                rank = np.arange(len(rows_)) - np.searchsorted(rows_, rows_, "left")
+                some = rank < k
+                least = old["least"]
+                least[rows_[rank == k - 1]] = sims[rank == k - 1]
+                held[i] = {"row": rows_[some], "sim": sims[some], "z": zs[some], "least": least}
+
+        def done(state):
+            users, numbers, p = [], [], []
+            for i, h in enumerate(state["held"]):
+                weight = np.bincount(h["row"], h["sim"], len(state["users"]))
+                total = np.bincount(h["row"], h["sim"] * h["z"], len(state["users"]))
+                for at in np.unique(h["row"]).tolist():
+                    users.append(state["users"][at]), numbers.append(i), p.append(float(total[at] / weight[at]) if weight[at] else None)
+            return pa.RecordBatch.from_arrays([pa.array(users, state["type"]), pa.array(numbers, pa.int32()), pa.array(p, pa.float64())], [user, "item_no", "p"])
+
+        state = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block, lead = batch.column("block").to_numpy(), batch.column("lead").to_numpy()
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (lead[1:] != lead[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+                if state is None or state["block"] != block[a]:
+                    if state and state["users"]:
+                        yield done(state)
+                    state = {"block": block[a], "users": [], "parts": [], "held": None, "type": batch.column(user).type}
+                for c in range(a, b, 1024):
+                    part = batch.slice(c, min(1024, b - c))
+                    if lead[a]:
+                        state["users"] += part.column(user).to_pylist()
+                        state["parts"].append(dense(part))
+                        continue
+                    if state["held"] is None:
+                        if not state["users"]:  # no user falls into this block
+                            break
+                        state["r"], state["has"] = (np.concatenate([x[j] for x in state["parts"]]) for j in (0, 2))
+                        state["place"] = {u: j for j, u in enumerate(state["users"])}
+                        none = np.zeros(0)
+                        state["held"] = [{"row": none.astype(np.int64), "sim": none, "z": none, "least": np.full(len(state["users"]), -np.inf)} for _ in range(n_items)]
+                    meet(state, part)
+        if state and state["users"]:
+            yield done(state)
+
+    schema = StructType([StructField(user, known.schema[user].dataType), StructField("item_no", IntegerType()), StructField("p", DoubleType())])
+    pred = rows.mapInArrow(best, schema).join(F.broadcast(names), "item_no")
     return pred.join(stats, user).select(user, item, (F.col("p") * scale + shift).alias("prediction"))
 
 
