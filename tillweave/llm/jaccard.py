@@ -11,7 +11,8 @@ verified on the whole sets.
 Exactness: bands overlap (a set whose partner may lie in the next band joins there too); small sets
 have one shingle a block; a set with too few non-empty blocks for its D also joins by single
 shingles. The order puts blocks of frequent shingles last; it changes cost, never results. The
-frequent shingles are counted over all documents and kept as a bitmap of fixed size.
+counts are of shingles in 3 or more different sets of a batch, summed over the batches; the HEAVY_KEPT most
+frequent set levels in a table of fixed size. A shingle rarer than that in every batch has level 0 and is not salted.
 
 Cost: equal sets are one class first. A bucket's members are linked to its smallest member if their
 sizes allow it; wherever members of like size then still lie in different components, whatever became
