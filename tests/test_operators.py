@@ -188,6 +188,12 @@ def test_knn_meets_every_user(spark, kind, hot):
     assert all(math.isclose(got[x], want[x], rel_tol=1e-9, abs_tol=1e-9) for x in want)
 
 
+def test_grid_search_scores_unseen_users(spark):
+    d = spark.createDataFrame([(u, "ab"[u % 2], 10.0 + 10 * (u % 2)) for u in range(30)], "u long, i string, r double")
+    (row,) = mo.grid_search(d, "u", "i", "r", [{"rank": 2, "maxIter": 2, "regParam": 0.1}], k=2).collect()
+    assert math.isclose(row.rmse, 0.0, abs_tol=1e-9)
+
+
 def test_clusters_fall_back_to_zero(spark):
     d = spark.createDataFrame([(i, "g", float(i), 1.0) for i in range(5)], "cust_id long, c string, x double, y double")
     assert {r.segmentation for r in sg.search(d, "c", ["x", "y"], 2, 3, lower=10).collect()} == {0}

@@ -360,7 +360,7 @@ query("mf_recommender")(lambda v: mo.factorise(stored(ratings(v)), "cust_id", "l
 query("nmf_recommender")(lambda v: mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating", nonnegative=True))
 query("knn_recommender")(lambda v: mo.knn(stored(ratings(v)), "cust_id", "l2_id", "rating", kind="means"))
 query("batch_predict")(lambda v: mo.headroom(jn.prediction_left(mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating"), ratings(v).withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")))
-query("grid_search")(lambda v: mo.grid_search(stored(ratings(v)), "cust_id", "l2_id", "rating", [{"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)]))
+query("grid_search")(lambda v: mo.grid_search(stored(ratings(v)), "cust_id", "l2_id", "rating", [*({"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)), {"rank": 8, "maxIter": 8, "regParam": 0.1}]))
 
 
 def _kfold(v):
