@@ -199,6 +199,12 @@ def test_clusters_fall_back_to_zero(spark):
     assert {r.segmentation for r in sg.search(d, "c", ["x", "y"], 2, 3, lower=10).collect()} == {0}
 
 
+def test_too_many_categories_are_an_error(spark):
+    d = spark.range(1001).selectExpr("id as cust_id", "cast(id as string) as c", "1.0D as x")
+    with pytest.raises(ValueError, match="categories"):
+        sg.search(d, "c", ["x"], 2, 3)
+
+
 def test_slice_is_replaced_whole(spark):
     path = shared_folder(spark)
     rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "campaign int, offer_id int, v string")

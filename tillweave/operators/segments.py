@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Categories that search fits one after the other, at most.
+MAX_CATEGORIES = 1000
+
+
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """scaled: the columns as a vector of unit deviation, not centred."""
     whole = VectorAssembler(inputCols=list(columns), outputCol="raw", handleInvalid="skip").transform(df)
@@ -53,8 +57,10 @@ def best_clusters(df: DataFrame, features: str, ks: Sequence[int], least: float
 def search(df: DataFrame, category: str, columns: Sequence[str], k_min: int, k_max: int, pca_k: int | None = 2, lower: int = 100, least: float = 0.01, key: str = "cust_id", seed: int = 7) -> DataFrame:
     """key, category, segmentation (and pca columns) of all categories; small ones are segment 0.
 
-    Categories are configured demographic codes, so the loop is over a short list."""
-    sizes = df.groupBy(category).count().orderBy(category).limit(1000).collect()
+    Categories are configured demographic codes, so the loop is over a short list; a longer one is an error."""
+    sizes = df.groupBy(category).count().orderBy(category).limit(MAX_CATEGORIES + 1).collect()
+    if len(sizes) > MAX_CATEGORIES:
+        raise ValueError(f"{category} has more than {MAX_CATEGORIES} categories")
     parts = []
     for row in sizes:
         part = df.filter(F.col(category).eqNullSafe(row[0]))

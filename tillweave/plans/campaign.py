@@ -386,7 +386,7 @@ def _seg_data(v):
 query("seg_standardise")(lambda v: sg.standardise(_seg_data(v), SEG).select("cust_id", F.expr("cast(scaled as string)").alias("scaled")))
 query("seg_pca")(lambda v: sg.reduced(sg.standardise(_seg_data(v), SEG), 2).select("cust_id", "pca_0", "pca_1"))
 query("seg_kmeans_search")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 5, lower=20))
-query("seg_union")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 4, pca_k=None, lower=20).join(mt.cust_activity_counts(v.scoped), "cust_id"))
+query("seg_union")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 6, pca_k=None, lower=20).join(mt.cust_activity_counts(v.scoped), "cust_id"))
 query("cluster_size_check", "SELECT l2_id, n_rows, n_rows::DOUBLE / (sum(n_rows) OVER ())::DOUBLE AS fraction, n_rows::DOUBLE / (sum(n_rows) OVER ())::DOUBLE < 0.2::DOUBLE AS fails FROM (SELECT l2_id, count(*) AS n_rows FROM scoped GROUP BY l2_id)")(lambda v: sg.cluster_sizes(v.scoped, "l2_id", 0.2))
 
 
