@@ -17,7 +17,7 @@ ship(__name__)
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def table_of(seed: int, n: int = 256) -> np.ndarray:

@@ -16,7 +16,10 @@ frequent set levels in a table of fixed size. A shingle rarer than that in every
 
 Cost: equal sets are one class first. A bucket's members are linked to its smallest member if their
 sizes allow it; wherever members of like size then still lie in different components, whatever became
-of their stars, the other pairs are tried, so groups of copies cost links in proportion to their size. Buckets of frequent blocks are salted by document.
+of their stars, the others are held against each other by parity bits, so groups of copies cost links in
+proportion to their size. Buckets of the same members are tried once; a large one is cut into blocks, and
+every two blocks meet in a task of their own, which returns only pairs that the bits do not rule out.
+Buckets of frequent blocks are salted by document. Only ids of candidates are broadcast, up to BROADCAST_IDS rows.
 
 Defined results: no words or null text: size 0 and linked with nothing; a null doc_id is its own row
 with a null component; rows that repeat a doc_id are one node, linked where either text is;
@@ -25,6 +28,7 @@ extra columns are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -42,8 +46,12 @@ WORDS, FIRST_BAND, FACTOR, FILL = 5, 64, 4, 1.5
 #: Shingles in HEAVY documents or more are frequent; of these the HEAVY_KEPT most frequent count.
 HEAVY, HEAVY_KEPT, HEAVY_BITS = 24, 1 << 20, 22
 SALTS, STAR, ENTRIES, MAX_BUCKETS = 16, 256, 200_000, 1 << 20
-#: Documents that are candidates are found by a broadcast of ids up to this many (8 bytes each).
-BROADCAST_IDS = 500_000
+#: Entries that a task gathers before it hands them on.
+HELD_ENTRIES = 1 << 18
+#: Members of a bucket that meet in one block.
+MEETING = 1024
+#: Documents that are candidates are found by a broadcast of two ids and a salt up to this many rows (20 bytes each).
+BROADCAST_IDS = 200_000
 #: Words of the parity sketch that candidates are held against before their texts are fetched.
 BIT_WORDS = 16
 SETS = "kind long, doc_id long, n long, s1 long, s2 long, bits array<long>"
@@ -132,12 +140,23 @@ def prefix(token, row, level, keep: np.ndarray):
 ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("n", "<i4")])
 
 
+def _gathered(out: list) -> pa.RecordBatch:
+    """Entries sorted into buckets, one blob for each."""
+    bucket, entry = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+    order = np.argsort(bucket, kind="stable")
+    bucket, entry = bucket[order], entry[order]
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    ends = np.concatenate((at, [len(bucket)])) * ENTRY.itemsize
+    blobs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(entry)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), blobs], ["bucket", "entries"])
+
+
 def _entry_batches(packed_levels: bytes, buckets: int):
     def run(batches):
         levels = np.frombuffer(zlib.decompress(packed_levels), np.uint8)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            out, seen = [], set()
+            out, seen, held = [], set(), 0
             for i, j, buf, offs in A.chunks(batch.column("text")):
                 ptr, h = A.shingle_sets(buf, offs, WORDS)
                 n = np.diff(ptr)
@@ -166,13 +185,12 @@ def _entry_batches(packed_levels: bytes, buckets: int):
                             e["token"], e["doc"], e["n"] = t, ids[i:j][rows][r], size[r]
                             salt = np.where(v, 1 + (A.mix(e["doc"].view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
                             out.append((((A.mix(t + salt.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64) * 2 + v, e))
-            if sum(len(e) for _, e in out):
-                bucket, entry = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
-                order = np.argsort(bucket, kind="stable")
-                bucket, entry = bucket[order], entry[order]
-                at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                blobs = [entry[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+                            held += len(e)
+                if held >= HELD_ENTRIES:
+                    yield _gathered(out)
+                    out, held = [], 0
+            if held:
+                yield _gathered(out)
 
     return run
 
@@ -183,27 +201,66 @@ FOUND = "kind int, token long, a long, others array<long>"
 def join_bucket(table):
     """kind 0: a candidate pair (a, others[0]); 1: members of a block shared by three or more; 2: a salt's smallest."""
     salted = table.column("bucket")[0].as_py() % 2
-    e = np.frombuffer(b"".join(table.column("entries").to_pylist()), ENTRY)
-    order = np.lexsort((e["doc"], e["token"]))
-    e = e[order]
-    start = np.flatnonzero(np.concatenate(([True], e["token"][1:] != e["token"][:-1])))
-    size = np.diff(np.append(start, len(e)))
-    lead = np.repeat(e["doc"][start], size)
-    pair = np.unique(np.stack((e["doc"], lead), axis=1)[e["doc"] != lead], axis=0)
-    kind, token, a, others = [0] * len(pair), [0] * len(pair), pair[:, 0].tolist(), [[x] for x in pair[:, 1].tolist()]
-    seen = set()
-    for k in np.flatnonzero(size >= (1 if salted else 3)):
-        s = e[start[k] : start[k] + size[k]]
-        docs = np.unique(s["doc"])
-        key = docs.tobytes()
-        t = int(s["token"][:1].view(np.int64)[0])
-        if salted:
-            kind.append(2), token.append(t), a.append(int(docs[0])), others.append([])
-        if not salted and (len(docs) < 3 or key in seen):
+    e = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in table.column("entries")])
+    e = e[np.lexsort((e["doc"], e["token"]))]
+    token, doc = e["token"].view(np.int64), e["doc"]
+    new = np.concatenate(([True], (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])))
+    token, doc = token[new], doc[new]
+    start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    size = np.diff(np.append(start, len(token)))
+    lead = np.repeat(doc[start], size)
+    pair = np.unique(np.stack((doc, lead), axis=1)[doc != lead], axis=0)
+    low = np.arange(len(start)) if salted else start[:0]
+    # groups of the same members, by two sums of their hashes, count once; a salt is a part of a group and stays
+    h = A.mix(doc.view(np.uint64))
+    ends = np.append(start, len(token))
+    sums = np.stack((A.sums(h.view(np.int64), ends), A.sums(A.mix(h ^ K[1]).view(np.int64), ends), size), axis=1)
+    many = np.arange(len(start)) if salted else np.flatnonzero(size >= 3)
+    if not salted and len(many):
+        many = many[np.sort(np.unique(sums[many], axis=0, return_index=True)[1])]
+    of = np.repeat(start[many] - np.concatenate(([0], np.cumsum(size[many])[:-1])).astype(np.int64), size[many]) + np.arange(size[many].sum()) if len(many) else start[:0]
+    per = np.concatenate((np.ones(len(pair), np.int64), size[many], np.zeros(len(low), np.int64)))
+    others = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(per))).astype(np.int32)), pa.array(np.concatenate((pair[:, 1], doc[of]))))
+    kinds = np.repeat([0, 1, 2], (len(pair), len(many), len(low))).astype(np.int32)
+    tokens = np.concatenate((np.zeros(len(pair), np.int64), token[start[many]], token[start[low]]))
+    a = np.concatenate((pair[:, 0], doc[start[many]], doc[start[low]]))
+    return pa.table({"kind": pa.array(kinds), "token": pa.array(tokens), "a": pa.array(a), "others": others})
+
+
+def _meet_batches(batches):
+    """Members of blocks, sorted by group: the pairs of a group in different components that sizes and parity bits allow."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in MEMBER]
+            new.append(batch.column("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BIT_WORDS))
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+        if held is None or not len(held[0]):
             continue
-        seen.add(key)
-        kind.append(1), token.append(t), a.append(int(docs[0])), others.append(docs.tolist())
-    return pa.table({"kind": pa.array(kind, pa.int32()), "token": pa.array(token, pa.int64()), "a": pa.array(a, pa.int64()), "others": pa.array(others, pa.list_(pa.int64()))})
+        edge = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in held[:4]], axis=0)))
+        stop = len(edge) if batch is None else int(np.flatnonzero(edge)[-1])  # the last group may go on
+        _token, _like, lo, hi, block, rep, n, component, sure, bits = (x[:stop] for x in held)
+        held = [x[stop:] for x in held]
+        group, a, b = np.cumsum(edge[:stop]), [], []
+        i, d = np.arange(stop), 1
+        while True:
+            i = i[i + d < stop]
+            i = i[group[i] == group[i + d]]
+            if not len(i):
+                break
+            j = i + d
+            ok = (component[i] != component[j]) & ((block[i] != block[j]) | (lo[i] == hi[i])) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
+            p, q = i[ok], j[ok]
+            ok = ~(sure[p] & sure[q]) | (7 * np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= n[p] + n[q])
+            a.append(np.maximum(rep[p[ok]], rep[q[ok]]))
+            b.append(np.minimum(rep[p[ok]], rep[q[ok]]))
+            d += 1
+        if a:
+            pair = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+
+
+MEMBER = ["token", "like", "lo", "hi", "block", "rep", "n", "component", "sure"]
 
 
 def _verify_batches(batches):
@@ -252,7 +309,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
-    of = lambda c: fitting(comp.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")))
+    of = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
     both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     return both.filter("coalesce(c_a, a) != coalesce(c_b, b)").drop("c_a", "c_b")
 
@@ -263,6 +320,25 @@ def like_sizes(n: str):
     return F.array(k, k + 1)
 
 
+def open_pairs(met: DataFrame, real: DataFrame, comp: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket, lie in different components and are not ruled out by size or parity bits."""
+    home = real.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(home, "doc_id")
+    crowd = settled(crowd.select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n", "component").distinct())
+    # buckets of the same members, by two 64-bit sums of their hashes, are tried once
+    same = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    open_ = crowd.groupBy("token", "like").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), *same).filter("lo != hi")
+    once = open_.groupBy("x1", "x2", "size", "like").agg(F.min("token").alias("token")).select("token", "like", F.expr(f"cast(ceil(size / {MEETING}) as int)").alias("blocks"))
+    some = crowd.join(once, ["token", "like"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    bits = drawn.select(F.col("doc_id").alias("rep"), "bits")
+    some = some.join(bits, "rep", "left").select(
+        "token", "like", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "component",
+        F.col("bits").isNotNull().alias("sure"), F.coalesce("bits", F.array_repeat(F.lit(0).cast("long"), BIT_WORDS)).alias("bits"),
+    )
+    keys = ["token", "like", "lo", "hi"]
+    return some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meet_batches, "a long, b long").distinct()
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     need(docs, "doc_id", "text")
@@ -287,7 +363,7 @@ def linked(docs: DataFrame) -> DataFrame:
         """Pairs of different classes (b the smaller) whose sizes allow a link, and how often each was met."""
         a = real.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"))
         b = real.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"))
-        both = pairs.join(fitting(a), "a").join(fitting(b), "b").filter("ra != rb and 4 * least(na, nb) >= 3 * greatest(na, nb)")
+        both = pairs.join(a, "a").join(b, "b").filter("ra != rb and 4 * least(na, nb) >= 3 * greatest(na, nb)")
         return both.groupBy(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).agg(F.sum("times").alias("times"))
 
     drawn = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_set(F.struct("n", "bits")).alias("z")).filter("size(z) = 1")
@@ -296,7 +372,7 @@ def linked(docs: DataFrame) -> DataFrame:
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs that their sketches do not rule out: more bits differ than shingles may."""
-        side = lambda c: fitting(drawn.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"w{c}")))
+        side = lambda c: drawn.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"w{c}"))
         both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
         return both.filter(f"wa is null or wb is null or 7 * {differ} <= na + nb").select("a", "b")
 
@@ -313,18 +389,10 @@ def linked(docs: DataFrame) -> DataFrame:
         links = links.unionByName(settled(verified(named, second)))
         comp = settled(components(links))
     # stars that sizes rule out say nothing of the others: pairs are tried wherever a bucket's members of like size are still apart
-    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(fitting(real), "doc_id")
-    crowd = crowd.join(fitting(comp.withColumnRenamed("node", "rep")), "rep", "left").select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n", F.coalesce("component", "rep").alias("component"))
-    split = settled(crowd.groupBy("token", "like").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token", "like"))
-    if not split.isEmpty():
-        rest = settled(crowd.join(fitting(split), ["token", "like"], "left_semi").distinct())
-        x = rest.select("token", "like", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        y = rest.select("token", "like", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        more = x.join(y, ["token", "like"]).filter("b < a and cb != ca and 4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b").distinct()
-        more = settled(close(more).join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
-        if not more.isEmpty():
-            links = links.unionByName(settled(verified(named, more)))
-            comp = settled(components(links))
+    more = settled(open_pairs(met, real, comp, drawn).join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        links = links.unionByName(settled(verified(named, more)))
+        comp = settled(components(links))
     out = member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
     nameless = docs.filter("doc_id is null").mapInArrow(_set_batches, SETS).filter("kind = 0")
