@@ -167,6 +167,44 @@ def test_jaccard_excerpts(spark, monkeypatch, heavy):
     assert got == keyed(data, brute_groups(data))
 
 
+@pytest.mark.parametrize("meeting", [512, 2])
+def test_jaccard_bands(spark, monkeypatch, meeting):
+    """Every band of sizes and both widths of bits: a container, parts of it that link with each other, and grades, ids in every order."""
+    monkeypatch.setattr(jaccard, "MEETING", meeting)
+    monkeypatch.setattr(jaccard, "HELD_PAIRS", 64 if meeting == 2 else 1 << 18)
+    rng, texts = random.Random(meeting), []
+    for k, size in enumerate([12, 30, 60, 64, 90, 255, 300, 700, 1100, 1500, 2500, 6000] * 2):
+        word = lambda: f"w{rng.randrange(10**7)}"  # noqa: E731, B023
+        base = [word() for _ in range(size + 4)]
+        part = base[: size * 2 // 3 + 4]
+        group = [base, part]
+        for grade in (0.05, 0.1, 0.13, 0.16):
+            cut = max(1, int(len(part) * grade))
+            group.append(part[:-cut] + [word() for _ in range(cut)])
+            group.append([word() for _ in range(cut)] + part[cut:])
+        group.append(base[size // 4 :])
+        rng.shuffle(group)
+        texts += [" ".join(g) for g in (group[:4] if size == 6000 and k > 12 else group)]
+    rng.shuffle(texts)
+    data = list(enumerate(texts))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.linked(spark.createDataFrame(data, "doc_id long, text string").repartition(5)).collect())
+    assert got == keyed(data, brute_groups(data))
+
+
+def test_parity_bits_fold():
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (3, 1440, 1441, 6000)]
+    ptr = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    words, each = jaccard.parity_bits(ptr, np.concatenate(sets))
+    assert each.tolist() == [16, 16, 64, 256]
+    rows = jaccard.folded(words.view(np.uint64), np.cumsum(each) - each, each, 16)
+    for k, x in enumerate(sets):
+        one, _ = jaccard.parity_bits(np.array([0, len(x) % 1440]), x[: len(x) % 1440])
+        two, _ = jaccard.parity_bits(np.array([0, len(x) - len(x) % 1440]), x[len(x) % 1440 :])
+        whole = jaccard.folded(one.view(np.uint64), np.array([0]), np.array([len(one)]), 16) ^ jaccard.folded(two.view(np.uint64), np.array([0]), np.array([len(two)]), 16)
+        assert (rows[k] == whole[0]).all()
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -48,12 +48,13 @@ HEAVY, HEAVY_KEPT, HEAVY_BITS = 24, 1 << 20, 22
 SALTS, STAR, ENTRIES, MAX_BUCKETS = 16, 256, 200_000, 1 << 20
 #: Entries that a task gathers before it hands them on.
 HELD_ENTRIES = 1 << 18
-#: Members of a bucket that meet in one block.
-MEETING = 1024
+#: Members of a bucket that meet in one block; pairs that a task holds before it sifts or yields them.
+MEETING, HELD_PAIRS = 512, 1 << 18
 #: Documents that are candidates are found by a broadcast of two ids and a salt up to this many rows (20 bytes each).
 BROADCAST_IDS = 200_000
-#: Words of the parity sketch that candidates are held against before their texts are fetched.
-BIT_WORDS = 16
+#: 64-bit words of the parity bits that candidates are held against before their texts are fetched: BIT_WORDS up to
+#: BIT_SHINGLES shingles, and four times as many for every four times as many shingles.
+BIT_WORDS, BIT_SHINGLES = 16, 1440
 SETS = "kind long, doc_id long, n long, s1 long, s2 long, bits array<long>"
 K = [np.uint64(x | 1) for x in (0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 
@@ -62,11 +63,13 @@ def _set_batches(batches):
     """kind 0: doc_id, size, two set hashes, parity bits; kind 1: a shingle hash found in 3 or more different sets of a batch."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        size, one, two, kept, bits, seen = [], [], [], [], [], set()
+        size, one, two, kept, bits, long, seen = [], [], [], [], [], [], set()
         for _i, _j, buf, offs in A.chunks(batch.column("text")):
             ptr, h = A.shingle_sets(buf, offs, WORDS)
             size.append(np.diff(ptr))
-            bits.append(parity_bits(ptr, h))
+            words, each = parity_bits(ptr, h)
+            bits.append(words)
+            long.append(each)
             one.append(A.sums(A.mix(h ^ K[0]).view(np.int64), ptr))
             two.append(A.sums(A.mix(h ^ K[1]).view(np.int64), ptr))
             kept.append(h[np.repeat(_unseen(one[-1], size[-1], seen), size[-1])])
@@ -80,18 +83,28 @@ def _set_batches(batches):
         heavy, times = kept[start[many]].view(np.int64), count[many]
         zero, none = np.zeros(len(many), np.int64), np.zeros(len(n), np.int64)
         columns = ((none, zero + 1), (ids, heavy), (n, times), (one, zero), (two, zero))
-        words = np.concatenate(bits)
-        at = np.concatenate((np.arange(len(n) + 1) * BIT_WORDS, np.full(len(many), len(n) * BIT_WORDS))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(at), pa.array(words.ravel()))
+        at = np.cumsum(np.concatenate(([0], *long, zero))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(bits)))
         yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in columns), lists], ["kind", "doc_id", "n", "s1", "s2", "bits"])
 
 
-def parity_bits(ptr: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """A row of BIT_WORDS 64-bit words per set: every shingle flips one bit, so differing bits never outnumber differing shingles."""
-    rows, width = len(ptr) - 1, BIT_WORDS * 64
-    bit = (A.mix(h ^ K[2]) % np.uint64(width)).astype(np.int64)
-    odd = np.bincount(A.owners(ptr) * width + bit, minlength=rows * width) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8").reshape(rows, BIT_WORDS)
+def parity_bits(ptr: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits of every set, in 64-bit words, and how many words each has. A shingle flips one bit, so differing bits never
+    outnumber differing shingles; a set's bits at a quarter of the width are the XOR of the quarters of its words."""
+    words = BIT_WORDS << (2 * np.searchsorted(BIT_SHINGLES * 4 ** np.arange(20), np.diff(ptr)))
+    base, row = np.concatenate(([0], np.cumsum(words * 64))), A.owners(ptr)
+    bit = base[row] + (A.mix(h ^ K[2]) % (words * 64).astype(np.uint64)[row]).astype(np.int64)
+    odd = np.bincount(bit, minlength=base[-1]) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8"), words
+
+
+def folded(words: np.ndarray, start: np.ndarray, each: np.ndarray, width: int) -> np.ndarray:
+    """Rows of parity words, each folded to width words."""
+    out = np.empty((len(start), width), np.uint64)
+    for k in np.unique(each):
+        r = np.flatnonzero(each == k)
+        out[r] = np.bitwise_xor.reduce(words[start[r][:, None] + np.arange(k)].reshape(len(r), k // width, width), axis=1)
+    return out
 
 
 def _unseen(sig: np.ndarray, n: np.ndarray, seen: set) -> np.ndarray:
@@ -227,40 +240,71 @@ def join_bucket(table):
     return pa.table({"kind": pa.array(kinds), "token": pa.array(tokens), "a": pa.array(a), "others": others})
 
 
-def _meet_batches(batches):
-    """Members of blocks, sorted by group: the pairs of a group in different components that sizes and parity bits allow."""
-    held = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in MEMBER]
-            new.append(batch.column("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BIT_WORDS))
-            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-        if held is None or not len(held[0]):
-            continue
-        edge = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in held[:4]], axis=0)))
-        stop = len(edge) if batch is None else int(np.flatnonzero(edge)[-1])  # the last group may go on
-        _token, _like, lo, hi, block, rep, n, component, sure, bits = (x[:stop] for x in held)
-        held = [x[stop:] for x in held]
-        group, a, b = np.cumsum(edge[:stop]), [], []
-        i, d = np.arange(stop), 1
-        while True:
-            i = i[i + d < stop]
-            i = i[group[i] == group[i + d]]
-            if not len(i):
-                break
-            j = i + d
-            ok = (component[i] != component[j]) & ((block[i] != block[j]) | (lo[i] == hi[i])) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
-            p, q = i[ok], j[ok]
-            ok = ~(sure[p] & sure[q]) | (7 * np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= n[p] + n[q])
-            a.append(np.maximum(rep[p[ok]], rep[q[ok]]))
-            b.append(np.minimum(rep[p[ok]], rep[q[ok]]))
-            d += 1
-        if a:
-            pair = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-
-MEMBER = ["token", "like", "lo", "hi", "block", "rep", "n", "component", "sure"]
+MEMBER = ["token", "like", "lo", "hi", "block", "rep", "n", "component", "words"]
+
+
+def _meet_batches(nearest: bool):
+    """Members of blocks, sorted by group: the pairs of a group in different components that sizes and parity bits allow, or
+    of each two components only the pair whose bits differ least. words is 0 where no bits are known: such pairs are allowed."""
+
+    def sifted(found: list[np.ndarray]) -> np.ndarray:
+        """Rows of far, ca, cb, a, b, without repeats; the nearest of each two components if only that is asked for."""
+        x = np.unique(np.concatenate(found), axis=0)
+        return x[np.sort(np.unique(x[:, 1:3], axis=0, return_index=True)[1])] if nearest else x
+
+    def run(batches):
+        held, words = None, np.zeros(0, np.uint64)
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in MEMBER]
+                held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+                words = np.concatenate((words, batch.column("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64)))
+            if held is None or not len(held[0]):
+                continue
+            edge = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in held[:4]], axis=0)))
+            stop = len(edge) if batch is None else int(np.flatnonzero(edge)[-1])  # the last group may go on
+            _token, _like, lo, hi, block, rep, n, component, each = (x[:stop] for x in held)
+            held = [x[stop:] for x in held]
+            known, words = words, words[each.sum() :]
+            found, many = [], 0
+            if stop:
+                start, first = np.cumsum(each) - each, np.flatnonzero(edge[:stop])
+                group = np.cumsum(edge[:stop]) - 1
+                width = np.minimum.reduceat(np.where(each, each, 1 << 40), first)[group]
+            for w in np.unique(width) if stop else ():
+                of = np.flatnonzero(width == w)
+                at = np.zeros(stop, np.int64)
+                drawn = of[each[of] > 0]
+                at[drawn] = np.arange(len(drawn))
+                bits = folded(known, start[drawn], each[drawn], int(w)) if len(drawn) else None
+                i, d = of, 1
+                while True:
+                    i = i[i + d < stop]
+                    i = i[group[i] == group[i + d]]
+                    if not len(i):
+                        break
+                    j = i + d
+                    ok = (component[i] != component[j]) & ((block[i] != block[j]) | (lo[i] == hi[i])) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
+                    p, q = i[ok], j[ok]
+                    far, sure = np.zeros(len(p), np.int64), np.flatnonzero((each[p] > 0) & (each[q] > 0))
+                    if len(sure):
+                        far[sure] = np.bitwise_count(bits[at[p[sure]]] ^ bits[at[q[sure]]]).sum(axis=1, dtype=np.int64)
+                    ok = 7 * far <= n[p] + n[q]
+                    p, q = p[ok], q[ok]
+                    c = component[p], component[q]
+                    found.append(np.stack((far[ok], np.maximum(*c), np.minimum(*c), np.maximum(rep[p], rep[q]), np.minimum(rep[p], rep[q])), axis=1))
+                    many += len(p)
+                    if many >= HELD_PAIRS:
+                        found = [sifted(found)]
+                        many = len(found[0])
+                        if many >= HELD_PAIRS // 2:
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[0].T.copy()], ["far", "ca", "cb", "a", "b"])
+                            found, many = [], 0
+                    d += 1
+            if many:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in sifted(found).T.copy()], ["far", "ca", "cb", "a", "b"])
+
+    return run
 
 
 def _verify_batches(batches):
@@ -320,8 +364,10 @@ def like_sizes(n: str):
     return F.array(k, k + 1)
 
 
-def open_pairs(met: DataFrame, real: DataFrame, comp: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket, lie in different components and are not ruled out by size or parity bits."""
+def open_pairs(met: DataFrame, real: DataFrame, comp: DataFrame, drawn: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket, lie in different components and are not ruled out by size or parity bits.
+
+    nearest: of each two components only the pair whose bits differ least."""
     home = real.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "rep", "n", F.coalesce("component", "rep").alias("component"))
     crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(home, "doc_id")
     crowd = settled(crowd.select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n", "component").distinct())
@@ -333,10 +379,20 @@ def open_pairs(met: DataFrame, real: DataFrame, comp: DataFrame, drawn: DataFram
     bits = drawn.select(F.col("doc_id").alias("rep"), "bits")
     some = some.join(bits, "rep", "left").select(
         "token", "like", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "component",
-        F.col("bits").isNotNull().alias("sure"), F.coalesce("bits", F.array_repeat(F.lit(0).cast("long"), BIT_WORDS)).alias("bits"),
+        F.coalesce(F.size("bits"), F.lit(0)).cast("long").alias("words"), F.coalesce("bits", F.expr("cast(array() as array<long>)")).alias("bits"),
     )
     keys = ["token", "like", "lo", "hi"]
-    return some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meet_batches, "a long, b long").distinct()
+    found = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meet_batches(nearest), "far long, ca long, cb long, a long, b long")
+    if nearest:
+        return found.groupBy("ca", "cb").agg(F.min(F.struct("far", "a", "b")).alias("z")).select("z.a", "z.b")
+    return found.select("a", "b").distinct()
+
+
+def differing_bits(x: str, y: str) -> str:
+    """SQL for how many parity bits of two arrays of words differ, the longer folded to the shorter."""
+    narrow = lambda p, q: f"transform(sequence(1, size({q})), i -> aggregate(sequence(0, size({p}) div size({q}) - 1), 0L, (s, k) -> s ^ {p}[i - 1 + k * size({q})]))"
+    left, right = (f"if(size({p}) > size({q}), {narrow(p, q)}, {p})" for p, q in ((x, y), (y, x)))
+    return f"aggregate(zip_with({left}, {right}, (u, v) -> bit_count(u ^ v)), 0, (s, k) -> s + k)"
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -368,30 +424,36 @@ def linked(docs: DataFrame) -> DataFrame:
 
     drawn = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_set(F.struct("n", "bits")).alias("z")).filter("size(z) = 1")
     drawn = settled(drawn.join(real.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.col("z")[0]["n"].alias("n"), F.col("z")[0]["bits"].alias("bits")))
-    differ = "aggregate(zip_with(wa, wb, (x, y) -> bit_count(x ^ y)), 0, (s, k) -> s + k)"
 
     def close(pairs: DataFrame) -> DataFrame:
-        """Pairs that their sketches do not rule out: more bits differ than shingles may."""
+        """Pairs that their parity bits do not rule out: more bits differ than shingles may."""
         side = lambda c: drawn.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"w{c}"))
         both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-        return both.filter(f"wa is null or wb is null or 7 * {differ} <= na + nb").select("a", "b")
+        return both.filter(f"wa is null or wb is null or 7 * {differing_bits('wa', 'wb')} <= na + nb").select("a", "b")
 
     stars = met.filter("kind = 0").groupBy("a", F.col("others")[0].alias("b")).agg(F.count("*").alias("times"))
     mins = met.filter("kind = 2").select("token", "a")
     low = mins.groupBy("token").agg(F.min("a").alias("b"))
     stars = settled(of_reps(stars.unionByName(mins.join(low, "token").filter("a != b").groupBy("a", "b").agg(F.count("*").alias("times")))))
-    # first each class with the center that it met most often, then the other stars that this left apart
-    tried = settled(close(stars.select("a", "b")).join(stars, ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")))
-    links = settled(verified(named, tried))
-    comp = settled(components(links))
-    second = settled(close(apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), comp)))
-    if not second.isEmpty():
-        links = links.unionByName(settled(verified(named, second)))
-        comp = settled(components(links))
-    # stars that sizes rule out say nothing of the others: pairs are tried wherever a bucket's members of like size are still apart
-    more = settled(open_pairs(met, real, comp, drawn).join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionByName(settled(verified(named, more)))
+    # First each class with the center that it met most often; then the other stars that this left apart. Stars that sizes rule
+    # out say nothing of the others: wherever a bucket's members of like size are still apart, the nearest of each two components
+    # are tried, and at last every pair that is still left.
+    steps = [
+        lambda: close(stars.select("a", "b")).join(stars, ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")),
+        lambda: close(apart(stars.select("a", "b"), comp)),
+        lambda: open_pairs(met, real, comp, drawn, True),
+        lambda: open_pairs(met, real, comp, drawn, False),
+    ]
+    comp, links, tried = docs.sparkSession.createDataFrame([], "node long, component long"), None, None
+    for step in steps:
+        pairs = settled(step() if tried is None else step().join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        linking = settled(verified(named, pairs))
+        if linking.isEmpty():
+            continue
+        links = linking if links is None else links.unionByName(linking)
         comp = settled(components(links))
     out = member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
