@@ -150,18 +150,27 @@ def prefix(token, row, level, keep: np.ndarray):
     return token[some], row[some], level[some] > 0
 
 
-ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("n", "<i4")])
-
-
 def _gathered(out: list) -> pa.RecordBatch:
-    """Entries sorted into buckets, one blob for each."""
-    bucket, entry = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+    """Entries sorted into buckets, one row for each: its tokens, and its ids as 32-bit offsets of the smallest where these suffice."""
+    bucket, token, doc = (np.concatenate(x) for x in zip(*out, strict=True))
     order = np.argsort(bucket, kind="stable")
-    bucket, entry = bucket[order], entry[order]
+    bucket, token, doc = bucket[order], token[order], doc[order]
     at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-    ends = np.concatenate((at, [len(bucket)])) * ENTRY.itemsize
-    blobs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(entry)])
-    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), blobs], ["bucket", "entries"])
+    ends = np.concatenate((at, [len(bucket)]))
+    base = int(doc.min())
+    ids = doc if int(doc.max()) - base >= 1 << 32 else (doc - base).astype(np.uint32)
+    blobs = lambda x: pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(np.full(len(at), base)), blobs(token), blobs(ids)], ["bucket", "base", "tokens", "ids"])
+
+
+def _entries(table) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and doc_ids of the rows that _gathered made."""
+    token, doc = [], []
+    for base, t, i in zip(table.column("base").to_pylist(), table.column("tokens"), table.column("ids"), strict=True):
+        token.append(np.frombuffer(t.as_buffer(), np.int64))
+        short = len(i.as_buffer()) < len(t.as_buffer())
+        doc.append(np.frombuffer(i.as_buffer(), np.uint32).astype(np.int64) + base if short else np.frombuffer(i.as_buffer(), np.int64))
+    return np.concatenate(token), np.concatenate(doc)
 
 
 def _entry_batches(packed_levels: bytes, buckets: int):
@@ -194,11 +203,10 @@ def _entry_batches(packed_levels: bytes, buckets: int):
                             t, r, v = prefix(*sketch_tokens(one, size[few], band, levels, True), need_[few])
                             parts.append((t, few[r], v))
                         for t, r, v in parts:
-                            e = np.empty(len(t), ENTRY)
-                            e["token"], e["doc"], e["n"] = t, ids[i:j][rows][r], size[r]
-                            salt = np.where(v, 1 + (A.mix(e["doc"].view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
-                            out.append((((A.mix(t + salt.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64) * 2 + v, e))
-                            held += len(e)
+                            doc = ids[i:j][rows][r]
+                            salt = np.where(v, 1 + (A.mix(doc.view(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
+                            out.append((((A.mix(t + salt.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64) * 2 + v, t.view(np.int64), doc))
+                            held += len(t)
                 if held >= HELD_ENTRIES:
                     yield _gathered(out)
                     out, held = [], 0
@@ -214,9 +222,9 @@ FOUND = "kind int, token long, a long, others array<long>"
 def join_bucket(table):
     """kind 0: a candidate pair (a, others[0]); 1: members of a block shared by three or more; 2: a salt's smallest."""
     salted = table.column("bucket")[0].as_py() % 2
-    e = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in table.column("entries")])
-    e = e[np.lexsort((e["doc"], e["token"]))]
-    token, doc = e["token"].view(np.int64), e["doc"]
+    token, doc = _entries(table)
+    order = np.lexsort((doc, token))
+    token, doc = token[order], doc[order]
     new = np.concatenate(([True], (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])))
     token, doc = token[new], doc[new]
     start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
@@ -241,16 +249,26 @@ def join_bucket(table):
 
 
 MEMBER = ["token", "like", "lo", "hi", "block", "rep", "n", "component", "words"]
+FOUND_PAIR = ["token", "like", "ca", "cb", "far", "a", "b", "many"]
 
 
 def _meet_batches(nearest: bool):
-    """Members of blocks, sorted by group: the pairs of a group in different components that sizes and parity bits allow, or
-    of each two components only the pair whose bits differ least. words is 0 where no bits are known: such pairs are allowed."""
+    """Members of blocks, sorted by group: the pairs of a group in different components that sizes and parity bits allow, or of
+    each two components the pair whose bits differ least and how many there are. words is 0 where no bits are known: such pairs are allowed."""
 
     def sifted(found: list[np.ndarray]) -> np.ndarray:
-        """Rows of far, ca, cb, a, b, without repeats; the nearest of each two components if only that is asked for."""
-        x = np.unique(np.concatenate(found), axis=0)
-        return x[np.sort(np.unique(x[:, 1:3], axis=0, return_index=True)[1])] if nearest else x
+        """Rows of FOUND_PAIR without repeats; of each two components in a bucket one, if only the nearest are asked for."""
+        x = np.concatenate(found)
+        key = x[:, :7] if nearest else x[:, 5:7]
+        x = x[np.lexsort(key.T[::-1])]
+        key = x[:, :4] if nearest else x[:, 5:7]
+        at = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
+        out = x[at]
+        out[:, 7] = np.add.reduceat(x[:, 7], at)
+        return out
+
+    def rows(x: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in x.T.copy()], FOUND_PAIR)
 
     def run(batches):
         held, words = None, np.zeros(0, np.uint64)
@@ -263,7 +281,7 @@ def _meet_batches(nearest: bool):
                 continue
             edge = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in held[:4]], axis=0)))
             stop = len(edge) if batch is None else int(np.flatnonzero(edge)[-1])  # the last group may go on
-            _token, _like, lo, hi, block, rep, n, component, each = (x[:stop] for x in held)
+            token, like, lo, hi, block, rep, n, component, each = (x[:stop] for x in held)
             held = [x[stop:] for x in held]
             known, words = words, words[each.sum() :]
             found, many = [], 0
@@ -292,17 +310,17 @@ def _meet_batches(nearest: bool):
                     ok = 7 * far <= n[p] + n[q]
                     p, q = p[ok], q[ok]
                     c = component[p], component[q]
-                    found.append(np.stack((far[ok], np.maximum(*c), np.minimum(*c), np.maximum(rep[p], rep[q]), np.minimum(rep[p], rep[q])), axis=1))
+                    found.append(np.stack((token[p], like[p], np.maximum(*c), np.minimum(*c), far[ok], np.maximum(rep[p], rep[q]), np.minimum(rep[p], rep[q]), np.ones_like(p)), axis=1))
                     many += len(p)
                     if many >= HELD_PAIRS:
                         found = [sifted(found)]
                         many = len(found[0])
                         if many >= HELD_PAIRS // 2:
-                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[0].T.copy()], ["far", "ca", "cb", "a", "b"])
+                            yield rows(found[0])
                             found, many = [], 0
                     d += 1
             if many:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in sifted(found).T.copy()], ["far", "ca", "cb", "a", "b"])
+                yield rows(sifted(found))
 
     return run
 
@@ -364,28 +382,30 @@ def like_sizes(n: str):
     return F.array(k, k + 1)
 
 
-def open_pairs(met: DataFrame, real: DataFrame, comp: DataFrame, drawn: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket, lie in different components and are not ruled out by size or parity bits.
+def crowds(met: DataFrame, real: DataFrame) -> DataFrame:
+    """The classes in buckets of three and more: token, size class, rep, n."""
+    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(real, "doc_id")
+    return crowd.select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n").distinct()
+
 
-    nearest: of each two components only the pair whose bits differ least."""
-    home = real.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    crowd = met.filter("kind = 1").select("token", F.explode("others").alias("doc_id")).join(home, "doc_id")
-    crowd = settled(crowd.select("token", F.explode(like_sizes("n")).alias("like"), "rep", "n", "component").distinct())
+def open_pairs(crowd: DataFrame, comp: DataFrame, drawn: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) that share a bucket, lie in different components ca, cb and are not ruled out by size or parity bits.
+
+    nearest: of each bucket and two components the pair whose bits differ least, and how many there are."""
+    home = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # buckets of the same members, by two 64-bit sums of their hashes, are tried once
     same = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    open_ = crowd.groupBy("token", "like").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), *same).filter("lo != hi")
+    open_ = home.groupBy("token", "like").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), *same).filter("lo != hi")
     once = open_.groupBy("x1", "x2", "size", "like").agg(F.min("token").alias("token")).select("token", "like", F.expr(f"cast(ceil(size / {MEETING}) as int)").alias("blocks"))
-    some = crowd.join(once, ["token", "like"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    some = home.join(once, ["token", "like"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     bits = drawn.select(F.col("doc_id").alias("rep"), "bits")
     some = some.join(bits, "rep", "left").select(
         "token", "like", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "component",
         F.coalesce(F.size("bits"), F.lit(0)).cast("long").alias("words"), F.coalesce("bits", F.expr("cast(array() as array<long>)")).alias("bits"),
     )
     keys = ["token", "like", "lo", "hi"]
-    found = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meet_batches(nearest), "far long, ca long, cb long, a long, b long")
-    if nearest:
-        return found.groupBy("ca", "cb").agg(F.min(F.struct("far", "a", "b")).alias("z")).select("z.a", "z.b")
-    return found.select("a", "b").distinct()
+    found = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meet_batches(nearest), ", ".join(f"{c} long" for c in FOUND_PAIR))
+    return found if nearest else found.select("a", "b").distinct()
 
 
 def differing_bits(x: str, y: str) -> str:
@@ -408,7 +428,7 @@ def linked(docs: DataFrame) -> DataFrame:
     levels = np.zeros(1 << HEAVY_BITS, np.uint8)
     levels[heavy["slot"].to_numpy(np.int64)] = np.minimum(255, 1 + 4 * np.log2(heavy["n"].to_numpy(np.float64) / HEAVY)).astype(np.uint8)
     buckets = int(min(MAX_BUCKETS, max(64, total / 3 / ENTRIES)))
-    entries = named.mapInArrow(_entry_batches(zlib.compress(levels.tobytes(), 1), buckets), "bucket long, entries binary")
+    entries = named.mapInArrow(_entry_batches(zlib.compress(levels.tobytes(), 1), buckets), "bucket long, base long, tokens binary, ids binary")
     met = settled(entries.groupBy("bucket").applyInArrow(join_bucket, FOUND))
 
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
@@ -435,26 +455,34 @@ def linked(docs: DataFrame) -> DataFrame:
     mins = met.filter("kind = 2").select("token", "a")
     low = mins.groupBy("token").agg(F.min("a").alias("b"))
     stars = settled(of_reps(stars.unionByName(mins.join(low, "token").filter("a != b").groupBy("a", "b").agg(F.count("*").alias("times")))))
-    # First each class with the center that it met most often; then the other stars that this left apart. Stars that sizes rule
-    # out say nothing of the others: wherever a bucket's members of like size are still apart, the nearest of each two components
-    # are tried, and at last every pair that is still left.
-    steps = [
-        lambda: close(stars.select("a", "b")).join(stars, ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")),
-        lambda: close(apart(stars.select("a", "b"), comp)),
-        lambda: open_pairs(met, real, comp, drawn, True),
-        lambda: open_pairs(met, real, comp, drawn, False),
-    ]
     comp, links, tried = docs.sparkSession.createDataFrame([], "node long, component long"), None, None
-    for step in steps:
-        pairs = settled(step() if tried is None else step().join(tried, ["a", "b"], "left_anti"))
+
+    def tell_apart(pairs: DataFrame) -> None:
+        """Verifies the pairs that have not been tried yet and updates links and components."""
+        nonlocal comp, links, tried
+        pairs = settled(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
-            continue
+            return
         tried = pairs if tried is None else tried.unionByName(pairs)
         linking = settled(verified(named, pairs))
-        if linking.isEmpty():
-            continue
-        links = linking if links is None else links.unionByName(linking)
-        comp = settled(components(links))
+        if not linking.isEmpty():
+            links = linking if links is None else links.unionByName(linking)
+            comp = settled(components(links))
+
+    # first each class with the center that it met most often, then the other stars that this left apart
+    tell_apart(close(stars.select("a", "b")).join(stars, ["a", "b"]).groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b")))
+    tell_apart(close(apart(stars.select("a", "b"), comp)))
+    # Stars that sizes rule out say nothing of the others. Wherever a bucket's members of like size are still apart, the nearest
+    # of each two components are tried, and at last every pair of the buckets where that has left any untried.
+    crowd = settled(crowds(met, real))
+    near = settled(open_pairs(crowd, comp, drawn, True))
+    tell_apart(near.groupBy("ca", "cb").agg(F.min(F.struct("far", "a", "b")).alias("z")).select("z.a", "z.b"))
+    if tried is not None:
+        left = apart(near.select("token", F.col("like").cast("int").alias("like"), "a", "b", "many"), comp)
+        left = left.join(tried.withColumn("done", F.lit(True)), ["a", "b"], "left").filter("many > 1 or done is null")
+        left = settled(left.select("token", "like").distinct())
+        if not left.isEmpty():
+            tell_apart(open_pairs(crowd.join(left, ["token", "like"], "left_semi"), comp, drawn, False))
     out = member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
     nameless = docs.filter("doc_id is null").mapInArrow(_set_batches, SETS).filter("kind = 0")
