@@ -103,6 +103,15 @@ def cuts(spec: str) -> Cuts:
     return kept()[name]
 
 
+def repeats(batch, i: int, j: int) -> np.ndarray:
+    """For rows i to j, how many equal rows (doc_id and tie) stand before each among them: copies are dealt to several groups."""
+    seen: dict = {}
+    out = np.zeros(j - i, np.int64)
+    for r, key in enumerate(zip(batch.column("doc_id").slice(i, j - i).to_pylist(), batch.column("tie").slice(i, j - i).to_pylist(), strict=True)):
+        out[r] = seen[key] = seen.get(key, -1) + 1
+    return out
+
+
 def tokeniser(spec: str):
     def run(batches):
         known = cuts(spec)
@@ -111,9 +120,10 @@ def tokeniser(spec: str):
                 ids, ptr = known.encode(buf, offs)
                 narrow = ids.astype("<u2") if known.tokenizer.get_vocab_size() <= 1 << 16 else ids.astype("<u4")
                 end = np.array([END_ID], narrow.dtype).tobytes()
+                number = repeats(batch, i, j)
                 made = [narrow[ptr[r] : ptr[r + 1]].tobytes() + end for r in range(j - i)]
                 rest = [batch.column(k).slice(i, j - i) for k in range(batch.num_columns) if batch.schema.names[k] != "text"]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(made, pa.binary())], [*(n for n in batch.schema.names if n != "text"), "ids"])
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(number), pa.array(made, pa.binary())], [*(n for n in batch.schema.names if n != "text"), "number", "ids"])
 
     return run
 
@@ -210,6 +220,6 @@ def packed(docs: DataFrame, vocabulary: str, seed: int = SEED) -> DataFrame:
     groups = max(1, -(-total // GROUP_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.withColumn("tie", F.xxhash64(F.lit(seed), "text"))
-    ids = rows.mapInArrow(tokeniser(spec), "doc_id long, tie long, ids binary")
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "tie"), F.lit(groups))
+    ids = rows.mapInArrow(tokeniser(spec), "doc_id long, tie long, number long, ids binary")
+    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "tie", "number"), F.lit(groups))
     return ids.withColumns({"group": group, "width": F.lit(width)}).groupBy("group", "width").applyInArrow(pack_group, PIECES)
