@@ -1,6 +1,6 @@
 """Quality rules: counted rules and a calibrated n-gram classifier, against fixed thresholds.
 
-Features are hashed word unigrams and bigrams and byte trigrams, each family averaged over the
+Features are hashed word unigrams and bigrams and trigrams of code points, each family averaged over the
 text. A logistic regression is fitted on at most TRAIN_ROWS labelled documents in seeded order (the
 documented bound) and calibrated by Platt scaling on a quarter of them that the fit did not see.
 Scoring runs over Arrow batches; every text is counted and scored whole. A document fails the
@@ -8,7 +8,7 @@ rules with fewer than 50 words or more than half of its words in repeated three-
 rest is kept at a calibrated probability of KEEP or more.
 
 Defined results: null or empty text has no words and fails; null labels do not train; a document
-labelled twice counts once with its higher label; with labels of one kind only, or none, every probability is that
+labelled twice counts once with its higher label and the smallest of its texts; with labels of one kind only, or none, every probability is that
 kind's (or 1); rows that repeat a doc_id are each counted; extra columns are left out.
 """
 
@@ -39,14 +39,26 @@ def features(buf: np.ndarray, offs: np.ndarray, s: np.ndarray, ptr: np.ndarray,
     two, at = A.grams(h, ptr, 2)
     two[h[at] == h[at + 1]] = np.uint64(0x1234567)
     bi = ((two >> np.uint64(20)) & mask).astype(np.int64)
-    b = buf.astype(np.uint32)
-    n = max(len(b) - 2, 0)
-    code = (b[:n] | (b[1 : n + 1] << np.uint32(8)) | (b[2 : n + 2] << np.uint32(16))) if n else np.zeros(0, np.uint32)
-    tri = ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)).astype(np.int64)
-    stop = np.repeat(offs[1:], np.diff(offs))[:n]
-    inside = np.arange(n) + 3 <= stop
+    tri, owner = character_trigrams(buf, offs)
     rows = A.owners(ptr)
-    return (uni, rows), (bi, rows[at]), (tri[inside], A.owners(offs)[:n][inside])
+    return (uni, rows), (bi, rows[at]), (tri, owner)
+
+
+def character_trigrams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the runs of three code points that lie within a row, and their rows."""
+    first = np.flatnonzero((buf & 0xC0) != 0x80)
+    code = buf[first].astype(np.uint32)
+    size = np.diff(np.append(first, len(buf)))
+    for k in (1, 2, 3):
+        long = np.flatnonzero(size > k)
+        code[long] |= buf[first[long] + k].astype(np.uint32) << np.uint32(8 * k)
+    n = max(len(code) - 2, 0)
+    word = code[:n].astype(np.uint64) * np.uint64(A.BASE) + code[1 : n + 1].astype(np.uint64)
+    word = word * np.uint64(A.BASE) + code[2 : n + 2].astype(np.uint64)
+    row = np.searchsorted(offs, first, "right") - 1
+    inside = row[:n] == row[2 : n + 2]
+    slot = (A.mix(word[inside]) >> np.uint64(64 - CHAR_BITS)).astype(np.int64)
+    return slot, row[:n][inside]
 
 
 def family_sizes() -> tuple[int, int, int]:
@@ -90,7 +102,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     some = labels.filter("quality is not null and doc_id is not null and crc32(cast(cast(doc_id as string) as binary)) % 4 != 2")
     some = some.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     picked = some.orderBy(F.xxhash64(F.lit("train"), "doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
 
 
 def _train_batches(batches):
@@ -119,16 +132,24 @@ def _train_batches(batches):
 
 
 def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, b of the probability 1 / (1 + exp(-(a * score + b))), by Newton steps."""
-    a, b = 1.0, 0.0
+    """a, b of the probability 1 / (1 + exp(-(a * score + b))), by Newton steps, halved where they would raise the loss."""
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+
+    def loss(p: np.ndarray) -> float:
+        z = p[0] * score + p[1]
+        return float((np.logaddexp(0, z) - target * z).sum() + 5e-4 * (p @ p))
+
+    at = np.array([1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(at[0] * score + at[1], -30, 30)))
         w = p * (1 - p) + 1e-6
-        g = np.array([((p - target) * score).sum() + 1e-3 * a, (p - target).sum()])
+        g = np.array([((p - target) * score).sum(), (p - target).sum()]) + 1e-3 * at
         hess = np.array([[(w * score * score).sum() + 1e-3, (w * score).sum()], [(w * score).sum(), w.sum() + 1e-3]])
-        a, b = np.array([a, b]) - np.linalg.solve(hess, g)
-    return float(a), float(b)
+        step = np.linalg.solve(hess, g)
+        while loss(at - step) > loss(at) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        at = at - step
+    return float(at[0]), float(at[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, steps: int = 120) -> dict:
