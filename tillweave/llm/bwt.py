@@ -1,7 +1,8 @@
 """Multi-document Burrows-Wheeler construction, column by column, over sequential files.
 
 Round j inserts, for every string at once, the symbol that turns its suffix of length j - 1 into
-the one of length j. The transform of all suffixes so far and their common prefixes lie in two files;
+the one of length j. The transform of all suffixes so far and their common prefixes lie in two files
+(in memory up to IN_MEMORY bytes, beyond it on the executor's disk);
 each round reads both from front to end, computes where the new suffixes fall (their rank among
 equal symbols, as in backward search), and writes both anew with the insertions merged in. Common
 prefixes follow from range minima between neighbouring equal symbols.
@@ -9,7 +10,6 @@ prefixes follow from range minima between neighbouring equal symbols.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 import numpy as np
@@ -19,6 +19,20 @@ from tillweave.llm.shared import ship
 ship(__name__)
 
 BLOCK = 32
+#: Bytes of the transform and of the prefixes up to which their files stay in memory.
+IN_MEMORY = 8 << 20
+
+
+def _put(file, x: np.ndarray) -> None:
+    """Writes the file anew, from front to end."""
+    file.seek(0)
+    file.truncate()
+    file.write(x.tobytes())
+
+
+def _get(file) -> np.ndarray:
+    file.seek(0)
+    return np.frombuffer(file.read(), np.uint8)
 
 
 def range_minima(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -56,15 +70,13 @@ def long_matches(buf: np.ndarray, start: np.ndarray, size: np.ndarray, least: in
     m = len(start)
     if not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    folder = tempfile.mkdtemp(prefix="bwt-")
-    files = [os.path.join(folder, name) for name in ("transform", "prefixes")]
     symbols = buf + np.uint8(1)  # UTF-8 has no byte 255; 0 ends a string
-    try:
-        symbols[start + size - 1].tofile(files[0])
-        np.zeros(m, np.uint8).tofile(files[1])
+    with tempfile.SpooledTemporaryFile(IN_MEMORY) as transform, tempfile.SpooledTemporaryFile(IN_MEMORY) as prefixes:
+        _put(transform, symbols[start + size - 1])
+        _put(prefixes, np.zeros(m, np.uint8))
         at, tracked, names = np.arange(m), np.zeros(0, np.int64), []
         for j in range(1, int(size.max()) + 1):
-            bwt, lcp = (np.fromfile(f, np.uint8) for f in files)
+            bwt, lcp = _get(transform), _get(prefixes)
             live = np.flatnonzero(size >= j)
             p = at[live]
             order = np.argsort(bwt, kind="stable")
@@ -86,17 +98,12 @@ def long_matches(buf: np.ndarray, start: np.ndarray, size: np.ndarray, least: in
             new_bwt[to] = np.where(left > 0, symbols[start[live] + np.maximum(left - 1, 0)], 0)
             new_lcp[to] = own
             new_lcp[to[has_after] + 1] = follow
-            new_bwt.tofile(files[0]), new_lcp.tofile(files[1])
+            _put(transform, new_bwt), _put(prefixes, new_lcp)
             at[live] = to
             tracked = free[tracked]
             if j >= least:
                 tracked = np.concatenate((tracked, to))
                 names.append(np.stack((live, left)))
-        lcp = np.append(np.fromfile(files[1], np.uint8), 0)
-    finally:
-        for f in files:
-            if os.path.exists(f):
-                os.remove(f)
-        os.rmdir(folder)
+        lcp = np.append(_get(prefixes), 0)
     string, offset = np.concatenate(names, axis=1) if names else np.zeros((2, 0), np.int64)
     return string, offset, (lcp[tracked] >= least) | (lcp[tracked + 1] >= least)

@@ -10,7 +10,8 @@ equality of whole extents; windows that are removed on the last step have compar
 
 Equal extents are merged within a task before the exchange. An anchor met with HOT or more
 different extents in one batch is dealt by extent as well, and its open windows are counted by
-their hashes, merged before their exchange, instead of gathered in one group.
+their hashes, merged before their exchange, instead of gathered in one group. Equal rows (doc_id
+and text) of a batch go through the exchange of texts as one row with their number.
 
 Defined results: null or empty text has 0 bytes and nothing removed; texts under 200 bytes stay;
 rows that repeat (same doc_id and text) are copies of each other and go whole when of 200 bytes or
@@ -160,11 +161,13 @@ def _open_texts(groups: int):
         e = np.frombuffer(b"".join(marks.column("entries").to_pylist()), ENTRY)
         e = e[np.argsort(e["row"], kind="stable")]
         rows = docs.column("row").to_numpy()
+        once = np.zeros(len(rows), bool)
+        once[np.unique(rows, return_index=True)[1]] = True
         out, hashes, where = [], [], []
         for i, j, buf, offs in A.chunks(docs.column("text")):
             for r in range(i, j):
                 a, b = np.searchsorted(e["row"], rows[r], "left"), np.searchsorted(e["row"], rows[r], "right")
-                if a == b or (r and rows[r] in rows[:r]):
+                if a == b or not once[r]:
                     continue
                 mine, base = e[a:b], offs[r - i]
                 for x in mine[(mine["flag"] & IS_HOT) == 0]:
@@ -265,7 +268,7 @@ def _decide_group(groups: int):
     return run
 
 
-DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
+DONE = "copies int, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
 
 
 def _finish(docs, marks):
@@ -273,13 +276,13 @@ def _finish(docs, marks):
     c = np.frombuffer(b"".join(marks.column("entries").to_pylist()), COVER)
     c = c[np.argsort(c["row"], kind="stable")]
     rows, out = docs.column("row").to_numpy(), []
-    ids = docs.column("doc_id").to_pylist()
+    ids, copies = docs.column("doc_id").to_pylist(), docs.column("copies").to_pylist()
     for i, j, buf, offs in A.chunks(docs.column("text")):
         for r in range(i, j):
             a, b = np.searchsorted(c["row"], rows[r], "left"), np.searchsorted(c["row"], rows[r], "right")
             data = buf[offs[r - i] : offs[r - i + 1]]
             if a == b:
-                out.append((ids[r], len(data), 0, 0, hashlib.sha256(data.tobytes()).hexdigest(), []))
+                out.append((copies[r], ids[r], len(data), 0, 0, hashlib.sha256(data.tobytes()).hexdigest(), []))
                 continue
             step = np.zeros(len(data) + 1, np.int32)
             np.add.at(step, c["lo"][a:b], 1)
@@ -289,12 +292,24 @@ def _finish(docs, marks):
             start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
             kept = data[gone[1:-1] == 0].tobytes()
             spans = [{"start": x, "stop": y} for x, y in zip(start.tolist(), stop.tolist(), strict=True)]
-            out.append((ids[r], len(data), len(data) - len(kept), len(start), hashlib.sha256(kept).hexdigest(), spans))
-    types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))]
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+            out.append((copies[r], ids[r], len(data), len(data) - len(kept), len(start), hashlib.sha256(kept).hexdigest(), spans))
+    types = [pa.int32()] + [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))]
+    names = ["copies", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     return pa.table({n: pa.array([x[k] for x in out], t) for k, (n, t) in enumerate(zip(names, types, strict=True))})
 
 
+def _merge_copies(batches):
+    """Equal rows of a batch as one row with their number, so that no group holds all copies of a row."""
+    for batch in batches:
+        row = batch.column("row").to_numpy()
+        _, first, count = np.unique(row, return_index=True, return_counts=True)
+        if not len(row):
+            continue
+        one = pa.Table.from_batches([batch]).take(pa.array(first))
+        one = one.append_column("copies", pa.array(count.astype(np.int32))).select(["doc_id", "row", "bucket", "copies", "text"])
+        yield from one.combine_chunks().to_batches()
+
+
 def removed(docs: DataFrame, hot: int = HOT, hot_classes: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every row."""
     need(docs, "doc_id", "text")
@@ -304,9 +319,11 @@ def removed(docs: DataFrame, hot: int = HOT, hot_classes: int = 20_000) -> DataF
     rows = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).withColumn("bucket", F.pmod("row", F.lit(groups)))
     found = rows.select("row", "text").mapInArrow(_emit(groups, hot), PACKED)
     later = settled(found.groupBy("bucket").applyInArrow(_settle(groups, hot_classes), PACKED))
-    dealt = rows.groupBy("bucket")  # its exchange is used by both cogroups
+    merged = rows.mapInArrow(_merge_copies, "doc_id long, row long, bucket long, copies int, text string")
+    dealt = merged.groupBy("bucket")  # its exchange is used by both cogroups
     opened = later.filter("kind = 1").select("bucket", "entries")
     texts = dealt.cogroup(opened.groupBy("bucket")).applyInArrow(_open_texts(groups), OPEN)
     last = texts.groupBy("bucket").applyInArrow(_decide_group(groups), PACKED)
     covers = later.filter("kind = 0").select("bucket", "entries").unionByName(last.select("bucket", "entries"))
-    return dealt.cogroup(covers.groupBy("bucket")).applyInArrow(_finish, DONE)
+    done = dealt.cogroup(covers.groupBy("bucket")).applyInArrow(_finish, DONE)
+    return done.withColumn("copies", F.explode(F.expr("array_repeat(1, copies)"))).drop("copies")
