@@ -10,7 +10,8 @@ boundary bucket of each pattern.
 
 Defined results: null text has size 0 and is never short of its target; a null source is a source
 of its own, last in order; rows that repeat a doc_id are documents of their own; an empty table
-gives no rows; columns other than doc_id, text and the membership pass through untouched.
+gives no rows; all columns of docs pass through untouched, helper-like names included, but a column
+named like one of RESULT gives way to the result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from tillweave.llm.shared import WORD, need, settled, text_of
 #: Patterns (sets of sources) that the driver's flow problem may have.
 MAX_PATTERNS = 20_000
 BUCKETS = 4096
+RESULT = ("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken")
 
 
 def targets(sizes: list[int], weights: list[float], repeats: int) -> list[float]:
@@ -101,10 +103,12 @@ def mix(docs: DataFrame, sources: str = "source", weights=(1, 2, 3), repeats: in
     """
     need(docs, "doc_id", "text", sources)
     single = dict(docs.dtypes)[sources] == "string"
-    held = F.array(sources) if single else F.sort_array(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string")))))
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10)
+    given_columns = docs.columns
+    docs = docs.select(F.col("doc_id").alias("__mx_id"), F.col("text").alias("__mx_text"), F.col(sources).alias("__mx_sources"), *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(given_columns)])
+    held = F.array("__mx_sources") if single else F.sort_array(F.array_distinct(F.coalesce("__mx_sources", F.array(F.lit(None).cast("string")))))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("__mx_id").cast("string"), F.lit("")))), 1, 15), 16, 10)
     sized = docs.withColumns(
-        {"mix_size": F.regexp_count(text_of(), F.lit(WORD)).cast("long"), "__mx_held": held, "__mx_draw": draw.cast("long")}
+        {"mix_size": F.regexp_count(text_of("__mx_text"), F.lit(WORD)).cast("long"), "__mx_held": held, "__mx_draw": draw.cast("long")}
     ).withColumn("__mx_bucket", F.expr(f"cast(__mx_draw div {2**60 // BUCKETS} as int)"))
     hist = settled(sized.groupBy("__mx_held", "__mx_bucket").agg(F.sum("mix_size").alias("words")))
     found = hist.groupBy("__mx_held").agg(F.sum("words").alias("words")).limit(MAX_PATTERNS + 1).collect()
@@ -137,10 +141,10 @@ def mix(docs: DataFrame, sources: str = "source", weights=(1, 2, 3), repeats: in
     plan = F.broadcast(plan.join(edges, "__mx_held").select(F.col("__mx_held").alias("__mx_key"), "mix_source_size", "mix_target", "__mx_full", "__mx_rest", "__mx_edge"))
     rows = sized.join(plan, F.col("__mx_held") == F.col("__mx_key"))
     clear = rows.filter("__mx_bucket != __mx_edge.edge").withColumn("__mx_more", F.expr("if(__mx_bucket < __mx_edge.edge, 1, 0)"))
-    order = W.partitionBy("__mx_held").orderBy("__mx_draw", F.col("doc_id").asc_nulls_last(), "mix_size").rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy("__mx_held").orderBy("__mx_draw", F.col("__mx_id").asc_nulls_last(), "mix_size").rowsBetween(W.unboundedPreceding, -1)
     tight = rows.filter("__mx_bucket = __mx_edge.edge").withColumn(
         "__mx_more", ((F.coalesce(F.sum("mix_size").over(order), F.lit(0)) + F.col("__mx_edge.before")) * 2 + F.col("mix_size") <= F.col("__mx_rest") * 2).cast("int")
     )
     copies = F.least(F.lit(repeats), F.col("__mx_full") + F.col("__mx_more")).cast("int")
     out = clear.unionByName(tight).withColumns({"mix_copies": copies, "mix_taken": F.col("mix_size") * copies})
-    return out.drop(*[c for c in out.columns if c.startswith("__mx_")])
+    return out.select(*[F.col(f"__in_{i}").alias(c) for i, c in enumerate(given_columns) if c.lower() not in RESULT], *RESULT)

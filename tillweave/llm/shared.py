@@ -66,3 +66,11 @@ def need(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"columns missing: {missing}")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df has it."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
