@@ -1,12 +1,13 @@
 """Document fingerprints as Merkle trees over pieces, paragraphs and sections.
 
-Paragraphs are lines; pieces are runs of at most PIECE code points of a paragraph; a section is
-SECTION paragraphs. A paragraph's node is the MD5 of its text, a section's the MD5 of its
-paragraphs' nodes, the root the SHA-256 of the sections' nodes, so equal roots mean equal texts.
-Where roots differ, differing sections and then paragraphs locate the edit. Likeness is the Dice
-coefficient of the sets of piece hashes, which the fingerprint carries. No Python runs in tasks.
-
-Defined results: null text is empty; two texts without pieces are alike only if equal; documents
+Paragraphs are lines; a paragraph is cut by content into pieces (CUT: after a vowel and a space, 16 to
+96 code points in), so an insertion changes only the pieces near it; a section is SECTION paragraphs.
+A paragraph's node is the MD5 of its text, a section's the MD5 of its paragraphs' nodes, the root the
+SHA-256 of the sections' nodes, so equal roots mean equal texts. Where roots differ, differing sections
+and then paragraphs locate the edit. Likeness compares trees: 1 for equal roots, else the Dice
+coefficient of the sets of nodes: root, paragraphs and pieces. No Python runs in tasks.
+
+Defined results: null text is empty; texts that differ, if only in newlines, have a likeness below 1; documents
 are ordered by doc_id, null last, rows that repeat a doc_id by the hash of their text; the document after the last is the
 first, so a single document is its own successor; an empty table gives no rows.
 """
@@ -19,15 +20,21 @@ from pyspark.sql import Window as W
 
 from tillweave.llm.shared import need, text_of
 
-PIECE, SECTION = 48, 8
+SECTION = 8
+#: A piece: up to the first vowel and space from its 17th code point on, at most 96 code points.
+CUT = r"[^\n]{16,94}?[aeiou] |[^\n]{1,96}"
 #: Most ranges of document ids, and of equal steps within each; a range's first row is what its neighbour is told of.
 MAX_RANGES, MAX_STEPS, RANGE_ROWS = 1024, 1024, 1000
 
 
+def short(nodes: Column) -> Column:
+    """Sorted distinct nodes, 8 hex digits each."""
+    return F.array_sort(F.array_distinct(F.transform(nodes, lambda n: F.substring(n, 1, 8))))
+
+
 def pieces(text: Column) -> Column:
-    """Sorted distinct piece hashes (8 hex digits each)."""
-    cut = F.regexp_extract_all(text, F.lit(f"[^\\n]{{1,{PIECE}}}"), F.lit(0))
-    return F.array_sort(F.array_distinct(F.transform(cut, lambda p: F.substring(F.md5(p.cast("binary")), 1, 8))))
+    cut = F.regexp_extract_all(text, F.lit(CUT), F.lit(0))
+    return F.transform(cut, lambda p: F.md5(p.cast("binary")))
 
 
 def paragraphs(text: Column) -> Column:
@@ -43,16 +50,22 @@ def root(section_nodes: Column) -> Column:
     return F.sha2(F.array_join(section_nodes, "").cast("binary"), 256)
 
 
-def fingerprint(text: Column, leaves: Column) -> Column:
-    """The root, a colon and the piece hashes, as one string."""
-    return F.concat(root(sections(paragraphs(text))), F.lit(":"), F.array_join(leaves, ""))
+def tree(text: Column) -> Column:
+    """The root, and the short nodes of paragraphs and of pieces."""
+    nodes = paragraphs(text)
+    return F.struct(root(sections(nodes)).alias("root"), short(nodes).alias("paragraphs"), short(pieces(text)).alias("pieces"))
+
+
+def fingerprint(t: Column) -> Column:
+    """The root and the short nodes of paragraphs and pieces, as one string with colons between."""
+    return F.concat_ws(":", t["root"], F.array_join(t["paragraphs"], ""), F.array_join(t["pieces"], ""))
 
 
-def likeness(a_text: Column, a: Column, b_text: Column, b: Column) -> Column:
-    """Dice coefficient of two sorted sets of piece hashes; 1 exactly for equal texts."""
-    total = F.size(a) + F.size(b)
-    dice = 2.0 * F.size(F.array_intersect(a, b)) / total
-    return F.when(a_text == b_text, 1.0).when(total == 0, 0.0).otherwise(dice)
+def likeness(a: Column, b: Column) -> Column:
+    """Dice coefficient of the nodes of two trees, the root being one: 1 exactly for equal roots."""
+    both = F.size(F.array_intersect(a["paragraphs"], b["paragraphs"])) + F.size(F.array_intersect(a["pieces"], b["pieces"]))
+    total = F.size(a["paragraphs"]) + F.size(a["pieces"]) + F.size(b["paragraphs"]) + F.size(b["pieces"]) + 2
+    return F.when(a["root"] == b["root"], 1.0).otherwise(2.0 * both / total)
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
@@ -65,7 +78,7 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """doc_id, text, leaves, next_text, next_leaves, with one exchange of the texts.
+    """doc_id, text, its tree, next_text and next_tree, with one exchange of the texts.
 
     Ids are cut into ranges at approximate quantiles, large tables' ranges into equal steps (all
     numbers are bounded and any cut gives the same result). Each range's first row is also sent to the range before it, so that the
@@ -96,10 +109,10 @@ def successors(docs: DataFrame) -> DataFrame:
     )
     sent = keyed.join(F.broadcast(told), F.col("doc_id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")) & (F.col("slot") == F.col("from")))
     sent = sent.dropDuplicates(["slot"]).select("doc_id", "text", F.col("to").alias("slot"), "th", F.lit(1).alias("guest"))
-    both = keyed.withColumn("guest", F.lit(0)).unionByName(sent).withColumn("leaves", pieces(F.col("text")))
+    both = keyed.withColumn("guest", F.lit(0)).unionByName(sent).withColumn("tree", tree(F.col("text")))
     w = W.partitionBy("slot").orderBy("guest", *order)
-    led = both.withColumns({"next_text": F.lead("text").over(w), "next_leaves": F.lead("leaves").over(w)})
-    return led.filter("guest = 0").select("doc_id", "text", "leaves", "next_text", "next_leaves")
+    led = both.withColumns({"next_text": F.lead("text").over(w), "next_tree": F.lead("tree").over(w)})
+    return led.filter("guest = 0").select("doc_id", "text", "tree", "next_text", "next_tree")
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -108,13 +121,13 @@ def compare(docs: DataFrame) -> DataFrame:
     swap = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - swap), F.substring(F.col("next_text"), F.lit(1), swap))
     rows = successors(docs).withColumns({"n_chars": n.cast("long"), "edited": edited})
-    rows = rows.withColumn("edited_leaves", pieces(F.col("edited")))
+    rows = rows.withColumn("edited_tree", tree(F.col("edited")))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), F.col("leaves")).alias("fingerprint"),
-        fingerprint(F.col("edited"), F.col("edited_leaves")).alias("edited_fingerprint"),
-        likeness(F.col("text"), F.col("leaves"), F.col("edited"), F.col("edited_leaves")).alias("near_edited"),
-        likeness(F.col("text"), F.col("leaves"), F.col("next_text"), F.col("next_leaves")).alias("near_next"),
+        fingerprint(F.col("tree")).alias("fingerprint"),
+        fingerprint(F.col("edited_tree")).alias("edited_fingerprint"),
+        likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
+        likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
     )

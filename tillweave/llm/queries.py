@@ -144,14 +144,16 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM d),
 e AS (SELECT *, substr(text, 1, length(text) - length(text) // 4) || substr(next_text, 1, length(text) // 4) AS edited FROM n),
 l AS (SELECT *,
-  list_sort(list_distinct(list_transform(regexp_extract_all(text, '[^\n]{1,48}'), lambda p: substr(md5(p), 1, 8)))) AS a,
-  list_sort(list_distinct(list_transform(regexp_extract_all(edited, '[^\n]{1,48}'), lambda p: substr(md5(p), 1, 8)))) AS b,
-  list_sort(list_distinct(list_transform(regexp_extract_all(next_text, '[^\n]{1,48}'), lambda p: substr(md5(p), 1, 8)))) AS c,
-  list_transform(string_split(text, chr(10)), lambda p: md5(p)) AS pa, list_transform(string_split(edited, chr(10)), lambda p: md5(p)) AS pb FROM e)
+  list_sort(list_distinct(list_transform(regexp_extract_all(text, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS a,
+  list_sort(list_distinct(list_transform(regexp_extract_all(edited, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS b,
+  list_sort(list_distinct(list_transform(regexp_extract_all(next_text, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS c,
+  list_transform(string_split(text, chr(10)), lambda p: md5(p)) AS pa, list_transform(string_split(edited, chr(10)), lambda p: md5(p)) AS pb, list_transform(string_split(next_text, chr(10)), lambda p: md5(p)) AS pc FROM e),
+s AS (SELECT *, list_sort(list_distinct(list_transform(pa, lambda p: p[1:8]))) AS sa, list_sort(list_distinct(list_transform(pb, lambda p: p[1:8]))) AS sb,
+  list_sort(list_distinct(list_transform(pc, lambda p: p[1:8]))) AS sc FROM l)
 SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
-  sha256(array_to_string(list_transform(range(0, len(pa), 8), lambda i: md5(array_to_string(pa[i + 1 : i + 8], ''))), '')) || ':' || coalesce(array_to_string(a, ''), '') AS fingerprint,
-  sha256(array_to_string(list_transform(range(0, len(pb), 8), lambda i: md5(array_to_string(pb[i + 1 : i + 8], ''))), '')) || ':' || coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
-  CASE WHEN text = edited THEN 1.0 WHEN len(a) + len(b) = 0 THEN 0.0 ELSE 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) END::DOUBLE AS near_edited,
-  CASE WHEN text = next_text THEN 1.0 WHEN len(a) + len(c) = 0 THEN 0.0 ELSE 2.0::DOUBLE * len(list_intersect(a, c)) / (len(a) + len(c)) END::DOUBLE AS near_next
-FROM l""",
+  sha256(array_to_string(list_transform(range(0, len(pa), 8), lambda i: md5(array_to_string(pa[i + 1 : i + 8], ''))), '')) || ':' || array_to_string(sa, '') || ':' || coalesce(array_to_string(a, ''), '') AS fingerprint,
+  sha256(array_to_string(list_transform(range(0, len(pb), 8), lambda i: md5(array_to_string(pb[i + 1 : i + 8], ''))), '')) || ':' || array_to_string(sb, '') || ':' || coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
+  CASE WHEN text = edited THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, b)) + len(list_intersect(sa, sb))) / (len(a) + len(b) + len(sa) + len(sb) + 2) END::DOUBLE AS near_edited,
+  CASE WHEN text = next_text THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, c)) + len(list_intersect(sa, sc))) / (len(a) + len(c) + len(sa) + len(sc) + 2) END::DOUBLE AS near_next
+FROM s""",
 }
