@@ -228,6 +228,18 @@ def brute_rules(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(mark), failed
 
 
+def test_character_trigrams_are_of_code_points():
+    texts = ["añb€c", "", "añ", "a😀bc"]
+    data = [t.encode() for t in texts]
+    slot, row = quality_rules.character_trigrams(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in data]))))
+    want = [(k, t[i : i + 3]) for k, t in enumerate(texts) for i in range(len(t) - 2)]
+    assert row.tolist() == [k for k, _ in want]
+    one = {}
+    for s, (_, t) in zip(slot.tolist(), want, strict=True):
+        assert one.setdefault(t, s) == s
+    assert len(set(one.values())) == len(one) and slot.min() >= 0 and slot.max() < 1 << quality_rules.CHAR_BITS
+
+
 def labels_for(spark, rows):
     return spark.createDataFrame([(r[0], 0 if i % 6 == 0 else 1, 0) for i, r in enumerate(rows)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
 
@@ -317,6 +329,21 @@ def test_repeats(spark, empty, hot):
     assert repeats.removed(empty).count() == 0
 
 
+def test_repeats_of_many_equal_rows(spark):
+    rows = [(1, "copy " * 60)] * 300 + [(2, "copy " * 60), (3, "x" * 150)] + [(4, "short")] * 50
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in repeats.removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == {(1, 300, 300): 300, (2, 300, 300): 1, (3, 150, 0): 1, (4, 5, 0): 50}
+
+
+def test_construction_beyond_memory(monkeypatch):
+    from tillweave.llm import bwt
+
+    buf = np.frombuffer(b"abracadabra" * 3, np.uint8)
+    whole = long_matches(buf, np.array([0, 11, 22]), np.array([11, 11, 9]), 4)
+    monkeypatch.setattr(bwt, "IN_MEMORY", 1)
+    assert all((a == b).all() for a, b in zip(whole, long_matches(buf, np.array([0, 11, 22]), np.array([11, 11, 9]), 4), strict=True))
+
+
 # ---- 6
 def test_pack_covers_everything_once():
     rng = random.Random(2)
@@ -343,6 +370,15 @@ def test_first_fit():
     assert [rooms.place(n) for n in (7, 6, 4, 3)] == [0, 1, 1, 0]
 
 
+def test_packing_deals_equal_rows_to_many_groups(spark, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "GROUP_BYTES", 1000)
+    rows = [(None, None)] * 200 + [(5, "the same text again ")] * 400
+    out = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert sum(r.length for r in out if r.doc_id is None) == 200 and len({r.sequence_id >> 32 for r in out}) > 4
+
+
 def test_packing(spark, rows, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -402,6 +438,16 @@ def test_mix(spark, rows, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_keeps_clashing_columns(spark, docs):
+    plain = sorted((r.doc_id, r.mix_taken) for r in mixing.mix(docs).collect())
+    odd = docs.withColumns({"mix_size": F.lit("mine"), "__mx_held": F.lit(1), "__in_0": F.lit(2), "words": F.lit(3), "edge": F.lit(4)})
+    out = mixing.mix(odd)
+    assert [c for c in odd.columns if c != "mix_size"] == [c for c in out.columns if c not in mixing.RESULT]
+    got = out.collect()
+    assert sorted((r.doc_id, r.mix_taken) for r in got) == plain
+    assert {(r["__mx_held"], r["__in_0"], r.words, r.edge) for r in got} == {(1, 2, 3, 4)}
+
+
 def test_mix_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a", "b"] if i % 2 else ["a"]) for i in range(40)] + [(99, None, None)]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, held array<string>"), "held", weights=(1, 1)).collect()
@@ -462,6 +508,23 @@ def test_fingerprints_over_ranges(spark, monkeypatch, ranges):
     assert got[(last[0], len(last[1]))] == hashlib.sha256((last[1][: len(last[1]) - n] + "last"[:n]).encode()).hexdigest()
 
 
+def test_likeness_of_trees(spark):
+    """1 only for equal texts; an early insertion changes its neighbourhood alone."""
+    rng = random.Random(9)
+    long = " ".join(rng.choice(["stone", "ria", "milano", "lake", "of", "the", "xyz"]) + str(rng.randrange(99)) * (k % 5 == 0) for k in range(600))
+    pairs = [("a\nb", "a\n\nb"), ("a\nb", "b\na"), ("", ""), ("", "x"), ("same", "same"), (long, "inserted " + long)]
+    d = spark.createDataFrame(pairs, "a string, b string").select(fingerprints.likeness(fingerprints.tree(F.col("a")), fingerprints.tree(F.col("b"))).alias("z"))
+    got = [r.z for r in d.collect()]
+    assert got[2] == got[4] == 1.0 and all(x < 1 for i, x in enumerate(got) if i not in (2, 4)) and got[3] == 0 and got[5] > 0.8
+
+
+def test_fingerprints_of_repeated_rows(spark):
+    rows = [(1, "one two three four"), (1, "one two three four"), (2, None), (None, "last of all")]
+    got = sorted(((r.doc_id, r.n_chars, r.near_next) for r in fingerprints.compare(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert [(d, n) for d, n, _ in got] == [(1, 18), (1, 18), (2, 0), (None, 11)]
+    assert sorted(z for d, _, z in got if d == 1) == [0.0, 1.0]
+
+
 def test_differing_paragraphs(spark):
     d = spark.createDataFrame([("\n".join(map(str, range(30))), "\n".join("x" if i == 17 else str(i) for i in range(31)))], "a string, b string")
     nodes = lambda c: fingerprints.paragraphs(F.col(c))
