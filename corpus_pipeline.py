@@ -10,11 +10,10 @@ texts alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillweave.llm import jaccard, line_crf, line_dedup, mixing, packing
-from tillweave.llm.shared import settled
+from tillweave.llm.shared import fresh, settled
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +31,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group that links connect; of equal rows one."""
+    """One document, that of the smallest doc_id, of each group that links connect; of rows of one doc_id and text the smallest."""
     keep = settled(jaccard.linked(docs).filter("doc_id = component_id").select("doc_id").distinct())
-    once = W.partitionBy("doc_id", "__th").orderBy("__th")
-    kept = docs.join(keep, "doc_id", "left_semi").withColumn("__th", F.xxhash64("text")).withColumn("__n", F.row_number().over(once))
-    return kept.filter("__n = 1").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    kept, row, same = docs.join(keep, "doc_id", "left_semi"), fresh(docs, "row"), fresh(docs, "same")
+    once = kept.groupBy(F.col("doc_id").alias(fresh(docs, "id")), F.xxhash64("text").alias(same)).agg(F.min(F.struct(*kept.columns)).alias(row))
+    return once.select(f"{row}.*").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: not at all, or up to three times."""
-    mixed = mixing.mix(docs).filter("mix_copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.expr("array_repeat(1, mix_copies)"))).select(*docs.columns)
+    mixed, copy = mixing.mix(docs).filter("mix_copies > 0"), fresh(docs, "copy")
+    return mixed.withColumn(copy, F.explode(F.expr("array_repeat(1, mix_copies)"))).select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
