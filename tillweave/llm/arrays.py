@@ -55,9 +55,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def chunks(column, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of runs of rows of about `most` bytes."""
+    pa.default_memory_pool().release_unused()  # of the batch before
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     n = len(column)
     _, at, data = column.buffers()
     offsets = np.frombuffer(at, dtype=np.int64)[column.offset : column.offset + n + 1]

@@ -75,19 +75,27 @@ def _set_batches(batches):
             kept.append(h[np.repeat(_unseen(one[-1], size[-1], seen), size[-1])])
         if not size:
             continue
-        n, one, two, kept = (np.concatenate(x) for x in (size, one, two, kept))
-        kept.sort()
-        start = np.flatnonzero(np.concatenate(([True], kept[1:] != kept[:-1]))) if len(kept) else np.zeros(0, np.int64)
-        count = np.diff(np.append(start, len(kept)))
-        many = np.flatnonzero(count >= 3)
-        heavy, times = kept[start[many]].view(np.int64), count[many]
-        zero, none = np.zeros(len(many), np.int64), np.zeros(len(n), np.int64)
+        n, one, two = (np.concatenate(x) for x in (size, one, two))
+        heavy, times = _met_often(kept)
+        zero, none = np.zeros(len(heavy), np.int64), np.zeros(len(n), np.int64)
         columns = ((none, zero + 1), (ids, heavy), (n, times), (one, zero), (two, zero))
         at = np.cumsum(np.concatenate(([0], *long, zero))).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(bits)))
         yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in columns), lists], ["kind", "doc_id", "n", "s1", "s2", "bits"])
 
 
+def _met_often(kept: list[np.ndarray], least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that occur at least so often, and how often; counted by ranges of hashes, to sort little at a time."""
+    heavy, times = [], []
+    for part in range(16):
+        h = np.sort(np.concatenate([k[(k >> np.uint64(60)) == part] for k in kept]))
+        start = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
+        count = np.diff(np.append(start, len(h)))
+        heavy.append(h[start[count >= least]].view(np.int64))
+        times.append(count[count >= least])
+    return np.concatenate(heavy), np.concatenate(times)
+
+
 def parity_bits(ptr: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Parity bits of every set, in 64-bit words, and how many words each has. A shingle flips one bit, so differing bits never
     outnumber differing shingles; a set's bits at a quarter of the width are the XOR of the quarters of its words."""
