@@ -217,3 +217,40 @@ def test_slice_is_replaced_whole(spark):
 def test_staging_guard(spark):
     with pytest.raises(ValueError):
         sinks.truncate_staging(spark, "nowhere", "export")
+
+
+def test_assignment_checks_find_faults(spark):
+    people = spark.createDataFrame([(i,) for i in range(10)], "cust_id long")
+    quotas = [("a", "treatment", 3), ("a", "control", 3), ("b", "treatment", 2), ("b", "control", 2)]
+    good = [(i, "a" if i < 6 else "b", "treatment" if i % 2 else "control") for i in range(10)]
+    bad = [(i, "a", "treatment") for i in range(8)] + [(0, "b", "control"), (99, "b", "control")]
+    found = lambda rows: {r.check: (r.failures, r.status) for r in ck.assignment_checks(people, spark.createDataFrame(rows, "cust_id long, test_type string, test_group string"), quotas).collect()}
+    assert {s for _, s in found(good).values()} == {"Passed"}
+    assert {k: n for k, (n, _) in found(bad).items()} == {"assigned once": 1, "known": 1, "covered": 2, "sizes": 3, "uniform": 1, "ratio": 1}
+
+
+def test_low_volume_switch_without_counts(spark):
+    units = spark.createDataFrame([(1, 10.0, 9.0), (2, 1.0, 9.0)], "cust_id long, avg_weekly_article_count double, unit_stretch double")
+    rows = spark.createDataFrame([(1, 50.0), (2, 50.0), (3, 50.0)], "cust_id long, spend_plus_stretch double")
+    got = {r.cust_id: r.baseline_plus_stretch for r in jn.low_volume_switch(units, rows, ["cust_id"]).collect()}
+    assert got == {1: 50.0, 2: 9.0, 3: None}
+
+
+def test_dates_reach_the_scan(spark, sf_dir):
+    from tillweave.sources.retail import Views
+
+    plan = Views(spark, sf_dir).recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_flagship_scans_lines_once(spark, sf_dir):
+    from tillweave.plans.campaign import flagship
+    from tillweave.sources.retail import Views
+
+    assert flagship(Views(spark, sf_dir))._jdf.queryExecution().executedPlan().toString().count("l_extendedprice") == 0
+
+
+def test_offers_remaining(spark):
+    counts = spark.createDataFrame([("u", "x", 3, 9, 2), ("u", "y", 6, 9, 2), ("w", "x", 20, 20, 1)], "unit string, variant string, count long, all_variant_count long, no_of_variants long")
+    volumes = spark.createDataFrame([("u", 10), ("w", 15)], "unit string, min_volume long")
+    assert sorted((r.variant, r.expected_offer_count, r.remaining_offers) for r in al.offers_remaining(counts, volumes, "unit").collect()) == [("x", 5.0, 2.0), ("y", 5.0, -1.0)]

@@ -113,3 +113,13 @@ def limits_of(bands: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
     return bands.groupBy(*by).agg(F.max("hi").alias("max_limit"))
 
 
+
+
+def offers_remaining(counts: DataFrame, volumes: DataFrame, unit: str) -> DataFrame:
+    """Offers still to be given out in units below their minimum volume.
+
+    counts has a row per unit and variant with count, all_variant_count and no_of_variants; volumes has min_volume per unit.
+    """
+    short = counts.join(volumes, unit).filter("all_variant_count < min_volume")
+    expected = F.col("min_volume").cast("double") / F.col("no_of_variants")
+    return short.withColumn("expected_offer_count", expected).withColumn("remaining_offers", F.col("expected_offer_count") - F.col("count"))

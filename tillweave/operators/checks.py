@@ -20,13 +20,27 @@ def stretch_columns(export: DataFrame) -> DataFrame:
     return export.withColumns({"stretch_perc": over(F.col("spend_plus_stretch")), "threshold_stretch_perc": over(F.col("threshold"))})
 
 
+def large_stretch(export: DataFrame, percent: float, spend: float) -> DataFrame:
+    """Rows stretched by more than percent from a spend above the bound."""
+    return stretch_columns(export).filter((F.col("stretch_perc") > percent) & (F.col("estimated_spend") > spend))
+
+
+def offer_volumes(export: DataFrame) -> DataFrame:
+    """Customers of every offer by test group, all of them, and the control group's percentage."""
+    wide = export.groupBy("offer_id", "offer_desc", "scope").pivot("test_group", ["treatment", "control"]).agg(F.countDistinct("cust_id")).fillna(0)
+    total = F.col("treatment") + F.col("control")
+    return wide.withColumns({"total": total, "percentage_control": cents(F.try_divide(100.0 * F.col("control"), total))})
+
+
 def cell_breakdown(export: DataFrame, bands: Sequence[str]) -> DataFrame:
-    """Per cell: customers, customers by band, quartiles and mean of the spend, mean stretch."""
+    """Per cell: customers, customers by band, quartiles and mean of the spend, mean stretch in money and in percent."""
+    export, exact = stretch_columns(export), lambda c: F.col(c).cast("decimal(14,2)")
     s = F.col("estimated_spend").cast("decimal(14,2)")
     mean = lambda x: F.sum(x).cast("double") / F.count(x)
     cell = export.groupBy("test_type", "test_group").agg(
         F.countDistinct("cust_id").alias("customers"), F.percentile_approx(s, 0.25, 10_000).cast("double").alias("p25"), mean(s).alias("avg"),
         F.percentile_approx(s, 0.75, 10_000).cast("double").alias("p75"), mean((F.col("spend_plus_stretch") - F.col("estimated_spend")).cast("decimal(14,2)")).alias("avg_stretch"),
+        mean(exact("stretch_perc")).alias("avg_stretch_perc"), mean(exact("threshold_stretch_perc")).alias("avg_threshold_stretch_perc"),
         *(F.countDistinct(F.when(F.col("band") == b, F.col("cust_id"))).alias(f"band_{i}") for i, b in enumerate(bands)),
     )
     return cell
@@ -59,12 +73,17 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def assignment_checks(people: DataFrame, cells: DataFrame, quotas: Sequence[tuple[str, str, int]], key: str = "cust_id") -> DataFrame:
-    """Nobody twice, nobody unknown, and each cell as large as its quota."""
+def assignment_checks(people: DataFrame, cells: DataFrame, quotas: Sequence[tuple[str, str, int]], ratio: float = 0.5, key: str = "cust_id") -> DataFrame:
+    """Nobody twice, unknown or left out; cells as large as their quotas, types alike to 2 customers, the
+    treatment ratio right to 0.05 and one customer a type (quotas are whole numbers)."""
     asked = people.sparkSession.createDataFrame([tuple(q) for q in quotas], "test_type string, test_group string, n long")
     sizes = cells.groupBy("test_type", "test_group").agg(F.count("*").alias("have"))
     wrong = asked.filter("n > 0").join(sizes, ["test_type", "test_group"], "left").filter("not n <=> have")
-    return summary({"assigned once": repeated(cells, [key]), "known": not_in(cells, people, key), "sizes": wrong})
+    spread = cells.groupBy("test_type").count().agg((F.max("count") - F.min("count")).alias("spread")).filter("spread > 2")
+    types = len({t for t, _, _ in quotas})
+    treated = cells.agg(F.count_if(F.col("test_group") == "treatment").alias("treated"), F.count("*").alias("n"))
+    treated = treated.filter(F.abs(F.col("treated") - ratio * F.col("n")) > 0.05 * F.col("n") + types)
+    return summary({"assigned once": repeated(cells, [key]), "known": not_in(cells, people, key), "covered": not_in(people, cells, key), "sizes": wrong, "uniform": spread, "ratio": treated})
 
 
 def allocation_matrix(export: DataFrame, rewards: Sequence[float]) -> DataFrame:

@@ -31,6 +31,12 @@ def shifted(date: int, days: int) -> int:
     return int((datetime.strptime(str(date), "%Y%m%d") + timedelta(days=days)).strftime("%Y%m%d"))
 
 
+def days_between(column: str, first: int, last: int) -> Column:
+    """A timestamp column within days first to last (yyyymmdd, both included), in a form that reaches the scan."""
+    at = lambda d: f"timestamp_ntz'{datetime.strptime(str(d), '%Y%m%d'):%Y-%m-%d} 00:00:00'"
+    return F.expr(f"{column} >= {at(first)} and {column} < {at(shifted(last, 1))}")
+
+
 def common_filters() -> Column:
     """Counted lines. A null in any tested column drops the row (three-valued logic)."""
     return (

@@ -86,9 +86,9 @@ def stretch_fallback_join(base: DataFrame, customer_price: DataFrame, category_p
 
 
 def low_volume_switch(units: DataFrame, allocation: DataFrame, keys: Sequence[str], threshold: float = 6) -> DataFrame:
-    """For customers who buy fewer articles a week than the threshold the unit stretch, else the allocation's."""
+    """For customers who buy fewer articles a week than the threshold (none, where no count is known) the unit stretch, else the allocation's."""
     both = units.join(allocation, list(keys), "right")
-    few = F.col("avg_weekly_article_count") < threshold
+    few = F.coalesce(F.col("avg_weekly_article_count"), F.lit(0.0)) < threshold
     return both.withColumn("baseline_plus_stretch", F.when(few, F.col("unit_stretch")).otherwise(F.col("spend_plus_stretch")))
 
 

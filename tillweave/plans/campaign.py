@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillweave.functions.numeric import cents
 from tillweave.operators import allocate as al
 from tillweave.operators import cells as ce
 from tillweave.operators import checks as ck
@@ -32,6 +33,8 @@ def cents_sql(x: str) -> str:
 
 # ---- shared steps: DataFrame functions and, under the same meaning, views for the twins
 def cust_p85(v: Views):
+    if "p85" in v.held:
+        return v.held["p85"]
     return mt.window_totals(v.recent).groupBy("cust_id").agg(F.percentile_approx("total_spend_time_window", 0.85, 10_000).cast("double").alias("85th_percentile"))
 
 
@@ -40,11 +43,13 @@ def stretched(v: Views):
 
 
 def ratings(v: Views):
+    if "ratings" in v.held:
+        return v.held["ratings"]
     return mt.window_totals(v.scoped, "l2_id").groupBy("cust_id", "l2_id").agg(F.percentile_approx("total_spend_time_window", 0.85, 10_000).alias("rating"))
 
 
 def predictions(v: Views):
-    r = ratings(v)
+    r = v.hold("ratings", ratings)
     both = jn.prediction_left(mo.bias_baseline(r, "cust_id", "l2_id", "rating"), r.withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")
     return both.select("cust_id", "l2_id", "prediction", "actual")
 
@@ -66,11 +71,14 @@ def allocated(v: Views):
 
 
 def assigned(v: Views):
-    people = cust_p85(v).select("cust_id")
+    people = v.hold("p85", cust_p85).select("cust_id")
     return ce.assign(people, ce.quotas_random(people.count(), TYPES, 0.5))
 
 
 def export(v: Views):
+    if "export" in v.held:
+        return v.held["export"]
+    v.hold("p85", cust_p85)
     rows = ce.apply_assignment(allocated(v), assigned(v))
     out = rows.withColumns({"spend_plus_stretch": F.col("baseline_plus_stretch"), "scope": F.lit("full_basket_fd"), "threshold": fl.pounds("offer_desc", 2), "reward": fl.pounds("offer_desc", 1)})
     return al.round_estimates(out).drop("baseline_plus_stretch")
@@ -196,6 +204,7 @@ def unit_prices(v):
 
 SHARED["units_t"] = "SELECT cust_id, l2_id, sum(u)::DOUBLE / count(*) AS c FROM (SELECT cust_id, l2_id, win, sum(item_qty) AS u FROM scoped GROUP BY ALL) GROUP BY ALL"
 SHARED["unit_t"] = "SELECT p.cust_id, p.l2_id, p.actual AS p85, coalesce(f.unit_price, c.category_price) AS unit_price, coalesce(u.c, 0) AS avg_weekly_article_count, p.actual + coalesce(f.unit_price, c.category_price) AS unit_stretch FROM preds p LEFT JOIN final_price f USING (cust_id, l2_id) LEFT JOIN units_t u USING (cust_id, l2_id) LEFT JOIN category_price_t c ON c.l2_id = p.l2_id"
+SHARED["switched_fixed"] = "SELECT cust_id, l2_id, CASE WHEN avg_weekly_article_count < 20 THEN unit_stretch ELSE rating::DOUBLE * 1.2::DOUBLE END AS spend FROM rated JOIN unit_t USING (cust_id, l2_id)"
 SHARED["switched"] = "SELECT cust_id, l2_id, CASE WHEN avg_weekly_article_count < 20 THEN unit_stretch ELSE spend_plus_stretch::DOUBLE END AS spend FROM used JOIN unit_t USING (cust_id, l2_id)"
 query("stretch_fallback_join", "SELECT cust_id, l2_id, unit_price, avg_weekly_article_count FROM unit_t")(lambda v: unit_prices(v).select("cust_id", "l2_id", "unit_price", "avg_weekly_article_count"))
 query("unit_stretch", "SELECT cust_id, l2_id, p85, unit_stretch FROM unit_t")(lambda v: unit_prices(v).select("cust_id", "l2_id", "p85", "unit_stretch"))
@@ -207,11 +216,26 @@ def switched(v):
 
 
 query("low_volume_switch", "SELECT cust_id, l2_id, spend FROM switched")(switched)
-query("unit_plus_headroom_cell", f"""SELECT s.cust_id, s.l2_id, 'one_article_unit_plus_headroom' AS test_type, CASE WHEN s.spend >= 270 THEN l.large[floor({u_sql('s.cust_id')} * 2)::INTEGER + 1] WHEN o.offer_id IS NULL THEN l.small[floor({u_sql('s.cust_id')} * 2)::INTEGER + 1] ELSE o.offer_id END AS offer_id
-  FROM switched s LEFT JOIN (SELECT * FROM offer_bands WHERE reward_perc = 10) o ON o.target = s.l2_id AND s.spend >= o.lo AND s.spend < o.hi
-  LEFT JOIN (SELECT target, list(offer_id ORDER BY hi DESC)[:2] AS large, list(offer_id ORDER BY lo)[:2] AS small FROM offer_bands WHERE reward_perc = 10 GROUP BY target) l ON l.target = s.l2_id""")(
-    lambda v: al.allocate(switched(v), "spend", category_bands(v), ["l2_id"]).select("cust_id", "l2_id", F.lit("one_article_unit_plus_headroom").alias("test_type"), "offer_id")
-)
+
+
+def switched_fixed(v):
+    """As switched, beside the fixed stretch of the category's own percentile."""
+    rows = ratings(v).select("cust_id", "l2_id", (F.col("rating").cast("double") * 1.2).alias("spend_plus_stretch"))
+    return jn.low_volume_switch(unit_prices(v), rows, ["cust_id", "l2_id"], 20).select("cust_id", "l2_id", F.col("baseline_plus_stretch").alias("spend"))
+
+
+def _unit_cell(name, rows):
+    return lambda v: al.allocate(rows(v), "spend", category_bands(v), ["l2_id"]).select("cust_id", "l2_id", F.lit(name).alias("test_type"), "offer_id")
+
+
+def _unit_cell_sql(name, rows):
+    return f"""SELECT s.cust_id, s.l2_id, '{name}' AS test_type, CASE WHEN s.spend >= 270 THEN l.large[floor({u_sql('s.cust_id')} * 2)::INTEGER + 1] WHEN o.offer_id IS NULL THEN l.small[floor({u_sql('s.cust_id')} * 2)::INTEGER + 1] ELSE o.offer_id END AS offer_id
+  FROM {rows} s LEFT JOIN (SELECT * FROM offer_bands WHERE reward_perc = 10) o ON o.target = s.l2_id AND s.spend >= o.lo AND s.spend < o.hi
+  LEFT JOIN (SELECT target, list(offer_id ORDER BY hi DESC)[:2] AS large, list(offer_id ORDER BY lo)[:2] AS small FROM offer_bands WHERE reward_perc = 10 GROUP BY target) l ON l.target = s.l2_id"""
+
+
+query("unit_plus_headroom_cell", _unit_cell_sql("one_article_unit_plus_headroom", "switched"))(_unit_cell("one_article_unit_plus_headroom", switched))
+query("unit_plus_fixed_cell", _unit_cell_sql("one_article_unit_plus_fixed", "switched_fixed"))(_unit_cell("one_article_unit_plus_fixed", switched_fixed))
 
 
 def _caps(v):
@@ -228,9 +252,19 @@ query("merge_input_caps", """SELECT offer_id, max_cap::BIGINT AS max_cap, least(
 query("redemption_cap_left", "SELECT o.offer_id, coalesce(r, 0.0::DOUBLE) AS redemption_cap FROM (SELECT DISTINCT offer_id FROM offer_bands) o LEFT JOIN (SELECT offer_id, count(*) * 0.25::DOUBLE AS r FROM exported GROUP BY offer_id) x USING (offer_id)")(
     lambda v: v.offer_bands.select("offer_id").distinct().join(export(v).groupBy("offer_id").agg((F.count("*") * 0.25).alias("redemption_cap")), "offer_id", "left").fillna(0.0, ["redemption_cap"])
 )
-query("cap_offers_remaining", "SELECT l3_id, n, 40 - n AS remaining FROM (SELECT l3_id, count(DISTINCT article_id) AS n FROM scoped GROUP BY l3_id) WHERE n < 40")(
-    lambda v: v.scoped.groupBy("l3_id").agg(F.countDistinct("article_id").alias("n")).filter("n < 40").withColumn("remaining", F.lit(40).cast("long") - F.col("n")).orderBy(F.desc("n"))
-)
+
+
+def _remaining(v):
+    variants = v.scoped.groupBy("l3_id", "l2_id").agg(F.countDistinct("article_id").alias("count"))
+    units = variants.groupBy("l3_id").agg(F.sum("count").alias("all_variant_count"), F.count("*").alias("no_of_variants"))
+    volumes = v.lu_article.select("l3_id").distinct().withColumn("min_volume", F.lit(40) + 5 * F.length("l3_id"))
+    return al.offers_remaining(variants.join(units, "l3_id"), volumes, "l3_id").select("l3_id", "l2_id", "count", "expected_offer_count", "remaining_offers").orderBy(F.desc("count"))
+
+
+query("cap_offers_remaining", """SELECT l3_id, l2_id, count, expected AS expected_offer_count, expected - count AS remaining_offers FROM (
+  SELECT l3_id, l2_id, n AS count, all_n, (40 + 5 * length(l3_id)) AS least_n, (40 + 5 * length(l3_id))::DOUBLE / k AS expected FROM (
+    SELECT l3_id, l2_id, n, sum(n) OVER (PARTITION BY l3_id) AS all_n, count(*) OVER (PARTITION BY l3_id) AS k FROM (SELECT l3_id, l2_id, count(DISTINCT article_id) AS n FROM scoped GROUP BY ALL)))
+  WHERE all_n < least_n""")(_remaining)
 query("swap_offers", f"SELECT cust_id, test_type, CASE WHEN offer_id = 111002 AND {u_sql('cust_id')} < 0.3 THEN 111003 ELSE offer_id END AS offer_id FROM offered")(lambda v: al.swap_offers(allocated(v), 111002, 111003, 0.3).select("cust_id", "test_type", "offer_id"))
 query("export_with_ids", "SELECT cust_id, test_type, account_id, uk_digital_id FROM exported JOIN (SELECT cust_id, min(account_id) AS account_id, arg_min(uk_digital_id, account_id) AS uk_digital_id FROM accounts GROUP BY cust_id) USING (cust_id)")(
     lambda v: export(v).join(jn.first_account_link(v.table("customer").select(F.col("c_custkey").alias("cust_id")), v.accounts).filter("account_id is not null"), "cust_id").select("cust_id", "test_type", "account_id", "uk_digital_id")
@@ -238,6 +272,9 @@ query("export_with_ids", "SELECT cust_id, test_type, account_id, uk_digital_id F
 query("offer_ladder", "SELECT l2_id, quantile_disc(unit_full_price, [0.5, 0.75, 0.85])::DOUBLE[] AS price_steps FROM scoped GROUP BY l2_id")(
     lambda v: v.scoped.groupBy("l2_id").agg(F.percentile_approx("unit_full_price", [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("price_steps"))
 )
+query("offer_spend_steps", f"SELECT test_type, quantile_disc({cents_sql('spend')}::DECIMAL(14,2), [0.5, 0.75, 0.85])::DOUBLE[] AS spend_steps FROM base GROUP BY test_type")(
+    lambda v: baselines(v).groupBy("test_type").agg(F.percentile_approx(cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)"), [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("spend_steps"))
+)
 query("union_cells", "SELECT cust_id, test_type, spend, NULL::VARCHAR AS l2_id FROM base UNION ALL SELECT cust_id, 'headroom', spend_plus_stretch::DOUBLE, l2_id FROM used")(
     lambda v: baselines(v).select("cust_id", "test_type", F.col("baseline_plus_stretch").alias("spend")).unionByName(al.used_headroom(scored(v), not_bought=0.5).select("cust_id", F.lit("headroom").alias("test_type"), F.col("spend_plus_stretch").cast("double").alias("spend"), "l2_id"), allowMissingColumns=True)
 )
@@ -296,10 +333,10 @@ query("test_account_offers", f"""SELECT uk_digital_id, scope, offer_id, NULL::BI
 query("qa_scope_overview", "SELECT scope, test_group, count(DISTINCT cust_id) AS customers FROM exported GROUP BY ALL")(lambda v: ck.scope_overview(export(v), "test_group"))
 _pct = lambda x: f"CASE WHEN estimated_spend = 0 THEN NULL ELSE {cents_sql(f'100.0::DOUBLE * ({x} - estimated_spend) / estimated_spend')} END"
 query("qa_stretch_columns", f"SELECT cust_id, {_pct('spend_plus_stretch')} AS stretch_perc, {_pct('threshold')} AS threshold_stretch_perc FROM exported")(lambda v: ck.stretch_columns(export(v)).select("cust_id", "stretch_perc", "threshold_stretch_perc"))
-query("qa_large_stretch", f"SELECT cust_id, threshold_stretch_perc FROM (SELECT cust_id, estimated_spend, {_pct('threshold')} AS threshold_stretch_perc FROM exported) WHERE threshold_stretch_perc > 50 AND estimated_spend > 15")(
-    lambda v: ck.stretch_columns(export(v)).filter("threshold_stretch_perc > 50 and estimated_spend > 15").select("cust_id", "threshold_stretch_perc")
+query("qa_large_stretch", f"SELECT cust_id, stretch_perc FROM (SELECT cust_id, estimated_spend, {_pct('spend_plus_stretch')} AS stretch_perc FROM exported) WHERE stretch_perc > 15 AND estimated_spend > 15")(
+    lambda v: ck.large_stretch(export(v), 15, 15).select("cust_id", "stretch_perc")
 )
-query("qa_cell_breakdown", "SELECT test_type, test_group, count(DISTINCT cust_id) AS customers, quantile_disc(estimated_spend::DECIMAL(14,2), 0.25)::DOUBLE AS p25, sum(estimated_spend::DECIMAL(14,2))::DOUBLE / count(*) AS avg, quantile_disc(estimated_spend::DECIMAL(14,2), 0.75)::DOUBLE AS p75, sum((spend_plus_stretch - estimated_spend)::DECIMAL(14,2))::DOUBLE / count(*) AS avg_stretch, " + ", ".join(f"count(DISTINCT cust_id) FILTER (WHERE cust_band_fd = '{b}') AS band_{i}" for i, b in enumerate(("1. Top", "2. Core", "3. Occ"))) + " FROM exported LEFT JOIN (SELECT cust_id, cust_band_fd FROM band_history WHERE yyyymmdd = 20010701) USING (cust_id) GROUP BY ALL")(
+query("qa_cell_breakdown", "SELECT test_type, test_group, count(DISTINCT cust_id) AS customers, quantile_disc(estimated_spend::DECIMAL(14,2), 0.25)::DOUBLE AS p25, sum(estimated_spend::DECIMAL(14,2))::DOUBLE / count(*) AS avg, quantile_disc(estimated_spend::DECIMAL(14,2), 0.75)::DOUBLE AS p75, sum((spend_plus_stretch - estimated_spend)::DECIMAL(14,2))::DOUBLE / count(*) AS avg_stretch, " + f"sum(({_pct('spend_plus_stretch')})::DECIMAL(14,2))::DOUBLE / count({_pct('spend_plus_stretch')}) AS avg_stretch_perc, sum(({_pct('threshold')})::DECIMAL(14,2))::DOUBLE / count({_pct('threshold')}) AS avg_threshold_stretch_perc, " + ", ".join(f"count(DISTINCT cust_id) FILTER (WHERE cust_band_fd = '{b}') AS band_{i}" for i, b in enumerate(("1. Top", "2. Core", "3. Occ"))) + " FROM exported LEFT JOIN (SELECT cust_id, cust_band_fd FROM band_history WHERE yyyymmdd = 20010701) USING (cust_id) GROUP BY ALL")(
     lambda v: ck.cell_breakdown(export(v).join(jn.latest_snapshot(v.band_history, ETL_DATE).select("cust_id", F.col("cust_band_fd").alias("band")), "cust_id", "left"), ("1. Top", "2. Core", "3. Occ"))
 )
 query("qa_unallocated_offers", "SELECT DISTINCT offer_id FROM offer_bands WHERE offer_id NOT IN (SELECT offer_id FROM exported)")(lambda v: ck.not_in(v.offer_bands, export(v), "offer_id"))
@@ -310,16 +347,35 @@ query("qa_distinct_offers", "SELECT cust_id, count(offer_id) AS n, count(DISTINC
 query("qa_offer_count_range", "SELECT cust_id, 'x' AS scope, count(offer_id) AS n, count(DISTINCT offer_id) AS n_distinct FROM offered GROUP BY cust_id HAVING count(offer_id) NOT BETWEEN 3 AND 3 OR count(DISTINCT offer_id) NOT BETWEEN 3 AND 3")(lambda v: ck.counts_within(allocated(v).withColumn("scope", F.lit("x")), 3, 3))
 query("qa_group_exclusive", "SELECT cust_id, count(DISTINCT l2_id) AS groups FROM cat_windows GROUP BY cust_id HAVING count(DISTINCT l2_id) > 1")(lambda v: ck.both_groups(mt.window_totals(v.scoped, "l2_id").withColumnRenamed("l2_id", "test_group")))
 query("qa_cell_exclusive", "SELECT cust_id, offer_id, count(*) AS n FROM offered GROUP BY ALL HAVING count(*) > 1")(lambda v: ck.repeated(allocated(v), ["cust_id", "offer_id"]))
-query("qa_summary", "SELECT 'one cell' AS \"check\", 0::BIGINT AS failures, 'Passed' AS status UNION ALL SELECT 'one group', 0, 'Passed' UNION ALL SELECT 'all offers used', count(*), CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Failed' END FROM (SELECT DISTINCT offer_id FROM offer_bands WHERE offer_id NOT IN (SELECT offer_id FROM exported))")(
-    lambda v: ck.summary({"one cell": ck.repeated(export(v), ["cust_id", "scope"]), "one group": ck.both_groups(export(v)), "all offers used": ck.not_in(v.offer_bands, export(v), "offer_id")})
-)
-query("qa_assignment", "SELECT * FROM (VALUES ('assigned once', 0::BIGINT, 'Passed'), ('known', 0, 'Passed'), ('sizes', 0, 'Passed')) AS t(\"check\", failures, status)")(
-    lambda v: ck.assignment_checks(cust_p85(v), assigned(v), ce.quotas_random(cust_p85(v).count(), TYPES, 0.5))
-)
+
+
+def _summary_sql(checks):
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"check\", count(*) AS failures, CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Failed' END AS status FROM ({body})" for name, body in checks.items())
+
+
+def _summary(v):
+    rows = v.hold("export", export)
+    return ck.summary({
+        "one cell": ck.repeated(rows, ["cust_id", "scope"]), "one group": ck.both_groups(rows), "all offers used": ck.not_in(v.offer_bands, rows, "offer_id"), "offers known": ck.not_in(rows, v.offer_bands, "offer_id"),
+        "offer count": ck.counts_within(rows, 1, 1), "offer once": ck.repeated(rows, ["cust_id", "offer_id"]), "large stretch": ck.large_stretch(rows, 15, 15), "scopes": ck.scope_overview(rows).filter("customers = 0"),
+    })
+
+
+query("qa_summary", _summary_sql({
+    "one cell": "SELECT cust_id FROM exported GROUP BY cust_id, scope HAVING count(*) > 1", "one group": "SELECT cust_id FROM exported GROUP BY cust_id HAVING count(DISTINCT test_group) > 1",
+    "all offers used": "SELECT DISTINCT offer_id FROM offer_bands WHERE offer_id NOT IN (SELECT offer_id FROM exported)", "offers known": "SELECT DISTINCT offer_id FROM exported WHERE offer_id NOT IN (SELECT offer_id FROM offer_bands)",
+    "offer count": "SELECT cust_id FROM exported GROUP BY cust_id, scope HAVING count(offer_id) <> 1 OR count(DISTINCT offer_id) <> 1", "offer once": "SELECT cust_id FROM exported GROUP BY cust_id, offer_id HAVING count(*) > 1",
+    "large stretch": f"SELECT cust_id FROM exported WHERE {_pct('spend_plus_stretch')} > 15 AND estimated_spend > 15", "scopes": "SELECT scope FROM exported GROUP BY scope HAVING count(DISTINCT cust_id) = 0",
+}))(_summary)
+query("qa_assignment", _summary_sql({
+    "assigned once": "SELECT cust_id FROM celled GROUP BY cust_id HAVING count(*) > 1", "known": "SELECT DISTINCT cust_id FROM celled WHERE cust_id NOT IN (SELECT cust_id FROM p85)", "covered": "SELECT DISTINCT cust_id FROM p85 WHERE cust_id NOT IN (SELECT cust_id FROM celled)",
+    "sizes": "SELECT * FROM ranges r LEFT JOIN (SELECT test_type, test_group, count(*) AS have FROM celled GROUP BY ALL) c USING (test_type, test_group) WHERE stop > start AND have IS DISTINCT FROM stop - start",
+    "uniform": "SELECT s FROM (SELECT max(n) - min(n) AS s FROM (SELECT count(*) AS n FROM celled GROUP BY test_type)) WHERE s > 2", "ratio": "SELECT x FROM (SELECT count(*) FILTER (WHERE test_group = 'treatment') AS x, count(*) AS n FROM celled) WHERE abs(x - 0.5 * n) > 0.05 * n + 3",
+}))(lambda v: ck.assignment_checks(v.hold("p85", cust_p85), stored(assigned(v)), ce.quotas_random(cust_p85(v).count(), TYPES, 0.5)))
 query("qa_allocation_matrix", "SELECT test_type, threshold, " + ", ".join(f"{cents_sql(f'100.0::DOUBLE * count(*) FILTER (WHERE reward = {r}) / any_value(n)')} AS reward_{r}" for r in (5, 7, 9, 11)) + " FROM exported JOIN (SELECT test_type, count(*) AS n FROM exported GROUP BY test_type) USING (test_type) GROUP BY test_type, threshold")(lambda v: ck.allocation_matrix(export(v), (5, 7, 9, 11)))
 query("qa_offer_share", "SELECT offer_desc, n_rows, floor(1000.0::DOUBLE * n_rows / sum(n_rows) OVER () + 0.5) / 1000.0::DOUBLE AS share FROM (SELECT offer_desc, count(*) AS n_rows FROM exported GROUP BY offer_desc)")(lambda v: rl.share_of_total(mt.group_counts(export(v), "offer_desc")))
-query("offer_volume", "SELECT offer_id, offer_desc, scope, count(DISTINCT cust_id) FILTER (WHERE test_group = 'treatment') AS treatment, count(DISTINCT cust_id) FILTER (WHERE test_group = 'control') AS control FROM exported GROUP BY ALL")(
-    lambda v: export(v).groupBy("offer_id", "offer_desc", "scope").pivot("test_group", ["treatment", "control"]).agg(F.countDistinct("cust_id")).fillna(0)
+query("offer_volume", f"SELECT *, treatment + control AS total, {cents_sql('100.0::DOUBLE * control / (treatment + control)')} AS percentage_control FROM (SELECT offer_id, offer_desc, scope, count(DISTINCT cust_id) FILTER (WHERE test_group = 'treatment') AS treatment, count(DISTINCT cust_id) FILTER (WHERE test_group = 'control') AS control FROM exported GROUP BY ALL)")(
+    lambda v: ck.offer_volumes(export(v))
 )
 
 
@@ -456,6 +512,7 @@ query("truncate_staging", "SELECT DISTINCT cust_id, l2_id FROM recent")(_truncat
 
 def flagship(v: Views):
     """Customers by offer and test group: windows, percentile, stretch, offer, limit, cells."""
+    v.hold("p85", cust_p85)
     rows = al.within_upper_limit(allocated(v), "baseline_plus_stretch", al.limits_of(basket_bands(v)), None)
     cells = ce.apply_assignment(rows, assigned(v))
     return cells.groupBy("offer_id", "offer_desc").pivot("test_group", ["treatment", "control"]).agg(F.countDistinct("cust_id")).fillna(0)

@@ -50,7 +50,7 @@ query("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 query("int_date", "SELECT cust_id, basket_id, date, count(*) AS n FROM trx_line GROUP BY ALL")(lambda v: v.trx_line.groupBy("cust_id", "basket_id", fl.int_date().alias("date")).agg(F.count("*").alias("n")))
 query("common_filters", f"SELECT {KEY}, l2_id, l3_id, l4_id FROM counted")(lambda v: v.trx_line.filter(fl.common_filters()).select(*KEY.split(", "), "l2_id", "l3_id", "l4_id"))
 query("lookback_filter", f"SELECT {KEY}, date FROM trx_line WHERE date BETWEEN {fl.shifted(ETL_DATE, -LOOKBACK)} AND {ETL_DATE}")(
-    lambda v: v.trx_line.filter(fl.lookback_filter(ETL_DATE, LOOKBACK)).select(*KEY.split(", "), "date")
+    lambda v: v.lines(fl.shifted(ETL_DATE, -LOOKBACK), ETL_DATE).filter(fl.lookback_filter(ETL_DATE, LOOKBACK)).select(*KEY.split(", "), "date")
 )
 query("channel_filter", f"SELECT {KEY}, l1_id FROM trx_line WHERE (l1_id = 'FD' AND purchase_channel = 'POS') OR l1_id = 'GM'")(
     lambda v: v.trx_line.filter(((F.col("l1_id") == "FD") & fl.channel_filter("FD")) | ((F.col("l1_id") == "GM") & fl.channel_filter("GM"))).select(*KEY.split(", "), "l1_id")
@@ -91,7 +91,7 @@ query("tag_run", "SELECT cust_id, sum(sales_amt)::DOUBLE AS spend, 20010801 AS c
 query("normalise_headers", "SELECT p_partkey AS offer_id, p_brand AS bu_id, p_name AS \"desc\" FROM part")(
     lambda v: fl.normalise_headers(v.table("part").select(F.col("p_partkey").alias("Offer Id"), F.col("p_brand").alias("Business Unit"), F.col("p_name").alias("Offer Text")), {"business_unit": "bu_id", "offer_text": "desc"})
 )
-# Codes of business units.
+# Codes of the units that these tables have.
 UNIT_CODES = {"Brand#1": "01", "Brand#2": "02", "Brand#3": "03", "Brand#4": "04", "Brand#5": "05", "Brand#6": "06", "Brand#7": "07"}
 query("map_bu_codes", "SELECT p_partkey, CASE p_brand " + " ".join(f"WHEN '{k}' THEN '{x}'" for k, x in UNIT_CODES.items()) + " ELSE p_brand END AS bu_id FROM part")(
     lambda v: v.table("part").select("p_partkey", F.concat(F.lit(" "), "p_brand", F.lit(" ")).alias("b")).select("p_partkey", fl.map_codes("b", UNIT_CODES).alias("bu_id"))

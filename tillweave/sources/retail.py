@@ -5,12 +5,14 @@ Config-like data (offer bands, category rules) are plain values; everything else
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.operators import filters as fl
+from tillweave.sources.scratch import stored
 
 ETL_DATE, LOOKBACK, HISTORY, WINDOW_DAYS, SEED = 20010801, 363, 2400, 28, 7
 # Spend bands (from, to), reward and threshold in pounds.
@@ -29,16 +31,27 @@ class Views:
     """Lazily built DataFrames of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self.held = spark, sf_dir, {}
+
+    def hold(self, name: str, build: Callable[[Views], DataFrame]) -> DataFrame:
+        """The table that build makes, written once to the shared folder: for steps that several branches of a plan use."""
+        if name not in self.held:
+            self.held[name] = stored(build(self))
+        return self.held[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def trx_line(self) -> DataFrame:
+        return self.lines()
+
+    def lines(self, first: int | None = None, last: int | None = None) -> DataFrame:
+        """Transaction lines; with bounds (yyyymmdd, inclusive) only orders of these days are scanned."""
         t = self.table
+        orders = t("orders") if first is None else t("orders").filter(fl.days_between("o_orderdate", first, last))
         joined = (
-            t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+            t("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         )
         lines = joined.selectExpr(
@@ -108,15 +121,19 @@ class Views:
             "if(c_custkey % 11 = 0, 'Other', 'Member') as type", "if(c_custkey % 6 = 0, 'Opt-out', 'Opt-in Active') as marketing_status",
         )
 
+    def _counted(self, days: int) -> DataFrame:
+        lines = self.lines(fl.shifted(ETL_DATE, -days), ETL_DATE)
+        lines = lines.filter(fl.common_filters() & fl.lookback_filter(ETL_DATE, days) & fl.channel_filter("FD") & (F.col("l1_id") == "FD") & fl.outside_season())
+        return lines.filter(F.col("sales_amt") > 0.5).withColumn("win", fl.time_window_index("date", ETL_DATE, WINDOW_DAYS))
+
     @cached_property
     def scoped(self) -> DataFrame:
         """Counted food lines of the long history, with window index."""
-        lines = self.trx_line.filter(fl.common_filters() & fl.lookback_filter(ETL_DATE, HISTORY) & fl.channel_filter("FD") & (F.col("l1_id") == "FD") & fl.outside_season())
-        return lines.filter(F.col("sales_amt") > 0.5).withColumn("win", fl.time_window_index("date", ETL_DATE, WINDOW_DAYS))
+        return self._counted(HISTORY)
 
     @cached_property
     def recent(self) -> DataFrame:
-        return self.scoped.filter(fl.lookback_filter(ETL_DATE, LOOKBACK))
+        return self._counted(LOOKBACK)
 
     @cached_property
     def rules(self) -> DataFrame:
