@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +255,41 @@ def test_offers_remaining(spark):
     counts = spark.createDataFrame([("u", "x", 3, 9, 2), ("u", "y", 6, 9, 2), ("w", "x", 20, 20, 1)], "unit string, variant string, count long, all_variant_count long, no_of_variants long")
     volumes = spark.createDataFrame([("u", 10), ("w", 15)], "unit string, min_volume long")
     assert sorted((r.variant, r.expected_offer_count, r.remaining_offers) for r in al.offers_remaining(counts, volumes, "unit").collect()) == [("x", 5.0, 2.0), ("y", 5.0, -1.0)]
+
+
+def test_factorise_takes_any_ids_and_no_rows(spark):
+    rows = [(10**12 + i, f"i{j}", float(10 + i % 3 + 2 * j)) for i in range(12) for j in range(3) if (i + j) % 4]
+    r = spark.createDataFrame(rows, "cust_id long, item string, rating double")
+    got = mo.factorise(r, "cust_id", "item", "rating").collect()
+    assert len(got) == 36 and all(5 < x.prediction < 25 for x in got)
+    assert mo.factorise(r.filter("false"), "cust_id", "item", "rating").count() == 0
+
+
+def test_models_per_segment(spark):
+    rows = [(i, "a", 1.0, "x") for i in range(4)] + [(i, "a", 9.0, None) for i in range(10, 14)]
+    r = spark.createDataFrame(rows, "cust_id long, item string, rating double, seg string")
+    got = mo.per_segment(r, "seg", lambda p: mo.bias_baseline(p, "cust_id", "item", "rating")).collect()
+    assert {(x.seg, x.prediction) for x in got} == {("x", 1.0), (None, 9.0)} and len(got) == 8
+    with pytest.raises(ValueError):
+        mo.per_segment(r, "seg", lambda p: p, most=1)
+
+
+def test_kfold_scores_every_row(spark):
+    rows = [(i, f"i{i % 3}", float(5 * (i % 3))) for i in range(60)]
+    r = spark.createDataFrame(rows, "cust_id long, item string, rating double")
+    none = lambda p: p.select("cust_id", "item").filter("false").withColumn("prediction", F.lit(1.0))
+    got = mo.kfold(r, "cust_id", "item", "rating", none, run="t").collect()
+    assert [x.fold for x in sorted(got, key=lambda x: x.fold)] == [0, 1, 2] and all(x.rmse == 0 and x.run == "t" for x in got)
+
+
+def test_segments_of_known_groups(spark):
+    rows = [(i, "F", 1.0 + (i % 5) / 100, 1.0) for i in range(30)] + [(100 + i, "F", 50.0 + (i % 5) / 100, 70.0 + i % 2) for i in range(30)] + [(999, "M", 1.0, 1.0)]
+    d = spark.createDataFrame(rows, "cust_id long, gender string, u double, w double")
+    got = {r.cust_id: r for r in sg.search(d, "gender", ["u", "w"], 2, 4, lower=20).collect()}
+    assert len(got) == 61 and got[999].segmentation == 0 and got[999].pca_0 is None
+    assert len({got[i].segmentation for i in range(30)}) == 1 and got[0].segmentation != got[100].segmentation
+    assert sg.search(d.filter("false"), "gender", ["u", "w"], 2, 4).count() == 0
+    scaled = {r.cust_id: r.scaled for r in sg.standardise(d, ["u", "w"]).collect()}
+    dev = np.std([r[2] for r in rows], ddof=1)
+    assert abs(scaled[0][0] - rows[0][2] / dev) < 1e-9
+    assert sg.reduced(sg.standardise(d.filter("false"), ["u", "w"]), 2).count() == 0

@@ -17,13 +17,17 @@ MAX_CATEGORIES = 1000
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """scaled: the columns as a vector of unit deviation, not centred."""
+    """scaled: the columns as a vector of unit deviation, not centred; an empty table stays empty."""
     whole = VectorAssembler(inputCols=list(columns), outputCol="raw", handleInvalid="skip").transform(df)
+    if whole.isEmpty():
+        return whole.withColumnRenamed("raw", "scaled")
     return StandardScaler(inputCol="raw", outputCol="scaled").fit(whole).transform(whole).drop("raw")
 
 
 def reduced(df: DataFrame, k: int) -> DataFrame:
     """pca_0 ... of the scaled vector, as doubles."""
+    if df.isEmpty():
+        return df.select("*", *(F.lit(None).cast("double").alias(f"pca_{i}") for i in range(k)))
     out = PCA(k=k, inputCol="scaled", outputCol="pca").fit(df).transform(df).withColumn("p", vector_to_array("pca"))
     return out.select("*", *(F.col("p")[i].alias(f"pca_{i}") for i in range(k))).drop("p")
 
@@ -57,11 +61,13 @@ def best_clusters(df: DataFrame, features: str, ks: Sequence[int], least: float
 def search(df: DataFrame, category: str, columns: Sequence[str], k_min: int, k_max: int, pca_k: int | None = 2, lower: int = 100, least: float = 0.01, key: str = "cust_id", seed: int = 7) -> DataFrame:
     """key, category, segmentation (and pca columns) of all categories; small ones are segment 0.
 
-    Categories are configured demographic codes, so the loop is over a short list; a longer one is an error."""
+    Categories are configured demographic codes, so the loop is over a short list; a longer one is an error.
+    An empty table gives no rows."""
     sizes = df.groupBy(category).count().orderBy(category).limit(MAX_CATEGORIES + 1).collect()
     if len(sizes) > MAX_CATEGORIES:
         raise ValueError(f"{category} has more than {MAX_CATEGORIES} categories")
-    parts = []
+    nothing = [F.lit(None).cast("double").alias(f"pca_{i}") for i in range(pca_k or 0)]
+    parts = [df.filter("false").select(key, category, F.lit(0).alias("segmentation"), *nothing)]
     for row in sizes:
         part = df.filter(F.col(category).eqNullSafe(row[0]))
         blank = [F.lit(None).cast("double").alias(f"pca_{i}") for i in range(pca_k or 0)]

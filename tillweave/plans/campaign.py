@@ -412,20 +412,23 @@ query("candidate_grid", "SELECT cust_id, l2_id, rating::DOUBLE AS rating FROM (S
     lambda v: jn.customer_item_cross(ratings(v), "cust_id", ratings(v).select("l2_id").distinct()).join(ratings(v).withColumn("rating", F.col("rating").cast("double")), ["cust_id", "l2_id"], "left")
 )
 query("segment_profile", "SELECT cust_gender, count(*) AS n_rows, count(DISTINCT cust_id) AS customers FROM scoped GROUP BY ALL")(lambda v: v.scoped.groupBy("cust_gender").agg(F.count("*").alias("n_rows"), F.countDistinct("cust_id").alias("customers")))
-query("mf_recommender")(lambda v: mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating"))
-query("nmf_recommender")(lambda v: mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating", nonnegative=True))
+
+
+def _by_segment(v, **how):
+    """One factorisation per customer gender, the segment that all lines carry."""
+    rows = v.scoped.select("cust_id", "cust_gender").distinct().join(ratings(v), "cust_id")
+    return mo.per_segment(stored(rows), "cust_gender", lambda r: mo.factorise(r, "cust_id", "l2_id", "rating", **how))
+
+
+query("mf_recommender")(_by_segment)
+query("nmf_recommender")(lambda v: _by_segment(v, nonnegative=True))
 query("knn_recommender")(lambda v: mo.knn(stored(ratings(v)), "cust_id", "l2_id", "rating", kind="means"))
 query("batch_predict")(lambda v: mo.headroom(jn.prediction_left(mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating"), ratings(v).withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")))
 query("grid_search")(lambda v: mo.grid_search(stored(ratings(v)), "cust_id", "l2_id", "rating", [*({"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)), {"rank": 8, "maxIter": 8, "regParam": 0.1}]))
 
 
 def _kfold(v):
-    r, out = stored(ratings(v).withColumn("fold", mo.fold_of("cust_id", 3))), None
-    for f in range(3):
-        p = mo.bias_baseline(r.filter(F.col("fold") != f), "cust_id", "l2_id", "rating").groupBy("l2_id").agg((F.sum(F.col("prediction").cast("decimal(20,6)")).cast("double") / F.count("*")).alias("prediction"))
-        e = mo.rmse_mae(r.filter(F.col("fold") == f).join(F.broadcast(p), "l2_id").withColumn("actual", F.col("rating").cast("double")), "actual", "prediction").withColumn("fold", F.lit(f))
-        out = e if out is None else out.unionByName(e)
-    return out
+    return mo.kfold(stored(ratings(v)), "cust_id", "l2_id", "rating", lambda r: mo.factorise(r, "cust_id", "l2_id", "rating"), run="mf")
 
 
 query("kfold_eval")(_kfold)
