@@ -51,7 +51,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = chat.END + chat.START + "assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], rows.schema)
+    extra = spark.sql("SELECT * FROM VALUES (-1, 0, 'user', :said), (-1, 1, 'assistant', :said) AS extra(conv_id, turn, role, text)", {"said": tricky})
     formatted = chat.render(chat.fold(chat.events_of(rows.unionByName(extra))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss", "")
