@@ -293,3 +293,41 @@ def test_segments_of_known_groups(spark):
     dev = np.std([r[2] for r in rows], ddof=1)
     assert abs(scaled[0][0] - rows[0][2] / dev) < 1e-9
     assert sg.reduced(sg.standardise(d.filter("false"), ["u", "w"]), 2).count() == 0
+
+
+def test_headroom_of_an_item_subset(spark):
+    d = spark.createDataFrame([(1, "a", 3.0), (1, "b", -1.0), (1, "c", 5.0), (2, "c", 2.0)], "cust_id long, i string, headroom double")
+    whole = {r.cust_id: tuple(r)[1:] for r in mo.user_headroom_summary(d).collect()}
+    assert whole == {1: (7.0, 7.0 / 3, 8.0, 8.0 / 3), 2: (2.0, 2.0, 2.0, 2.0)}
+    some = {r.cust_id: tuple(r)[1:] for r in mo.user_headroom_summary(d, item="i", items=("a", "b")).collect()}
+    assert some == {1: (2.0, 2.0 / 3, 3.0, 1.0), 2: (0.0, 0.0, 0.0, 0.0)}
+
+
+def test_table_create_from_rows_and_over_a_table(spark):
+    path = shared_folder(spark)
+    rows = spark.createDataFrame([(1, "x")], "a int, b string")
+    sinks.table_create(spark, path, rows, ["b"])
+    sinks.append_stamped(rows, path, ["b"])
+    assert sinks.table_create(spark, path, rows.schema, ["b"]).count() == 1
+    again = sinks.table_create(spark, path, rows, ["b"], overwrite=True)
+    assert again.count() == 0 and sorted(again.columns) == ["a", "b", "load_timestamp"]
+
+
+def test_configuration_faults_are_errors(spark):
+    bands = spark.createDataFrame([("FD", "full_basket", 10, 5, 0.0, 9.0), ("FD", "full_basket", 10, 6, 9.0, 20.0)], "l1_id string, target string, reward_perc int, offer_id long, lo double, hi double")
+    assert al.offer_mapping(bands, "FD", "full_basket", 10).count() == 2
+    with pytest.raises(ValueError):
+        al.offer_mapping(bands, "GM", "full_basket", 10)
+    with pytest.raises(ValueError):
+        al.swap_offers(bands.withColumn("cust_id", F.lit(1)), 5, 7, 0.5, known=bands)
+    links = spark.createDataFrame([(1, 4, None), (2, None, None)], "cust_id long, account_id long, uk_digital_id string")
+    people = spark.createDataFrame([(1,), (2,)], "cust_id long")
+    assert al.with_ids(people.filter("cust_id = 2"), links).count() == 0
+    with pytest.raises(Exception, match="uk_digital_id is null"):
+        al.with_ids(people, links).collect()
+    given = spark.createDataFrame([(1, 12.0, 5), (2, 12.0, 6), (3, 3.0, 5)], "cust_id long, spend double, offer_id long")
+    assert [r.cust_id for r in ck.large_without_large(given, "spend", bands, 9.0, 1).collect()] == [1]
+    rows = spark.createDataFrame([(1, "a", 1.0), (2, "a", 0.0), (1, "b", 1.0)], "cust_id long, c string, spend double")
+    assert [(r.cust_id, r.c) for r in ce.sequential_exclusive(rows, ["a", "b"], 2, "c", spend="spend").collect()] == [(1, "a")]
+    with pytest.raises(ValueError):
+        ce.sequential_exclusive(rows, ["a", "b"], 2, "c", spend="spend", enough=True)

@@ -41,7 +41,11 @@ def basket_rollup(df: DataFrame, keys: Sequence[str] = ("cust_id",)) -> DataFram
 
 
 def offer_mapping(variants: DataFrame, department: str, target: str, reward: int) -> DataFrame:
-    return variants.filter((F.col("l1_id") == department) & (F.col("target") == target) & (F.col("reward_perc") == reward))
+    """The configured bands of one department, target and reward; none at all are an error."""
+    found = variants.filter((F.col("l1_id") == department) & (F.col("target") == target) & (F.col("reward_perc") == reward))
+    if found.isEmpty():
+        raise ValueError(f"no offers of {department}, {target}, {reward} percent")
+    return found
 
 
 def edge_offers(bands: DataFrame, n: int, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -103,16 +107,22 @@ def merge_caps(offers: DataFrame, given: DataFrame, generated: DataFrame, contro
     return both.select("offer_id", most.alias("max_cap"), few.alias("min_cap"), "input_markdown_cap")
 
 
-def swap_offers(df: DataFrame, old: int, new: int, fraction: float, key: str = "cust_id", seed: int = 7) -> DataFrame:
-    """A keyed-random fraction of one offer becomes another; only the offer column changes."""
+def swap_offers(df: DataFrame, old: int, new: int, fraction: float, key: str = "cust_id", seed: int = 7, known: DataFrame | None = None) -> DataFrame:
+    """A keyed-random fraction of one offer becomes another; only the offer column changes. With known offers, one that is not among them is an error."""
+    if known is not None and known.filter(F.col("offer_id") == new).isEmpty():
+        raise ValueError(f"offer {new} does not exist")
     hit = (F.col("offer_id") == old) & (uniform(seed, key) < fraction)
     return df.withColumn("offer_id", F.when(hit, F.lit(new).cast("long")).otherwise(F.col("offer_id")))
 
 
-def limits_of(bands: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
-    return bands.groupBy(*by).agg(F.max("hi").alias("max_limit"))
+def with_ids(export: DataFrame, links: DataFrame, key: str = "cust_id", ids: Sequence[str] = ("account_id", "uk_digital_id")) -> DataFrame:
+    """Rows of customers with an account, and its ids; a linked account without one of the ids fails the job."""
+    sure = {c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is null"))).otherwise(F.col(c)) for c in ids}
+    return export.join(links.filter(F.col(ids[0]).isNotNull()).withColumns(sure), key)
 
 
+def limits_of(bands: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
+    return bands.groupBy(*by).agg(F.max("hi").alias("max_limit"))
 
 
 def offers_remaining(counts: DataFrame, volumes: DataFrame, unit: str) -> DataFrame:

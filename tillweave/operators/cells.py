@@ -63,9 +63,13 @@ def apply_assignment(rows: DataFrame, cells: DataFrame, key: str = "cust_id") ->
     return rows.join(cells, [key, "test_type"])
 
 
-def sequential_exclusive(rows: DataFrame, order: Sequence[str], n: int, category: str, key: str = "cust_id", seed: int = 7) -> DataFrame:
-    """n customers of each category in turn, none twice; order is a short configured list."""
+def sequential_exclusive(rows: DataFrame, order: Sequence[str], n: int, category: str, key: str = "cust_id", seed: int = 7, spend: str | None = None, enough: bool = False) -> DataFrame:
+    """n customers of each category in turn, none twice; order is a short configured list.
+
+    With a spend column only rows above zero count; with enough, a category that cannot give n customers is an error."""
     used, out = None, None
+    if spend:
+        rows = rows.filter(F.col(spend) > 0)
     for c in order:
         pool = rows.filter(F.col(category) == c).select(key).distinct()
         if used is not None:
@@ -73,6 +77,11 @@ def sequential_exclusive(rows: DataFrame, order: Sequence[str], n: int, category
         taken = shuffled_index(pool, key, seed).filter(F.col("index") < n).select(key, F.lit(c).alias(category))
         used = taken.select(key) if used is None else used.unionByName(taken.select(key))
         out = taken if out is None else out.unionByName(taken)
+    if enough:
+        have = {r[0]: r[1] for r in out.groupBy(category).count().collect()}
+        few = [c for c in order if have.get(c, 0) < n]
+        if few:
+            raise ValueError(f"fewer than {n} customers left for {few}")
     return out
 
 

@@ -25,6 +25,12 @@ def large_stretch(export: DataFrame, percent: float, spend: float) -> DataFrame:
     return stretch_columns(export).filter((F.col("stretch_perc") > percent) & (F.col("estimated_spend") > spend))
 
 
+def large_without_large(allocated: DataFrame, spend: str, bands: DataFrame, limit: float, n: int = 2) -> DataFrame:
+    """Rows that spend more than limit, but whose offer is not among the n of the highest bands."""
+    large = bands.orderBy(F.desc("hi"), F.desc("offer_id")).limit(n).select("offer_id")
+    return allocated.filter(F.col(spend) > limit).join(large, "offer_id", "left_anti")
+
+
 def offer_volumes(export: DataFrame) -> DataFrame:
     """Customers of every offer by test group, all of them, and the control group's percentage."""
     wide = export.groupBy("offer_id", "offer_desc", "scope").pivot("test_group", ["treatment", "control"]).agg(F.countDistinct("cust_id")).fillna(0)

@@ -262,12 +262,17 @@ def headroom(predictions: DataFrame, actual: str = "actual", predicted: str = "p
     return predictions.withColumn("headroom", F.col(predicted) - F.col(actual))
 
 
-def user_headroom_summary(df: DataFrame, user: str = "cust_id") -> DataFrame:
-    """Sum and mean of headroom, of all items and of those above zero (in cents, exact)."""
-    h = F.col("headroom").cast("decimal(20,6)")
-    up = F.when(F.col("headroom") > 0, h)
+def user_headroom_summary(df: DataFrame, user: str = "cust_id", item: str | None = None, items: Sequence[str] = ()) -> DataFrame:
+    """Sum and mean of headroom and of its part above zero (sums exact to six places); both means are over all rows of a user.
+
+    With items, the headroom of every other item counts as 0."""
+    value = F.col("headroom")
+    if items:
+        value = F.when(F.col(item).isin(*items), value).otherwise(0.0)
+    h = value.cast("decimal(20,6)")
+    up = F.when(value > 0, h)
     total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("double")
     return df.groupBy(user).agg(
-        total(h).alias("sum_headroom"), (total(h) / F.count("*")).alias("ave_headroom"), total(up).alias("sum_positive_headroom"),
-        F.coalesce(F.try_divide(total(up), F.count(up).cast("double")), F.lit(0.0)).alias("ave_positive_headroom"),
+        total(h).alias("sum_headroom"), (total(h) / F.count("*")).alias("ave_headroom"),
+        total(up).alias("sum_positive_headroom"), (total(up) / F.count("*")).alias("ave_positive_headroom"),
     )

@@ -120,8 +120,13 @@ query("headroom", "SELECT cust_id, l2_id, prediction, actual, prediction - actua
 query("headroom_rank", "SELECT cust_id, l2_id, dense_rank() OVER (PARTITION BY l2_id ORDER BY prediction - actual) AS headroom_item_rank FROM preds")(
     lambda v: rl.headroom_rank(mo.headroom(predictions(v)), "l2_id").select("cust_id", "l2_id", "headroom_item_rank")
 )
-query("user_headroom_summary", "SELECT cust_id, sum(h)::DOUBLE AS sum_headroom, sum(h)::DOUBLE / count(*) AS ave_headroom, coalesce(sum(h) FILTER (WHERE x > 0), 0)::DOUBLE AS sum_positive_headroom, coalesce(coalesce(sum(h) FILTER (WHERE x > 0), 0)::DOUBLE / nullif(count(h) FILTER (WHERE x > 0), 0), 0) AS ave_positive_headroom FROM (SELECT cust_id, prediction - actual AS x, (prediction - actual)::DECIMAL(20,6) AS h FROM preds) GROUP BY cust_id")(
-    lambda v: mo.user_headroom_summary(mo.headroom(predictions(v)))
+def _summary_of_headroom(h):
+    return f"SELECT cust_id, sum(h)::DOUBLE AS sum_headroom, sum(h)::DOUBLE / count(*) AS ave_headroom, coalesce(sum(h) FILTER (WHERE h > 0), 0)::DOUBLE AS sum_positive_headroom, coalesce(sum(h) FILTER (WHERE h > 0), 0)::DOUBLE / count(*) AS ave_positive_headroom FROM (SELECT cust_id, ({h})::DECIMAL(20,6) AS h FROM preds) GROUP BY cust_id"
+
+
+query("user_headroom_summary", _summary_of_headroom("prediction - actual"))(lambda v: mo.user_headroom_summary(mo.headroom(predictions(v))))
+query("headroom_items", _summary_of_headroom("CASE WHEN l2_id IN ('ECONOMY', 'SMALL') THEN prediction - actual ELSE 0 END"))(
+    lambda v: mo.user_headroom_summary(mo.headroom(predictions(v)), item="l2_id", items=("ECONOMY", "SMALL"))
 )
 query("under_prediction_floor", "SELECT * FROM floored")(lambda v: al.under_prediction_floor(predictions(v)).select("cust_id", "l2_id", "prediction_original", "prediction", "actual"))
 query("pct_error", "SELECT cust_id, l2_id, pct_error FROM errors")(lambda v: scored(v).select("cust_id", "l2_id", "pct_error"))
@@ -265,9 +270,9 @@ query("cap_offers_remaining", """SELECT l3_id, l2_id, count, expected AS expecte
   SELECT l3_id, l2_id, n AS count, all_n, (40 + 5 * length(l3_id)) AS least_n, (40 + 5 * length(l3_id))::DOUBLE / k AS expected FROM (
     SELECT l3_id, l2_id, n, sum(n) OVER (PARTITION BY l3_id) AS all_n, count(*) OVER (PARTITION BY l3_id) AS k FROM (SELECT l3_id, l2_id, count(DISTINCT article_id) AS n FROM scoped GROUP BY ALL)))
   WHERE all_n < least_n""")(_remaining)
-query("swap_offers", f"SELECT cust_id, test_type, CASE WHEN offer_id = 111002 AND {u_sql('cust_id')} < 0.3 THEN 111003 ELSE offer_id END AS offer_id FROM offered")(lambda v: al.swap_offers(allocated(v), 111002, 111003, 0.3).select("cust_id", "test_type", "offer_id"))
+query("swap_offers", f"SELECT cust_id, test_type, CASE WHEN offer_id = 111002 AND {u_sql('cust_id')} < 0.3 THEN 111003 ELSE offer_id END AS offer_id FROM offered")(lambda v: al.swap_offers(allocated(v), 111002, 111003, 0.3, known=basket_bands(v)).select("cust_id", "test_type", "offer_id"))
 query("export_with_ids", "SELECT cust_id, test_type, account_id, uk_digital_id FROM exported JOIN (SELECT cust_id, min(account_id) AS account_id, arg_min(uk_digital_id, account_id) AS uk_digital_id FROM accounts GROUP BY cust_id) USING (cust_id)")(
-    lambda v: export(v).join(jn.first_account_link(v.table("customer").select(F.col("c_custkey").alias("cust_id")), v.accounts).filter("account_id is not null"), "cust_id").select("cust_id", "test_type", "account_id", "uk_digital_id")
+    lambda v: al.with_ids(export(v), jn.first_account_link(v.table("customer").select(F.col("c_custkey").alias("cust_id")), v.accounts)).select("cust_id", "test_type", "account_id", "uk_digital_id")
 )
 query("offer_ladder", "SELECT l2_id, quantile_disc(unit_full_price, [0.5, 0.75, 0.85])::DOUBLE[] AS price_steps FROM scoped GROUP BY l2_id")(
     lambda v: v.scoped.groupBy("l2_id").agg(F.percentile_approx("unit_full_price", [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("price_steps"))
@@ -310,7 +315,7 @@ def _sequential_sql(order, n):
     return "SELECT * FROM (WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(f"SELECT * FROM s{i}" for i in used) + ")"
 
 
-query("sequential_exclusive", _sequential_sql(sorted(L2), 20))(lambda v: ce.sequential_exclusive(stored(v.scoped.select("cust_id", "l2_id").distinct()), sorted(L2), 20, "l2_id").select("cust_id", "l2_id"))
+query("sequential_exclusive", _sequential_sql(sorted(L2), 20))(lambda v: ce.sequential_exclusive(stored(v.scoped.groupBy("cust_id", "l2_id").agg(F.sum("sales_amt").alias("spend"))), sorted(L2), 20, "l2_id", spend="spend").select("cust_id", "l2_id"))
 query("anti_already_assigned", f"SELECT DISTINCT cust_id FROM scoped WHERE l2_id = 'SMALL' AND cust_id NOT IN (SELECT cust_id FROM (SELECT DISTINCT cust_id FROM scoped WHERE l2_id = 'ECONOMY') ORDER BY md5('{SEED}|' || cust_id), cust_id LIMIT 20)")(
     lambda v: v.scoped.filter("l2_id = 'SMALL'").select("cust_id").distinct().join(ce.sequential_exclusive(v.scoped, ["ECONOMY"], 20, "l2_id").select("cust_id"), "cust_id", "left_anti")
 )
@@ -341,6 +346,9 @@ query("qa_cell_breakdown", "SELECT test_type, test_group, count(DISTINCT cust_id
 )
 query("qa_unallocated_offers", "SELECT DISTINCT offer_id FROM offer_bands WHERE offer_id NOT IN (SELECT offer_id FROM exported)")(lambda v: ck.not_in(v.offer_bands, export(v), "offer_id"))
 query("qa_unknown_offers", "SELECT DISTINCT offer_id FROM offered WHERE offer_id NOT IN (SELECT offer_id FROM full_bands WHERE ord < 5)")(lambda v: ck.not_in(allocated(v), basket_bands(v).filter("ord < 5"), "offer_id"))
+query("qa_large_offers", "SELECT cust_id, test_type, offer_id FROM offered WHERE spend > 200 AND offer_id NOT IN (SELECT offer_id FROM full_bands ORDER BY hi DESC, offer_id DESC LIMIT 2)")(
+    lambda v: ck.large_without_large(allocated(v), "baseline_plus_stretch", basket_bands(v), 200).select("cust_id", "test_type", "offer_id")
+)
 query("qa_distinct_offers", "SELECT cust_id, count(offer_id) AS n, count(DISTINCT offer_id) AS n_distinct FROM offered GROUP BY cust_id HAVING count(offer_id) <> count(DISTINCT offer_id)")(
     lambda v: allocated(v).groupBy("cust_id").agg(F.count("offer_id").alias("n"), F.countDistinct("offer_id").alias("n_distinct")).filter("n != n_distinct")
 )
@@ -422,7 +430,25 @@ def _by_segment(v, **how):
 
 query("mf_recommender")(_by_segment)
 query("nmf_recommender")(lambda v: _by_segment(v, nonnegative=True))
-query("knn_recommender")(lambda v: mo.knn(stored(ratings(v)), "cust_id", "l2_id", "rating", kind="means"))
+
+
+def _knn(kind):
+    return lambda v: mo.knn(stored(ratings(v)), "cust_id", "l2_id", "rating", kind=kind).withColumn("prediction", _to6(F.col("prediction")))
+
+
+def _knn_sql(shift, scale):
+    """All pairs of users, for the small tables of the comparison."""
+    return f"""SELECT * FROM (WITH one AS (SELECT cust_id, l2_id, rating::DOUBLE AS r FROM rated),
+  per AS (SELECT cust_id, avg(r) AS m, stddev_pop(r) AS s FROM one GROUP BY cust_id), k AS (SELECT cust_id, l2_id, r, {shift} AS shift, {scale} AS scale FROM one JOIN per USING (cust_id)),
+  alike AS (SELECT a.cust_id AS u, b.cust_id AS v, round(sum(a.r * b.r) / sqrt(sum(a.r * a.r) * sum(b.r * b.r)), 12) AS sim FROM k a JOIN k b ON a.l2_id = b.l2_id AND a.cust_id <> b.cust_id GROUP BY ALL),
+  near AS (SELECT u, l2_id, sim, (r - shift) / scale AS z FROM alike JOIN k ON cust_id = v QUALIFY row_number() OVER (PARTITION BY u, l2_id ORDER BY sim DESC, v) <= 20)
+  SELECT u AS cust_id, l2_id, {_six('p * scale + shift')} AS prediction FROM (SELECT u, l2_id, sum(sim * z) / sum(sim) AS p FROM near GROUP BY ALL) x JOIN (SELECT DISTINCT cust_id, shift, scale FROM k) mine ON mine.cust_id = u)"""
+
+
+_SPREAD = "CASE WHEN s > 0 THEN s ELSE 1.0::DOUBLE END"
+query("knn_basic", _knn_sql("0.0::DOUBLE", "1.0::DOUBLE"))(_knn("basic"))
+query("knn_recommender", _knn_sql("m", "1.0::DOUBLE"))(_knn("means"))
+query("knn_zscore", _knn_sql("m", _SPREAD))(_knn("zscore"))
 query("batch_predict")(lambda v: mo.headroom(jn.prediction_left(mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating"), ratings(v).withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")))
 query("grid_search")(lambda v: mo.grid_search(stored(ratings(v)), "cust_id", "l2_id", "rating", [*({"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)), {"rank": 8, "maxIter": 8, "regParam": 0.1}]))
 
@@ -495,7 +521,8 @@ query("load_static_table", "SELECT l2_id, count(*) AS n_rows FROM scoped GROUP B
 def _created(v):
     path = shared_folder(v.spark)
     rows = v.scoped.select("cust_id", "l2_id")
-    sinks.table_create(v.spark, path, rows.schema, ["l2_id"])
+    sinks.table_create(v.spark, path, rows, ["l2_id"])
+    sinks.table_create(v.spark, path, rows, ["l2_id"], overwrite=True)
     sinks.append_stamped(rows.distinct(), path, ["l2_id"])
     return v.spark.read.parquet(path).select("cust_id", "l2_id")
 

@@ -91,10 +91,14 @@ query("tag_run", "SELECT cust_id, sum(sales_amt)::DOUBLE AS spend, 20010801 AS c
 query("normalise_headers", "SELECT p_partkey AS offer_id, p_brand AS bu_id, p_name AS \"desc\" FROM part")(
     lambda v: fl.normalise_headers(v.table("part").select(F.col("p_partkey").alias("Offer Id"), F.col("p_brand").alias("Business Unit"), F.col("p_name").alias("Offer Text")), {"business_unit": "bu_id", "offer_text": "desc"})
 )
-# Codes of the units that these tables have.
-UNIT_CODES = {"Brand#1": "01", "Brand#2": "02", "Brand#3": "03", "Brand#4": "04", "Brand#5": "05", "Brand#6": "06", "Brand#7": "07"}
-query("map_bu_codes", "SELECT p_partkey, CASE p_brand " + " ".join(f"WHEN '{k}' THEN '{x}'" for k, x in UNIT_CODES.items()) + " ELSE p_brand END AS bu_id FROM part")(
-    lambda v: v.table("part").select("p_partkey", F.concat(F.lit(" "), "p_brand", F.lit(" ")).alias("b")).select("p_partkey", fl.map_codes("b", UNIT_CODES).alias("bu_id"))
+# How business units are written in campaign inputs, and their codes.
+UNIT_CODES = {
+    "WW": "01", "LG": "02", "Lingerie": "02", "MW": "03", "KW": "04", "HF": "05", "HW": "05", "Home": "05", "CoreHome": "05",
+    "HB": "07", "BT": "07", "Beauty": "07", "1": "01", "2": "02", "3": "03", "4": "04", "5": "05", "7": "07",
+}
+UNIT_NAMES = [*UNIT_CODES, "Core Home", "06"]
+query("map_bu_codes", f"SELECT p_partkey, coalesce(element_at(MAP {UNIT_CODES!r}, b)[1], b) AS bu_id FROM (SELECT p_partkey, replace({UNIT_NAMES!r}[1 + p_partkey % {len(UNIT_NAMES)}], ' ', '') AS b FROM part)")(
+    lambda v: v.table("part").select("p_partkey", F.concat(F.lit(" "), F.get(F.array(*map(F.lit, UNIT_NAMES)), (F.col("p_partkey") % len(UNIT_NAMES)).cast("int")), F.lit("\t")).alias("b")).select("p_partkey", fl.map_codes("b", UNIT_CODES).alias("bu_id"))
 )
 query("offer_category_hash", "SELECT p_partkey, md5(p_brand || regexp_replace(regexp_replace(lower(p_name), '[0-9]', '', 'g'), '[^a-z_ ]', '', 'g')) AS category_key, [p_size::INTEGER, (p_size + 1)::INTEGER] AS test_sets FROM part")(
     lambda v: v.table("part").select("p_partkey", F.md5(fl.offer_category_key("p_brand", "p_name").cast("binary")).alias("category_key"), F.expr("concat('[', p_size, ', ', p_size + 1, ']')").alias("t")).withColumn("test_sets", fl.parse_int_list("t")).drop("t")

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def table_create(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = (), stamp: bool = True) -> DataFrame:
-    """Create an empty table unless there is one; returns the table."""
-    if stamp:
+def table_create(spark: SparkSession, path: str, schema: T.StructType | DataFrame, partition_by: Sequence[str] = (), stamp: bool = True, overwrite: bool = False) -> DataFrame:
+    """Create an empty table of the schema (or of a DataFrame's) and return it; one that is there stays, or goes with overwrite."""
+    schema = schema.schema if isinstance(schema, DataFrame) else schema
+    if stamp and "load_timestamp" not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField("load_timestamp", T.TimestampType())])
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    spark.createDataFrame([], schema).write.mode("overwrite" if overwrite else "ignore").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
