@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillweave.functions.hashing import shuffle_key
+from tillweave.functions.local import local_rows
 
 BUCKET_DIGITS = 3
 
@@ -53,7 +54,7 @@ def assign(df: DataFrame, quotas: Sequence[tuple[str, str, int]], key: str = "cu
     for t, g, n in quotas:
         ranges.append((t, g, at, at + n))
         at += n
-    cells = F.broadcast(df.sparkSession.createDataFrame(ranges, "test_type string, test_group string, start long, stop long"))
+    cells = F.broadcast(local_rows(df.sparkSession, ranges, "test_type string, test_group string, start long, stop long"))
     people = shuffled_index(df.select(key).distinct(), key, seed)
     return people.join(cells, (F.col("index") >= F.col("start")) & (F.col("index") < F.col("stop"))).select(key, "test_type", "test_group")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillweave.functions.local import local_rows
 from tillweave.functions.numeric import cents
 
 
@@ -82,7 +83,7 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
 def assignment_checks(people: DataFrame, cells: DataFrame, quotas: Sequence[tuple[str, str, int]], ratio: float = 0.5, key: str = "cust_id") -> DataFrame:
     """Nobody twice, unknown or left out; cells as large as their quotas, types alike to 2 customers, the
     treatment ratio right to 0.05 and one customer a type (quotas are whole numbers)."""
-    asked = people.sparkSession.createDataFrame([tuple(q) for q in quotas], "test_type string, test_group string, n long")
+    asked = local_rows(people.sparkSession, [tuple(q) for q in quotas], "test_type string, test_group string, n long")
     sizes = cells.groupBy("test_type", "test_group").agg(F.count("*").alias("have"))
     wrong = asked.filter("n > 0").join(sizes, ["test_type", "test_group"], "left").filter("not n <=> have")
     spread = cells.groupBy("test_type").count().agg((F.max("count") - F.min("count")).alias("spread")).filter("spread > 2")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillweave.functions.local import local_rows
 from tillweave.functions.numeric import cents
 from tillweave.operators import allocate as al
 from tillweave.operators import cells as ce
@@ -55,7 +56,7 @@ def predictions(v: Views):
 
 
 def basket_bands(v: Views, reward: int = 10):
-    return al.offer_mapping(v.offer_bands, "FD", "full_basket", reward)
+    return al.offer_mapping(v.basket_offers, "FD", "full_basket", reward)
 
 
 def category_bands(v: Views):
@@ -182,9 +183,9 @@ query("allocate_top_vs_rest", f"""WITH x AS (SELECT b.cust_id, b.spend, CASE WHE
 
 
 def _multi_reward(v):
-    plan = v.spark.createDataFrame([("85_stretch_10_perc", 7), ("85_stretch_10_perc", 10), ("85_stretch_20_perc", 10)], "test_type string, reward_perc int")
+    plan = local_rows(v.spark, [("85_stretch_10_perc", 7), ("85_stretch_10_perc", 10), ("85_stretch_20_perc", 10)], "test_type string, reward_perc int")
     rows = baselines(v).join(F.broadcast(plan), "test_type")
-    out = al.allocate(rows, "baseline_plus_stretch", v.offer_bands.filter("target = 'full_basket'").select("reward_perc", "lo", "hi", "ord", "offer_id", "offer_desc"), ["reward_perc"])
+    out = al.allocate(rows, "baseline_plus_stretch", v.basket_offers.select("reward_perc", "lo", "hi", "ord", "offer_id", "offer_desc"), ["reward_perc"])
     return out.select("cust_id", F.concat("test_type", F.lit("_"), "reward_perc", F.lit("_perc_reward")).alias("test_type"), "offer_id")
 
 

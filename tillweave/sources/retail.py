@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillweave.functions.local import local_rows
 from tillweave.operators import filters as fl
 from tillweave.sources.scratch import stored
 
@@ -106,10 +107,16 @@ class Views:
     @cached_property
     def offer_bands(self) -> DataFrame:
         """Offer bands of the whole basket and of every product group that articles have."""
-        bands = self.spark.createDataFrame([(i, *b) for i, b in enumerate(BANDS)], "ord int, lo int, hi int, pay int, least int")
-        targets = self.lu_article.select(F.col("l2_id").alias("target")).distinct().union(self.spark.createDataFrame([("full_basket",)], "target string"))
-        rewards = self.spark.createDataFrame([(7,), (10,)], "reward_perc int")
-        return targets.join(F.broadcast(bands.crossJoin(rewards))).selectExpr(
+        return self._bands_of(self.lu_article.select(F.col("l2_id").alias("target")).distinct()).unionByName(self.basket_offers)
+
+    @cached_property
+    def basket_offers(self) -> DataFrame:
+        """Offer bands of the whole basket: plain values, no scan."""
+        return self._bands_of(local_rows(self.spark, [("full_basket",)], "target string"))
+
+    def _bands_of(self, targets: DataFrame) -> DataFrame:
+        bands = local_rows(self.spark, [(i, *b, r) for i, b in enumerate(BANDS) for r in (7, 10)], "ord int, lo int, hi int, pay int, least int, reward_perc int")
+        return targets.crossJoin(F.broadcast(bands)).selectExpr(
             "'FD' as l1_id", "target", "reward_perc", "cast(ord + 1 + 100 * reward_perc + 10000 * length(target) as bigint) as offer_id",
             "concat('[', lo, ',', hi, ']') as offer_limits", "concat('£', pay, ' off when you spend £', least, ' on food in store') as offer_desc", "lo", "hi", "ord",
         )
@@ -137,7 +144,7 @@ class Views:
 
     @cached_property
     def rules(self) -> DataFrame:
-        return self.spark.createDataFrame(list(CATEGORY_RULES), "offer string, level string, id string")
+        return local_rows(self.spark, list(CATEGORY_RULES), "offer string, level string, id string")
 
 
 #: The same views for the checking engine, as bodies of common table expressions.
