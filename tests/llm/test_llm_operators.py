@@ -411,9 +411,59 @@ def test_packing(spark, rows, docs, empty):
 
 
 # ---- 7
-def test_targets_stop_at_the_cap():
-    got = mixing.targets([100, 10, 1000], [1, 2, 3], 3)
-    assert got[1] == 30 and abs(sum(got) - 1110) < 1e-6 and got[0] <= 300
+def plain_targets(sizes, weights, repeats):
+    """One source after another: the free ones share by weight what the capped ones leave."""
+    capped = set()
+    while True:
+        left, total = sum(sizes) - repeats * sum(sizes[i] for i in capped), sum(w for i, w in enumerate(weights) if i not in capped)
+        more = {i for i in range(len(sizes)) if i not in capped and left * weights[i] / total > repeats * sizes[i]}
+        if not more:
+            return [float(repeats * sizes[i]) if i in capped else left * weights[i] / total for i in range(len(sizes))]
+        capped |= more
+
+
+@pytest.mark.parametrize("sizes", [[100, 10, 1000], [0, 0, 0], [0, 5, 0, 0], [3**i for i in range(12)], [7] * 9, [5]])
+def test_targets_stop_at_the_cap(spark, sizes):
+    sources = spark.createDataFrame([(str(i), n, i) for i, n in enumerate(sizes)], "source string, size long, no long")
+    got = [r.target for r in mixing.targets(sources, [1, 2, 3], 3).orderBy("no").collect()]
+    assert got == plain_targets(sizes, [1 + i % 3 for i in range(len(sizes))], 3)
+
+
+def test_mix_many_sources(spark):
+    # more sources than one flow problem could hold; code point order, not that of UTF-16; null last
+    names = [f"{chr(0x1F600 + i % 7)}{i}" if i % 2 else f"\uff21{i}" for i in range(20_500)] + [None]
+    rows = [(i, "w " * (1 + i * 7 % 50), names[i % len(names)]) for i in range(30_000)]
+    sizes = defaultdict(int)
+    for i, text, source in rows:
+        sizes[source] += 1 + i * 7 % 50
+    order = sorted(sizes, key=lambda n: (n is None, n or ""))
+    asked = dict(zip(order, plain_targets([sizes[n] for n in order], [1 + i % 3 for i in range(len(order))], 3), strict=True))
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(out) == len(rows)
+    taken = defaultdict(int)
+    for r in out:
+        assert (r.mix_source_size, r.mix_target) == (sizes[r.source], asked[r.source]) and r.mix_taken <= 3 * r.mix_size
+        taken[r.source] += r.mix_taken
+    assert all(abs(taken[n] - asked[n]) <= 26 for n in order)
+
+
+def test_routes_equal_one_flow(spark):
+    # connected sets of sources solved one by one cost as little as one flow over all patterns
+    rng = random.Random(3)
+    patterns = {tuple(sorted({10 * g + rng.randrange(4) for _ in range(rng.randint(1, 3))})): rng.randint(0, 40) for g in range(6) for _ in range(5)}
+    hist = spark.createDataFrame([([f"{s:02d}" for s in p], n) for p, n in patterns.items()], "held array<string>, words long")
+    sources = sorted({s for p in patterns for s in p})
+    asked = plain_targets([sum(n for p, n in patterns.items() if s in p) for s in sources], [1 + i % 2 for i in range(len(sources))], 3)
+    keys = sorted(patterns)
+    whole = mixing.min_cost_flow([(frozenset(sources.index(s) for s in p), patterns[p]) for p in keys], [int(t + 0.5) for t in asked], 3)
+    got = {tuple(int(s) for s in r.held): r for r in mixing.routes(hist, [1, 2], 3, False).collect()}
+    assert sorted(got) == keys and all(r.words == patterns[p] and 0 <= r.given <= 3 * r.words for p, r in got.items())
+
+    def cost(words, given):
+        return sum(r * r * max(0, min(words, given - r * words)) for r in range(3))
+
+    assert sum(r.given for r in got.values()) == sum(whole)
+    assert sum(cost(r.words, r.given) for r in got.values()) == sum(cost(patterns[p], g) for p, g in zip(keys, whole, strict=True))
 
 
 def test_flow_prefers_fresh_words():
@@ -449,9 +499,9 @@ def test_mix_keeps_clashing_columns(spark, docs):
 
 
 def test_mix_overlapping_sources(spark):
-    rows = [(i, "w " * 10, ["a", "b"] if i % 2 else ["a"]) for i in range(40)] + [(99, None, None)]
+    rows = [(i, "w " * 10, ["a", "b"] if i % 2 else ["a"]) for i in range(40)] + [(99, None, None), (98, "w", [])]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, held array<string>"), "held", weights=(1, 1)).collect()
-    assert len(out) == 41 and sum(r.mix_taken for r in out if r.held == ["a", "b"]) > 0
+    assert len(out) == 42 and sum(r.mix_taken for r in out if r.held == ["a", "b"]) > 0
 
 
 # ---- 8

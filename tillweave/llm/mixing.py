@@ -2,50 +2,70 @@
 
 Documents are aggregated by membership pattern (the set of sources that hold them). Each pattern
 offers its words once per allowed repetition, at convex costs, so that fresh words are routed
-before second and third copies. The flow to the sources' quotas is solved on the driver over
-patterns, whose number is checked against MAX_PATTERNS; documents never leave Spark. Seeded
-selection then takes, of each pattern, all documents for every full repetition and for the rest a
-prefix in seeded order, found from a histogram of seeded buckets and exact sums within the one
-boundary bucket of each pattern.
+before second and third copies. Sources are numbered by a range sort, and their targets found by
+rounds of one aggregate each, of which the driver sees a few sums. The flow to the sources' quotas
+is solved in tasks, one connected set of overlapping sources at a time (a source that shares no
+document is such a set alone): any number of sources passes, and the work of a set grows with the
+square of its patterns. Seeded selection then takes, of each pattern, all documents for every full
+repetition and for the rest a prefix in seeded order, found from a histogram of seeded buckets and
+exact sums within the one boundary bucket of each pattern.
 
 Defined results: null text has size 0 and is never short of its target; a null source is a source
-of its own, last in order; rows that repeat a doc_id are documents of their own; an empty table
-gives no rows; all columns of docs pass through untouched, helper-like names included, but a column
-named like one of RESULT gives way to the result.
+of its own, last in order, and so is an array without any; rows that repeat a doc_id are documents of
+their own; an empty table gives no rows; all columns of docs pass through untouched, helper-like names
+included, but a column named like one of RESULT gives way to the result.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tillweave.llm.shared import WORD, need, settled, text_of
+from tillweave.llm.components import components
+from tillweave.llm.shared import WORD, need, settled, ship, text_of
+
+ship(__name__)
 
-#: Patterns (sets of sources) that the driver's flow problem may have.
-MAX_PATTERNS = 20_000
 BUCKETS = 4096
 RESULT = ("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken")
 
 
-def targets(sizes: list[int], weights: list[float], repeats: int) -> list[float]:
-    """Share the sum of sizes by weight; what exceeds repeats * size goes to the others by weight."""
-    out, free, left = [0.0] * len(sizes), set(range(len(sizes))), sum(sizes)
-    while free:
-        total = sum(weights[i] for i in free)
-        share = {i: left * weights[i] / total for i in free}
-        over = {i for i in free if share[i] > repeats * sizes[i]}
-        if not over:
-            for i in free:
-                out[i] = share[i]
+def numbered(sources: DataFrame) -> DataFrame:
+    """source, size, no: the place of each source by code point, null last, without a window over all."""
+    dealt = settled(sources.orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    # one row per partition of the sort
+    counts = dealt.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = counts.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return dealt.withColumn("part", part).join(before, "part").select("source", "size", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("no"))
+
+
+def targets(sources: DataFrame, weights: list[int], repeats: int) -> DataFrame:
+    """sources (source, size, no) with target: the sum of sizes shared by weight, weights repeating by no.
+
+    What exceeds repeats * size goes to the others by weight. A round sets the shares of the sources
+    that are free and counts those that exceed; shares only rise, so rounds end when none is new
+    (whole-number weights: after some dozens of rounds at most, in practice two to five).
+    """
+    turns = sources.withColumn("turn", F.col("no") % len(weights))
+    sums = {r.turn: (r.n, int(r.size)) for r in turns.groupBy("turn").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()}
+    total = sum(size for _, size in sums.values())
+    left, weight = total, sum(weights[t] * n for t, (n, _) in sums.items())
+    while True:
+        shares = F.array(*(F.lit(left * w / weight if weight else float("inf")) for w in weights))
+        turns = sources.withColumn("turn", F.col("no") % len(weights)).withColumn("share", F.get(shares, F.col("turn").cast("int")))
+        over = F.col("share") > F.col("size") * repeats
+        seen = turns.groupBy("turn").agg(F.count_if(~over).alias("free"), F.sum(F.when(over, F.col("size")).otherwise(0)).alias("full")).collect()
+        now = total - repeats * sum(int(r.full) for r in seen), sum(weights[r.turn] * r.free for r in seen)
+        if now == (left, weight) or not weight:
             break
-        for i in over:
-            out[i] = float(repeats * sizes[i])
-            left -= repeats * sizes[i]
-        free -= over
-    return out
+        left, weight = now
+    return turns.select("source", "size", "no", F.when(over, (F.col("size") * repeats).cast("double")).otherwise(F.col("share")).alias("target"))
 
 
 def min_cost_flow(patterns: list[tuple[frozenset[int], int]], quotas: list[int], repeats: int) -> list[int]:
@@ -95,50 +115,86 @@ def min_cost_flow(patterns: list[tuple[frozenset[int], int]], quotas: list[int],
     return out
 
 
+def routed(repeats: int):
+    """Task function: the flow of each connected set of patterns, one row per pattern."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, words, given, size, target = [], [], [], [], []
+            for one in batch.column("patterns"):
+                patterns, at, quotas = one.as_py(), {}, []
+                for p in patterns:
+                    for m in p["members"]:
+                        if m["no"] not in at:
+                            at[m["no"]] = len(quotas)
+                            quotas.append(int(m["target"] + 0.5))
+                given += min_cost_flow([(frozenset(at[m["no"]] for m in p["members"]), p["words"]) for p in patterns], quotas, repeats)
+                for p in patterns:
+                    held.append(p["held"]), words.append(p["words"])
+                    size.append(sum(m["size"] for m in p["members"])), target.append(float(sum(m["target"] for m in p["members"])))
+            long = pa.int64()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held, pa.list_(pa.string())), pa.array(words, long), pa.array(given, long), pa.array(size, long), pa.array(target, pa.float64())],
+                ["held", "words", "given", "size", "target"],
+            )
+
+    return solve
+
+
+def routes(hist: DataFrame, weights: list[int], repeats: int, single: bool) -> DataFrame:
+    """Per pattern (held): words, given, and the size and target of its sources; hist has held, words."""
+    patterns = hist.groupBy("held").agg(F.sum("words").cast("long").alias("words"))
+    each = patterns.select("held", "words", F.explode("held").alias("source"))
+    sources = settled(targets(settled(numbered(each.groupBy("source").agg(F.sum("words").cast("long").alias("size")))), weights, repeats))
+    member = F.struct("no", sources["size"].alias("size"), "target")
+    told = each.join(sources, each["source"].eqNullSafe(sources["source"])).select("held", "words", member.alias("member"))
+    told = told.groupBy("held").agg(F.first("words").alias("words"), F.sort_array(F.collect_list("member")).alias("members"))
+    told = told.withColumn("lead", F.expr("members[0].no"))
+    if not single:
+        told = settled(told)
+        sets = components(told.select(F.col("lead").alias("a"), F.explode("members.no").alias("b")))
+        told = told.join(sets, F.col("lead") == F.col("node"), "left").withColumn("lead", F.coalesce("component", "lead"))
+    sets = told.groupBy("lead").agg(F.sort_array(F.collect_list(F.struct("held", "words", "members"))).alias("patterns")).select("patterns")
+    return sets.mapInArrow(routed(repeats), "held array<string>, words long, given long, size long, target double")
+
+
 def mix(docs: DataFrame, sources: str = "source", weights=(1, 2, 3), repeats: int = 3, seed: int = 17) -> DataFrame:
     """docs with mix_size, mix_source_size, mix_target and mix_taken.
 
     sources names a string column, or an array column where sources overlap; then
-    mix_source_size and mix_target are summed over the row's sources.
+    mix_source_size and mix_target are summed over the row's sources. Weights are whole numbers.
     """
     need(docs, "doc_id", "text", sources)
     single = dict(docs.dtypes)[sources] == "string"
     given_columns = docs.columns
     docs = docs.select(F.col("doc_id").alias("__mx_id"), F.col("text").alias("__mx_text"), F.col(sources).alias("__mx_sources"), *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(given_columns)])
-    held = F.array("__mx_sources") if single else F.sort_array(F.array_distinct(F.coalesce("__mx_sources", F.array(F.lit(None).cast("string")))))
+    none = F.array(F.lit(None).cast("string"))
+    held = F.array("__mx_sources") if single else F.when(F.size("__mx_sources") > 0, F.sort_array(F.array_distinct("__mx_sources"))).otherwise(none)
     draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("__mx_id").cast("string"), F.lit("")))), 1, 15), 16, 10)
     sized = docs.withColumns(
         {"mix_size": F.regexp_count(text_of("__mx_text"), F.lit(WORD)).cast("long"), "__mx_held": held, "__mx_draw": draw.cast("long")}
     ).withColumn("__mx_bucket", F.expr(f"cast(__mx_draw div {2**60 // BUCKETS} as int)"))
     hist = settled(sized.groupBy("__mx_held", "__mx_bucket").agg(F.sum("mix_size").alias("words")))
-    found = hist.groupBy("__mx_held").agg(F.sum("words").alias("words")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; the flow problem is meant for few")
-    names = sorted({s for row in found for s in row[0]}, key=lambda s: (s is None, s))
-    at = {s: i for i, s in enumerate(names)}
-    sizes = [0] * len(names)
-    for row in found:
-        for s in row[0]:
-            sizes[at[s]] += row[1]
-    asked = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], repeats)
-    given = min_cost_flow([(frozenset(at[s] for s in row[0]), row[1]) for row in found], [int(t + 0.5) for t in asked], repeats)
-    plan = docs.sparkSession.createDataFrame(
-        [
-            (row[0], sum(sizes[at[s]] for s in row[0]), float(sum(asked[at[s]] for s in row[0])), g // row[1] if row[1] else 0, g % row[1] if row[1] else 0)
-            for row, g in zip(found, given, strict=True)
-        ],
-        "__mx_held array<string>, mix_source_size long, mix_target double, __mx_full long, __mx_rest long",
+    flow = routes(hist.select(F.col("__mx_held").alias("held"), "words"), list(weights), repeats, single)
+    plan = settled(
+        flow.select(
+            F.col("held").alias("__mx_held"),
+            F.col("size").alias("mix_source_size"),
+            F.col("target").alias("mix_target"),
+            F.expr("if(words = 0, 0, given div words)").alias("__mx_full"),
+            F.expr("if(words = 0, 0, given % words)").alias("__mx_rest"),
+        )
     )
     before = F.coalesce(F.sum("words").over(W.partitionBy("__mx_held").orderBy("__mx_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     # the buckets that the remainder ends in: empty ones before the boundary change nothing
     edges = (
         hist.withColumn("__mx_before", before)
-        .join(F.broadcast(plan), "__mx_held")
+        .join(plan, "__mx_held")
         .filter("__mx_before <= __mx_rest")
         .groupBy("__mx_held")
         .agg(F.max_by(F.struct(F.col("__mx_bucket").alias("edge"), F.col("__mx_before").alias("before")), "__mx_bucket").alias("__mx_edge"))
     )
-    plan = F.broadcast(plan.join(edges, "__mx_held").select(F.col("__mx_held").alias("__mx_key"), "mix_source_size", "mix_target", "__mx_full", "__mx_rest", "__mx_edge"))
+    plan = settled(plan.join(edges, "__mx_held").select(F.col("__mx_held").alias("__mx_key"), "mix_source_size", "mix_target", "__mx_full", "__mx_rest", "__mx_edge"))
     rows = sized.join(plan, F.col("__mx_held") == F.col("__mx_key"))
     clear = rows.filter("__mx_bucket != __mx_edge.edge").withColumn("__mx_more", F.expr("if(__mx_bucket < __mx_edge.edge, 1, 0)"))
     order = W.partitionBy("__mx_held").orderBy("__mx_draw", F.col("__mx_id").asc_nulls_last(), "mix_size").rowsBetween(W.unboundedPreceding, -1)
