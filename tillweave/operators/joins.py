@@ -92,6 +92,12 @@ def low_volume_switch(units: DataFrame, allocation: DataFrame, keys: Sequence[st
     return both.withColumn("baseline_plus_stretch", F.when(few, F.col("unit_stretch")).otherwise(F.col("spend_plus_stretch")))
 
 
+def cohort_overlap(df: DataFrame, key: str, first: Column, second: Column) -> DataFrame:
+    """key, part: in which of two cohorts a key has rows (first, second or both); keys of neither are left out."""
+    flags = df.filter(first | second).groupBy(key).agg(F.bool_or(F.coalesce(first, F.lit(False))).alias("a"), F.bool_or(F.coalesce(second, F.lit(False))).alias("b"))
+    return flags.select(key, F.when(F.col("a") & F.col("b"), "both").when(F.col("a"), "first").otherwise("second").alias("part"))
+
+
 def latest_snapshot(history: DataFrame, date: int, column: str = "yyyymmdd") -> DataFrame:
     """Rows of the last snapshot that is not after date."""
     last = history.filter(F.col(column) <= date).agg(F.max(column).alias("__last"))

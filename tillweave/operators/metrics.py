@@ -80,9 +80,12 @@ def category_unit_price(lines: DataFrame, percentile: float = 0.75, lx: str = "l
     return top.groupBy(lx).agg(F.percentile_approx("price", percentile, 10_000).cast("double").alias("category_price"))
 
 
-def customer_unit_price(lines: DataFrame, percentile: float = 0.85, lx: str = "l2_id") -> DataFrame:
+def customer_unit_price(lines: DataFrame, percentile: float = 0.85, lx: str = "l2_id", win: str | None = None) -> DataFrame:
+    """A customer's price in each category and articles bought; with win, also the mean count of articles in the windows with any."""
+    total = F.sum("item_qty").cast("long")
+    mean = [(total.cast("double") / F.countDistinct(win)).alias("avg_weekly_article_count")] if win else []
     return lines.groupBy("cust_id", lx).agg(
-        F.percentile_approx("unit_full_price", percentile, 10_000).cast("double").alias("customer_price"), F.sum("item_qty").cast("long").alias("total_articles")
+        F.percentile_approx("unit_full_price", percentile, 10_000).cast("double").alias("customer_price"), total.alias("total_articles"), *mean
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tillweave.functions.local import local_rows
@@ -46,7 +47,8 @@ def stretched(v: Views):
 def ratings(v: Views):
     if "ratings" in v.held:
         return v.held["ratings"]
-    return mt.window_totals(v.scoped, "l2_id").groupBy("cust_id", "l2_id").agg(F.percentile_approx("total_spend_time_window", 0.85, 10_000).alias("rating"))
+    lines = v.held["unit_lines"] if "unit_lines" in v.held else v.scoped
+    return mt.window_totals(lines, "l2_id").groupBy("cust_id", "l2_id").agg(F.percentile_approx("total_spend_time_window", 0.85, 10_000).alias("rating"))
 
 
 def predictions(v: Views):
@@ -199,13 +201,18 @@ query("min_baskets", "SELECT cust_id, p85 FROM p85 WHERE cust_id IN (SELECT cust
 )
 
 
+def unit_lines(v):
+    """What prices, counts and ratings need of the counted lines."""
+    return v.scoped.select("cust_id", "basket_id", "l2_id", "article_id", "win", "sales_amt", "item_qty", "unit_full_price")
+
+
 def unit_prices(v):
     """cust_id, l2_id, p85 window spend, unit price and weekly count, with the category's price as fallback."""
-    lines = v.scoped
-    own = mt.final_unit_price(mt.customer_unit_price(lines), mt.category_unit_price(lines)).select("cust_id", "l2_id", "unit_price")
-    units = lines.groupBy("cust_id", "l2_id", "win").agg(F.sum("item_qty").alias("u")).groupBy("cust_id", "l2_id").agg((F.sum("u").cast("double") / F.count("*")).alias("avg_weekly_article_count"))
+    lines = v.hold("unit_lines", unit_lines)
+    category = mt.category_unit_price(lines)
+    own = mt.final_unit_price(mt.customer_unit_price(lines, win="win"), category).select("cust_id", "l2_id", "unit_price", "avg_weekly_article_count")
     base = predictions(v).select("cust_id", "l2_id", F.col("actual").alias("p85"))
-    return jn.stretch_fallback_join(base, own.join(units, ["cust_id", "l2_id"], "left"), mt.category_unit_price(lines), ("cust_id", "l2_id")).withColumn("unit_stretch", F.col("p85") + F.col("unit_price"))
+    return jn.stretch_fallback_join(base, own, category, ("cust_id", "l2_id")).withColumn("unit_stretch", F.col("p85") + F.col("unit_price"))
 
 
 SHARED["units_t"] = "SELECT cust_id, l2_id, sum(u)::DOUBLE / count(*) AS c FROM (SELECT cust_id, l2_id, win, sum(item_qty) AS u FROM scoped GROUP BY ALL) GROUP BY ALL"
@@ -217,6 +224,7 @@ query("unit_stretch", "SELECT cust_id, l2_id, p85, unit_stretch FROM unit_t")(la
 
 
 def switched(v):
+    v.hold("unit_lines", unit_lines)
     rows = al.used_headroom(scored(v), not_bought=0.5).select("cust_id", "l2_id", F.col("spend_plus_stretch").cast("double").alias("spend_plus_stretch"))
     return jn.low_volume_switch(unit_prices(v), rows, ["cust_id", "l2_id"], 20).select("cust_id", "l2_id", F.col("baseline_plus_stretch").alias("spend"))
 
@@ -226,6 +234,7 @@ query("low_volume_switch", "SELECT cust_id, l2_id, spend FROM switched")(switche
 
 def switched_fixed(v):
     """As switched, beside the fixed stretch of the category's own percentile."""
+    v.hold("unit_lines", unit_lines)
     rows = ratings(v).select("cust_id", "l2_id", (F.col("rating").cast("double") * 1.2).alias("spend_plus_stretch"))
     return jn.low_volume_switch(unit_prices(v), rows, ["cust_id", "l2_id"], 20).select("cust_id", "l2_id", F.col("baseline_plus_stretch").alias("spend"))
 
@@ -285,9 +294,7 @@ query("union_cells", "SELECT cust_id, test_type, spend, NULL::VARCHAR AS l2_id F
     lambda v: baselines(v).select("cust_id", "test_type", F.col("baseline_plus_stretch").alias("spend")).unionByName(al.used_headroom(scored(v), not_bought=0.5).select("cust_id", F.lit("headroom").alias("test_type"), F.col("spend_plus_stretch").cast("double").alias("spend"), "l2_id"), allowMissingColumns=True)
 )
 query("cohort_overlap", "SELECT cust_id, CASE WHEN a AND b THEN 'both' WHEN a THEN 'first' ELSE 'second' END AS part FROM (SELECT cust_id, bool_or(l2_id = 'SMALL') AS a, bool_or(l2_id = 'MEDIUM') AS b FROM scoped WHERE l2_id IN ('SMALL', 'MEDIUM') GROUP BY cust_id)")(
-    lambda v: (lambda a, b: a.join(b, "cust_id", "left_anti").withColumn("part", F.lit("first")).unionByName(b.join(a, "cust_id", "left_anti").withColumn("part", F.lit("second"))).unionByName(a.join(b, "cust_id", "left_semi").withColumn("part", F.lit("both"))))(
-        v.scoped.filter("l2_id = 'SMALL'").select("cust_id").distinct(), v.scoped.filter("l2_id = 'MEDIUM'").select("cust_id").distinct()
-    )
+    lambda v: jn.cohort_overlap(v.scoped, "cust_id", F.col("l2_id") == "SMALL", F.col("l2_id") == "MEDIUM")
 )
 
 # ---- cells
@@ -469,7 +476,19 @@ def _seg_data(v):
     return stored(wide.join(fl.clean_demographics(v.customer_master).select("cust_id", "gender"), "cust_id").select("cust_id", "gender", *(F.col(c).cast("double").alias(c) for c in SEG)))
 
 
-query("seg_standardise")(lambda v: sg.standardise(_seg_data(v), SEG).select("cust_id", F.expr("cast(scaled as string)").alias("scaled")))
+SHARED["seg_t"] = "SELECT cust_id, gender, " + ", ".join(f"{c}::DOUBLE AS {c}" for c in SEG) + " FROM pivoted JOIN clean USING (cust_id) WHERE FD_spend >= 0.1"
+query(
+    "seg_standardise",
+    "SELECT cust_id, "
+    + ", ".join(f"floor(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0 END * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS {c}" for c in SEG)
+    + " FROM seg_t, (SELECT "
+    + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in SEG)
+    + " FROM seg_t)",
+)(
+    lambda v: sg.standardise(_seg_data(v), SEG).withColumn("scaled", vector_to_array("scaled")).select(
+        "cust_id", *(((F.floor(F.col("scaled")[i] * 1000000.0 + 0.5)) / 1000000.0).alias(c) for i, c in enumerate(SEG))
+    )
+)
 query("seg_pca")(lambda v: sg.reduced(sg.standardise(_seg_data(v), SEG), 2).select("cust_id", "pca_0", "pca_1"))
 query("seg_kmeans_search")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 5, lower=20))
 query("seg_union")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 6, pca_k=None, lower=20).join(mt.cust_activity_counts(v.scoped), "cust_id"))
