@@ -45,7 +45,7 @@ def unit_starts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class Cuts:
-    """Ids of distinct cuts, by hash, in one pool."""
+    """Ids of distinct cuts in one pool; sorted hashes and places find them."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -54,17 +54,19 @@ class Cuts:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[int, int] = {}
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _grown(self, x: np.ndarray, n: int) -> np.ndarray:
         return x if n <= len(x) else np.concatenate((x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)))
 
-    def learn(self, keys: list[int], texts: list[str]) -> None:
+    def learn(self, texts: list[str]) -> None:
+        """Encode texts; their numbers follow those of the cuts known before."""
+        known = len(self.keys)
         for i in range(0, len(texts), 20_000):
             got = [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-            n, k = len(self.at), len(got)
+            n, k = known + i, len(got)
             sizes = np.fromiter(map(len, got), np.int64, k)
             flat = np.fromiter((t for ids in got for t in ids), np.uint32, int(sizes.sum()))
             self.start, self.size = self._grown(self.start, n + k), self._grown(self.size, n + k)
@@ -72,7 +74,6 @@ class Cuts:
             self.pool[self.used : self.used + len(flat)] = flat
             self.size[n : n + k], self.start[n : n + k] = sizes, self.used + np.cumsum(sizes) - sizes
             self.used += len(flat)
-            self.at.update(zip(keys[i : i + 20_000], range(n, n + k), strict=True))
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each row's begin."""
@@ -80,14 +81,16 @@ class Cuts:
         e = np.append(s[1:], len(buf))
         h = A.segment_hashes(buf, s, e)
         keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.at) + len(keys) > KNOWN:
+        if len(self.keys) + len(keys) > KNOWN:
             self.clear()
-        listed = keys.tolist()
-        new = [i for i, k in enumerate(listed) if k not in self.at]
-        if new:
-            raw = buf.tobytes()
-            self.learn([listed[i] for i in new], [raw[s[first[i]] : e[first[i]]].decode() for i in new])
-        unit = np.fromiter(map(self.at.__getitem__, listed), np.int64, len(listed))[back]
+        at = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero((at == len(self.keys)) | (np.append(self.keys, keys[:1])[at] != keys))
+        if len(new):
+            raw, known = buf.tobytes(), len(self.keys)
+            self.learn([raw[s[i] : e[i]].decode() for i in first[new].tolist()])
+            self.keys = np.insert(self.keys, at[new], keys[new])
+            self.place = np.insert(self.place, at[new], np.arange(known, known + len(new), dtype=np.int32))
+        unit = self.place[np.searchsorted(self.keys, keys)][back]
         size = self.size[unit]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = self.pool[np.repeat(self.start[unit] - total[:-1], size) + np.arange(total[-1])]
