@@ -72,9 +72,9 @@ def chunks(column, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarr
         i = j
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(buf: np.ndarray, offs: np.ndarray, blanks: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words, and where each row's words begin (one more than rows)."""
-    blank = BLANK[buf]
+    blank = blanks[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[offs] = True
     start = ~blank

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import chat, fingerprints, jaccard, line_crf, line_dedup, mixing, packing, quality_rules, repeats, warc
+from tillweave.llm import chat, collocations, fingerprints, jaccard, lang_id, line_crf, line_dedup, mixing, packing, quality_rules, repeats, warc, whitening
 from tillweave.llm.shared import sha256, text_of
 
 
@@ -76,6 +76,20 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= line_crf.ACCEPT).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return lang_id.identify(docs, lang_id.train(docs)).withColumn("held_out", lang_id.held_out())
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_jaccard": op2_jaccard,
@@ -87,6 +101,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_crf": op10_line_crf,
+    "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_lang_id": op13_lang_id,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -156,4 +173,26 @@ SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
   CASE WHEN text = edited THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, b)) + len(list_intersect(sa, sb))) / (len(a) + len(b) + len(sa) + len(sb) + 2) END::DOUBLE AS near_edited,
   CASE WHEN text = next_text THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, c)) + len(list_intersect(sa, sc))) / (len(a) + len(c) + len(sa) + len(sc) + 2) END::DOUBLE AS near_next
 FROM s""",
+    "op11_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+found AS (
+  SELECT lang, 1 AS m, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM found GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS parts FROM f WHERE m > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+sides AS (
+  SELECT cuts.lang, cuts.m, cuts.phrase, a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.m = k AND x.phrase = array_to_string(parts[1:k], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.m = cuts.m - k AND y.phrase = array_to_string(parts[k + 1 : cuts.m], ' ')),
+best AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, unnest([parts[1] || ' ' || parts[2], parts[2] || ' ' || parts[3]]) AS phrase FROM c WHERE m = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.a IS NULL OR 100 * longer.a < 50 * best.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000""",
 }
