@@ -160,7 +160,8 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, k: int = CENTROIDS) -> dict:
     df = np.array([seen.get(s, 0) for s in range(SLOTS)], np.float64)
     idf = np.log((seen.get(-1, 0) + 1) / (df + 1)) + 1
     share = known.groupBy("lang").agg((F.lit(2.0 * rows) / F.count("*")).alias("share"))
-    drawn = known.withColumn("draw", F.xxhash64(F.lit("centroids"), "doc_id", "text")).join(share, "lang")
+    # one row a language, for each of which the model holds whole centroids: far below any bound on a broadcast
+    drawn = known.withColumn("draw", F.xxhash64(F.lit("centroids"), "doc_id", "text")).join(F.broadcast(share), "lang")
     drawn = drawn.filter(F.pmod("draw", F.lit(1 << 32)).cast("double") / float(1 << 32) < F.col("share"))
     once = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text"))  # repeated rows count once
     few = once.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).filter(F.col("place") <= rows)
