@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tillweave.llm.shared import BLANKS, ascii_lower, need, settled, text_of
+from tillweave.llm.shared import BLANKS, ascii_lower, fresh, need, settled, text_of
 
 #: Bound of the broadcast of hot hashes (32 bytes each), and the rows below which none is hot.
 HOT_KEYS, HOT_ROWS = 131_072, 2_000
@@ -67,22 +67,21 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """docs with the kept text, and n_lines and n_dropped (replacing columns of those names)."""
-    marks = bitmaps.select(
-        F.col("doc_id").alias("__ld_id"), F.col("th").alias("__ld_th"), F.col("n_dropped").alias("__ld_n"), F.col("dropped").alias("__ld_words")
-    )
-    both = docs.join(marks, (F.col("doc_id") == F.col("__ld_id")) & (F.xxhash64("text") == F.col("__ld_th")), "left")
+    key, text_hash, n, words = (fresh(docs, name) for name in ("ld_id", "ld_hash", "ld_n", "ld_words"))
+    marks = bitmaps.select(F.col("doc_id").alias(key), F.col("th").alias(text_hash), F.col("n_dropped").alias(n), F.col("dropped").alias(words))
+    both = docs.join(marks, (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(text_hash)), "left")
     kept = F.expr(
         "array_join(filter(split(text, '\\n', -1), (x, i) -> "
-        "(shiftright(coalesce(__ld_words[cast(i div 64 as int)], 0L), i % 64) & 1L) = 0), '\\n')"
+        f"(shiftright(coalesce({words}[cast(i div 64 as int)], 0L), i % 64) & 1L) = 0), '\\n')"
     )
     whole = text_of()
     return both.withColumns(
         {
             "n_lines": (F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1).cast("long"),
-            "n_dropped": F.coalesce("__ld_n", F.lit(0)).cast("long"),
-            "text": F.when(F.col("__ld_n").isNull(), F.col("text")).otherwise(kept),
+            "n_dropped": F.coalesce(n, F.lit(0)).cast("long"),
+            "text": F.when(F.col(n).isNull(), F.col("text")).otherwise(kept),
         }
-    ).drop("__ld_id", "__ld_th", "__ld_n", "__ld_words")
+    ).drop(key, text_hash, n, words)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
