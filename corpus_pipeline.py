@@ -34,7 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document, that of the smallest doc_id, of each group that links connect; of rows of one doc_id and text the smallest."""
     keep = settled(jaccard.linked(docs).filter("doc_id = component_id").select("doc_id").distinct())
     kept, row, same = docs.join(keep, "doc_id", "left_semi"), fresh(docs, "row"), fresh(docs, "same")
-    once = kept.groupBy(F.col("doc_id").alias(fresh(docs, "id")), F.xxhash64("text").alias(same)).agg(F.min(F.struct(*kept.columns)).alias(row))
+    unordered = {f.name for f in kept.schema if any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))}
+    order = F.struct(*(F.to_json(F.struct(c)) if c in unordered else F.col(c) for c in kept.columns))  # maps have no order
+    once = kept.groupBy(F.col("doc_id").alias(fresh(docs, "id")), F.xxhash64("text").alias(same)).agg(F.min_by(F.struct(*kept.columns), order).alias(row))
     return once.select(f"{row}.*").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
