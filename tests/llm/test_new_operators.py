@@ -255,3 +255,33 @@ def test_lang_id_rejects_what_is_far(spark):
     docs = spark.createDataFrame(rows + [(100, "xkcd qwpz zzqx kjhg", None), (101, "ana ano ania", None)], "doc_id long, text string, lang string")
     got = {r.doc_id: r.rejected for r in lang_id.identify(docs, lang_id.train(docs)).collect()}
     assert got[100] and not got[101] and not got[0]
+
+
+# ---- clashing columns, maps, and very many empty documents
+def test_line_dedup_with_helper_names(spark):
+    from tillweave.llm import line_dedup
+
+    names = ("__ld_id", "__ld_n", "ld_id", "ld_hash", "ld_n", "ld_words", "th")
+    docs = spark.createDataFrame([(1, "a long enough line\nx"), (2, "a long enough line\ny")], "doc_id long, text string").withColumns({c: F.lit(5) for c in names})
+    got = line_dedup.dedup_lines(docs).orderBy("doc_id").collect()
+    assert [(r.text, r.n_dropped) for r in got] == [("a long enough line\nx", 0), ("y", 1)] and all(r[c] == 5 for r in got for c in names)
+
+
+def test_near_duplicates_with_map_column(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, {"b": 1}), (1, text, {"a": 2}), (2, text + " more", {}), (3, "other", None)], "doc_id long, text string, tags map<string,int>")
+    got = corpus_pipeline.near_duplicates(spark, docs, "").orderBy("doc_id").collect()
+    assert [(r.doc_id, r.tags) for r in got] == [(1, {"a": 2}), (3, None)]
+
+
+def test_packing_deals_empty_documents_to_many_groups(spark):
+    import public_tokenizers
+
+    from tillweave.llm import packing
+
+    docs = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    out = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    groups = out.groupBy(F.shiftright("sequence_id", 32).alias("g")).agg(F.count("*").alias("n")).collect()
+    assert sum(r.n for r in groups) == 300_000 and len(groups) >= 8 and max(r.n for r in groups) < 60_000

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tillweave.llm.shared import kept, ship
+from tillweave.llm.shared import kept, released, ship
 
 ship(__name__)
 
@@ -55,7 +55,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def chunks(column, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of runs of rows of about `most` bytes."""
-    pa.default_memory_pool().release_unused()  # of the batch before
+    released()  # of the batch before
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())

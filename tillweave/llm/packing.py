@@ -28,10 +28,10 @@ from tillweave.llm.shared import kept, need, ship, text_of
 ship(__name__)
 
 ROOM, END_ID, SEED = 2048, 1, 29
-#: Text bytes that a group has on average; sets the number of groups from the corpus' size.
-GROUP_BYTES = 2 << 20
-#: Distinct cuts that a worker remembers before it starts afresh.
-KNOWN = 1_500_000
+#: Text bytes that a group has on average, a row counting ROW_BYTES of its own; sets the number of groups from the corpus' size.
+GROUP_BYTES, ROW_BYTES = 2 << 20, 64
+#: Distinct cuts, and ids of these, that a worker remembers before it starts afresh.
+KNOWN, POOL = 500_000, 4_000_000
 
 
 def unit_starts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ class Cuts:
         e = np.append(s[1:], len(buf))
         h = A.segment_hashes(buf, s, e)
         keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > KNOWN:
+        if len(self.keys) + len(keys) > KNOWN or self.used > POOL:
             self.clear()
         at = np.searchsorted(self.keys, keys)
         new = np.flatnonzero((at == len(self.keys)) | (np.append(self.keys, keys[:1])[at] != keys))
@@ -219,7 +219,7 @@ def packed(docs: DataFrame, vocabulary: str, seed: int = SEED) -> DataFrame:
     from tokenizers import Tokenizer
 
     width = 2 if Tokenizer.from_str(spec).get_vocab_size() <= 1 << 16 else 4
-    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length(text_of()).cast("long") + ROW_BYTES)).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.withColumn("tie", F.xxhash64(F.lit(seed), "text"))

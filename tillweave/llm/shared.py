@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,14 @@ def kept() -> dict:
     return sys.modules.setdefault("_tillweave_kept", types.ModuleType("_tillweave_kept")).__dict__
 
 
+def released() -> None:
+    """Give back to the system what this worker has freed: Arrow's pool, and the C heap where the library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def scratch(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a temporary one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
