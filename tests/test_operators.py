@@ -63,7 +63,7 @@ def test_membership_fans_out(spark):
 def test_band_edges_and_overlap(spark):
     bands = spark.createDataFrame([(0, 10, 0, 1), (10, 20, 1, 2), (5, 12, 2, 3)], "lo int, hi int, ord int, offer_id long")
     d = spark.createDataFrame([(1, 4.0), (2, 10.0), (3, 12.0), (4, 20.0), (5, None)], "k long, s double")
-    got = {r.k: r.offer_id for r in jn.offer_band_range(d, "s", bands, ["k"]).collect()}
+    got = {r.k: r.offer_id for r in jn.offer_band_range(d, "s", bands).collect()}
     assert got == {1: 1, 2: 3, 3: 2, 4: None, 5: None}
 
 

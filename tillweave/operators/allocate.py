@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillweave.functions.hashing import uniform
 from tillweave.functions.numeric import cents, percent_change
+from tillweave.operators.joins import elementary_bands, offer_at
 
 
 def fixed_stretch(df: DataFrame, percents: Sequence[int], stretches: Sequence[int], keys: Sequence[str] = ("cust_id",)) -> DataFrame:
@@ -40,9 +41,11 @@ def basket_rollup(df: DataFrame, keys: Sequence[str] = ("cust_id",)) -> DataFram
     return df.groupBy(*keys).agg(F.sum("spend_plus_stretch").cast("double").alias("spend_plus_stretch"), F.sum(cents(F.col("actual")).cast("decimal(14,2)")).cast("double").alias("estimated_spend"))
 
 
-def offer_mapping(variants: DataFrame, department: str, target: str, reward: int) -> DataFrame:
-    """The configured bands of one department, target and reward; none at all are an error."""
-    found = variants.filter((F.col("l1_id") == department) & (F.col("target") == target) & (F.col("reward_perc") == reward))
+def offer_mapping(variants: DataFrame, department: str, target: str | None, reward: int) -> DataFrame:
+    """The configured bands of one department, target (None: every target) and reward; none at all are an error."""
+    found = variants.filter((F.col("l1_id") == department) & (F.col("reward_perc") == reward))
+    if target is not None:
+        found = found.filter(F.col("target") == target)
     if found.isEmpty():
         raise ValueError(f"no offers of {department}, {target}, {reward} percent")
     return found
@@ -59,14 +62,14 @@ def edge_offers(bands: DataFrame, n: int, by: Sequence[str]) -> tuple[DataFrame,
 def allocate(df: DataFrame, spend: str, bands: DataFrame, by: Sequence[str] = (), user: str = "cust_id", n_fill: int = 2, seed: int = 7) -> DataFrame:
     """offer_id and offer_desc of every row: its band's offer; above all bands a keyed-random large one; without spend a small one.
 
-    bands (configured, some per key of `by`) is broadcast with one range join for all keys; bands of
-    a key must not overlap, which holds for a ladder (joins.offer_band_range settles overlaps)."""
+    bands (configured, some per key of `by`) meet the rows by key, as sorted steps that are searched; of overlapping
+    bands the last defined (largest ord) holds."""
     k = [*by] or ["__one"]
     if not by:
         df, bands = df.withColumn("__one", F.lit(1)), bands.withColumn("__one", F.lit(1))
     large, small = edge_offers(bands, n_fill, k)
-    ladder = F.broadcast(bands.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "offer_id"))).alias("__ladder")).join(large, k).join(small, k))
-    inside = F.get(F.filter("__ladder", lambda b: (F.col(spend) >= b["lo"]) & (F.col(spend) < b["hi"])), F.lit(0))["offer_id"]
+    ladder = F.broadcast(elementary_bands(bands, k).join(large, k).join(small, k).withColumnRenamed("steps", "__ladder"))
+    inside = offer_at(F.col("__ladder"), F.col(spend).cast("double"))
     u = uniform(seed, user)
     pick = lambda a: F.get(a, F.floor(u * F.size(a)).cast("int"))
     offer = F.when(F.col(spend) >= F.col("max_limit"), pick(F.col("large"))).when(inside.isNull(), pick(F.col("small"))).otherwise(inside)

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import shuffle_key
 from tillweave.functions.local import local_rows
+from tillweave.sources.scratch import shared_folder
 
 BUCKET_DIGITS = 3
 
@@ -64,26 +66,39 @@ def apply_assignment(rows: DataFrame, cells: DataFrame, key: str = "cust_id") ->
     return rows.join(cells, [key, "test_type"])
 
 
+def exclusive_round(pools: DataFrame, used: DataFrame | None, value: object, n: int, category: str, key: str, seed: int) -> DataFrame:
+    """The first n keys of one category's slice, in keyed-random order, that no earlier round has used."""
+    pool = pools.filter(F.col(category) == F.lit(value)).select(key)
+    if used is not None:
+        pool = pool.join(used.select(key), key, "left_anti")
+    return shuffled_index(pool, key, seed).filter(F.col("index") < n).select(key, F.lit(value).alias(category))
+
+
 def sequential_exclusive(rows: DataFrame, order: Sequence[str], n: int, category: str, key: str = "cust_id", seed: int = 7, spend: str | None = None, enough: bool = False) -> DataFrame:
     """n customers of each category in turn, none twice; order is a short configured list.
 
+    The categories' members are written once, sliced by category; each round reads its slice and the settled
+    set of all that earlier rounds have used, and adds its own part to that set, so every round has the same plan.
     With a spend column only rows above zero count; with enough, a category that cannot give n customers is an error."""
-    used, out = None, None
+    spark = rows.sparkSession
     if spend:
         rows = rows.filter(F.col(spend) > 0)
-    for c in order:
-        pool = rows.filter(F.col(category) == c).select(key).distinct()
-        if used is not None:
-            pool = pool.join(used, key, "left_anti")
-        taken = shuffled_index(pool, key, seed).filter(F.col("index") < n).select(key, F.lit(c).alias(category))
-        used = taken.select(key) if used is None else used.unionByName(taken.select(key))
-        out = taken if out is None else out.unionByName(taken)
+    members = rows.filter(F.col(category).isin(*order)).select(key, category).distinct()
+    pools_at, used_at = shared_folder(spark), shared_folder(spark)
+    members.write.partitionBy(category).parquet(pools_at)
+    pools, used = spark.read.schema(members.schema).parquet(pools_at), None
+    schema = StructType([members.schema[key], members.schema[category], StructField("round", IntegerType())])
+    for i, c in enumerate(order):
+        exclusive_round(pools, used, c, n, category, key, seed).write.parquet(f"{used_at}/round={i}")
+        used = spark.read.schema(schema).parquet(used_at)
+    if used is None:
+        return members
     if enough:
-        have = {r[0]: r[1] for r in out.groupBy(category).count().collect()}
+        have = {r[0]: r[1] for r in used.groupBy(category).count().collect()}
         few = [c for c in order if have.get(c, 0) < n]
         if few:
             raise ValueError(f"fewer than {n} customers left for {few}")
-    return out
+    return used.select(key, category)
 
 
 def random_rows_per_group(df: DataFrame, by: Sequence[str], n: int, key: str = "cust_id", seed: int = 7) -> DataFrame:

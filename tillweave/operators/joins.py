@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillweave.operators.ranks import same
+
+#: Steps of one key are fewer than two to this power.
+STEP_BITS = 16
+
 
 def article_enrich(lines: DataFrame, articles: DataFrame, l2_ids: Sequence[str], keep: Sequence[str] = ("l2_id",)) -> DataFrame:
     """Lines of articles in the given groups, with the article's levels."""
@@ -64,19 +69,40 @@ def in_band(spend: Column, lo: str = "lo", hi: str = "hi") -> Column:
     return (spend >= F.col(lo)) & (spend < F.col(hi))
 
 
-def offer_band_range(df: DataFrame, spend: str, bands: DataFrame, keys: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
-    """The offer whose band holds the spend; of overlapping bands the last defined (largest ord).
-
-    bands is a configured list (some bands per target) and is broadcast; rows without a band stay, with a null offer."""
-    b = F.broadcast(bands.select(*on, "lo", "hi", "ord", "offer_id"))
-    left = df.alias("x")
-    right = b.alias("b")
-    cond = (F.col(f"x.{spend}") >= F.col("b.lo")) & (F.col(f"x.{spend}") < F.col("b.hi"))
-    for c in on:
-        cond = cond & (F.col(f"x.{c}") == F.col(f"b.{c}"))
-    both = left.join(right, cond, "left").select("x.*", F.col("b.ord").alias("__ord"), F.col("b.offer_id").alias("__offer"))
-    rest = [c for c in df.columns if c not in keys]
-    return both.groupBy(*keys).agg(*(F.first(c).alias(c) for c in rest), F.max_by("__offer", "__ord").alias("offer_id"))
+def elementary_bands(bands: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """on, steps: the bands' endpoints in order, each with the offer that holds from there to the next.
+
+    Of overlapping bands the last defined (largest ord) holds; in a gap, and beyond the last end, none does."""
+    b = bands.select(*on, F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"), "ord", "offer_id")
+    ends = b.select(*on, F.explode(F.array("lo", "hi")).alias("at")).distinct()
+    inside = same("e", "b", on) & (F.col("e.at") >= F.col("b.lo")) & (F.col("e.at") < F.col("b.hi"))
+    held = ends.alias("e").join(b.alias("b"), inside, "left").groupBy(*(F.col(f"e.{c}") for c in on), "e.at").agg(F.max_by("b.offer_id", "b.ord").alias("offer_id"))
+    return held.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("at", "offer_id"))).alias("steps"))
+
+
+def offer_at(steps: Column, spend: Column) -> Column:
+    """The offer that holds at the spend, by binary search in the sorted steps; null before the first and without a spend."""
+    jumps = F.array(*(F.lit(1 << k) for k in range(STEP_BITS - 1, -1, -1)))
+    further = lambda at, jump: (at + jump <= F.size(steps)) & (F.get(steps, at + jump - 1)["at"] <= spend)
+    place = F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(further(at, jump), at + jump).otherwise(at))
+    return F.when(F.size(steps) >= 1 << STEP_BITS, F.raise_error(F.lit("too many bands"))).otherwise(F.get(steps, place - 1)["offer_id"])
+
+
+def offer_band_range(df: DataFrame, spend: str, bands: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """df with the offer_id whose band holds the spend; of overlapping bands the last defined (largest ord).
+
+    bands is a configured list: without keys its steps are values of the plan, with keys they meet the rows
+    by an equality join. Rows are neither multiplied nor regrouped; those without a band have a null offer."""
+    if on:
+        steps = elementary_bands(bands, on)
+        both = df.alias("x").join(steps.alias("b"), same("x", "b", on), "left").select("x.*", F.col("b.steps").alias("__steps"))
+        return both.withColumn("offer_id", offer_at(F.col("__steps"), F.col(spend).cast("double"))).drop("__steps")
+    kind = bands.schema["offer_id"].dataType
+    found = elementary_bands(bands).first()
+    if found is None or not found.steps:
+        return df.withColumn("offer_id", F.lit(None).cast(kind))
+    steps = F.array(*(F.struct(F.lit(s["at"]).alias("at"), F.lit(s["offer_id"]).cast(kind).alias("offer_id")) for s in found.steps))
+    return df.withColumn("offer_id", offer_at(steps, F.col(spend).cast("double")))
 
 
 def stretch_fallback_join(base: DataFrame, customer_price: DataFrame, category_price: DataFrame, keys: Sequence[str] = ("cust_id", "lx_id")) -> DataFrame:

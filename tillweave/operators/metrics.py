@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.functions.numeric import exact_mean, profile
+from tillweave.operators.ranks import same
 
 
 def _spend(name: str):
@@ -117,3 +118,18 @@ def complete_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     most = sizes.agg(F.max("__n").alias("__n"))
     return df.join(sizes.join(F.broadcast(most), "__n", "left_semi"), list(keys), "left_semi")
+
+
+def histogram(df: DataFrame, by: Sequence[str], value: str, bins: int) -> DataFrame:
+    """by, bin, lower, upper, n_rows: equal-width bins from the group's smallest to its largest value, empty ones included.
+
+    The last bin holds the largest value; where all values are equal they are in the first. Rows without a value count nowhere."""
+    x = df.select(*by, F.col(value).cast("double").alias("__x")).filter("__x is not null")
+    bounds = x.groupBy(*by).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+    share = (F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+    place = F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor(share * bins), F.lit(bins - 1))).otherwise(0).cast("int")
+    held = x.alias("x").join(bounds.alias("b"), same("x", "b", by)).select(*(F.col(f"x.{c}") for c in by), place.alias("bin")).groupBy(*by, "bin").agg(F.count("*").alias("n_rows"))
+    every = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    edge = lambda i: F.col("e.__lo") + (F.col("e.__hi") - F.col("e.__lo")) * (i / float(bins))
+    both = every.alias("e").join(held.alias("h"), same("e", "h", [*by, "bin"]), "left")
+    return both.select(*(F.col(f"e.{c}") for c in by), "e.bin", edge(F.col("e.bin")).alias("lower"), edge(F.col("e.bin") + 1).alias("upper"), F.coalesce("h.n_rows", F.lit(0)).alias("n_rows"))

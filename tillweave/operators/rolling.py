@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillweave.operators.ranks import percent_rank, ranked_values, same, with_ranks
+
 
 def rolling_days_sum(lines: DataFrame, days: int = 30, direction: str = "forward", value: str = "sales_amt", day: str = "day_no") -> DataFrame:
     """spend_timespan: the sum over the days after each line ('forward', the reference's frame) or before it."""
@@ -75,15 +77,16 @@ def nearest_above_percentile(values: DataFrame, value: str, tie: Sequence[str],
 
 def headroom_rank(df: DataFrame, item: str, value: str = "headroom", descending: bool = False) -> DataFrame:
     """Dense rank within an item, ascending by default as in the reference."""
-    order = F.desc(value) if descending else F.col(value)
-    return df.withColumn("headroom_item_rank", F.dense_rank().over(W.partitionBy(item).orderBy(order)))
+    return with_ranks(df, [item], value, descending).withColumnRenamed("dense_rank", "headroom_item_rank").drop("before", "total")
 
 
 def percent_rank_of_baseline(observed: DataFrame, baselines: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Where each baseline falls among its group's observed values (baselines counted among them)."""
-    both = observed.select(*keys, F.col(column).cast("double").alias("v"), F.lit(0).alias("b")).unionByName(baselines.select(*keys, F.col("v").cast("double").alias("v"), F.lit(1).alias("b")))
-    ranked = both.withColumn("percentile_rank", F.percent_rank().over(W.partitionBy(*keys).orderBy("v")))
-    return ranked.filter("b = 1").drop("b")
+    mine = baselines.select(*keys, F.col("v").cast("double").alias("v"))
+    both = observed.select(*keys, F.col(column).cast("double").alias("v")).unionByName(mine)
+    ranks = ranked_values(both, keys, "v")
+    found = mine.alias("m").join(ranks.alias("r"), same("m", "r", [*keys, "v"])).select("m.*", "r.before", "r.total")
+    return found.withColumn("percentile_rank", percent_rank()).drop("before", "total")
 
 
 def share_of_total(counts: DataFrame, count: str = "n_rows") -> DataFrame:

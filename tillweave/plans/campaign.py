@@ -142,13 +142,15 @@ query("basket_headroom_rollup", f"SELECT cust_id, sum(spend_plus_stretch)::DOUBL
 )
 
 # ---- offers
-query("offer_mapping", "SELECT offer_id, lo, hi, offer_desc FROM full_bands")(lambda v: basket_bands(v).select("offer_id", "lo", "hi", "offer_desc"))
+query("offer_mapping", "SELECT target, offer_id, lo, hi, offer_desc FROM offer_bands WHERE reward_perc = 10")(
+    lambda v: al.offer_mapping(v.offer_bands, "FD", None, 10).select("target", "offer_id", "lo", "hi", "offer_desc")
+)
 query("max_upper_limit", "SELECT target, max(hi) AS max_limit FROM offer_bands GROUP BY target")(lambda v: al.limits_of(v.offer_bands))
-query("top_bottom_offers", "SELECT list(offer_id ORDER BY hi DESC)[:2] AS large, (SELECT list(offer_id ORDER BY lo)[:2] FROM full_bands) AS small, max(hi) AS max_limit FROM full_bands")(
-    lambda v: (lambda e: e[0].join(e[1], "target").select("large", "small", "max_limit"))(al.edge_offers(basket_bands(v), 2, ["target"]))
+query("top_bottom_offers", "SELECT target, list(offer_id ORDER BY hi DESC)[:2] AS large, list(offer_id ORDER BY lo)[:2] AS small, max(hi) AS max_limit FROM offer_bands WHERE reward_perc = 10 GROUP BY target")(
+    lambda v: (lambda e: e[0].join(e[1], "target").select("target", "large", "small", "max_limit"))(al.edge_offers(al.offer_mapping(v.offer_bands, "FD", None, 10), 2, ["target"]))
 )
 query("offer_band_range", "SELECT cust_id, test_type, estimated_spend, spend AS baseline_plus_stretch, arg_max(o.offer_id, o.ord) AS offer_id FROM base LEFT JOIN full_bands o ON spend >= o.lo AND spend < o.hi GROUP BY ALL")(
-    lambda v: jn.offer_band_range(baselines(v), "baseline_plus_stretch", basket_bands(v), ["cust_id", "test_type"])
+    lambda v: jn.offer_band_range(baselines(v), "baseline_plus_stretch", basket_bands(v))
 )
 query("allocate_offer", "SELECT cust_id, spend AS baseline_plus_stretch, offer_id FROM offered WHERE test_type = '85_stretch_20_perc'")(
     lambda v: al.allocate(baselines(v).filter("test_type = '85_stretch_20_perc'"), "baseline_plus_stretch", basket_bands(v)).select("cust_id", "baseline_plus_stretch", "offer_id")
@@ -156,7 +158,7 @@ query("allocate_offer", "SELECT cust_id, spend AS baseline_plus_stretch, offer_i
 query("allocate_all_baselines", "SELECT cust_id, test_type, estimated_spend, spend AS baseline_plus_stretch, offer_id, offer_desc FROM offered JOIN full_bands USING (offer_id)")(lambda v: allocated(v).select("cust_id", "test_type", "estimated_spend", "baseline_plus_stretch", "offer_id", "offer_desc"))
 query("round_estimates", "SELECT cust_id, test_type, spend_plus_stretch, estimated_spend, estimated_stretch FROM exported")(lambda v: export(v).select("cust_id", "test_type", "spend_plus_stretch", "estimated_spend", "estimated_stretch"))
 query("fill_offer", "SELECT cust_id, test_type, coalesce(arg_max(o.offer_id, o.ord), 111002) AS offer_id FROM base LEFT JOIN full_bands o ON spend >= o.lo AND spend < o.hi GROUP BY cust_id, test_type")(
-    lambda v: jn.offer_band_range(baselines(v), "baseline_plus_stretch", basket_bands(v), ["cust_id", "test_type"]).select("cust_id", "test_type", F.coalesce("offer_id", F.lit(111002)).alias("offer_id"))
+    lambda v: jn.offer_band_range(baselines(v), "baseline_plus_stretch", basket_bands(v)).select("cust_id", "test_type", F.coalesce("offer_id", F.lit(111002)).alias("offer_id"))
 )
 query("upper_limit_exclusion", "SELECT cust_id, test_type, spend FROM base WHERE spend <= (SELECT max(hi) FROM full_bands)")(
     lambda v: al.within_upper_limit(baselines(v), "baseline_plus_stretch", al.limits_of(basket_bands(v)), None).select("cust_id", "test_type", F.col("baseline_plus_stretch").alias("spend"))
@@ -290,6 +292,31 @@ query("offer_ladder", "SELECT l2_id, quantile_disc(unit_full_price, [0.5, 0.75,
 query("offer_spend_steps", f"SELECT test_type, quantile_disc({cents_sql('spend')}::DECIMAL(14,2), [0.5, 0.75, 0.85])::DOUBLE[] AS spend_steps FROM base GROUP BY test_type")(
     lambda v: baselines(v).groupBy("test_type").agg(F.percentile_approx(cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)"), [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("spend_steps"))
 )
+
+
+# ---- distributions that offers are designed on
+def _article_prices(v):
+    """The highest full price of each counted article in its product group."""
+    return v.scoped.groupBy("l2_id", "article_id").agg(F.max("unit_full_price").cast("double").alias("unit_price"))
+
+
+def _histogram_sql(rows, by, value, bins):
+    return f"""WITH_x AS (SELECT {by}, {value} AS x FROM {rows}), b AS (SELECT {by}, min(x) AS lo, max(x) AS hi FROM x GROUP BY {by}),
+  h AS (SELECT {by}, CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) ELSE 0 END::INTEGER AS bin, count(*) AS n FROM x JOIN b USING ({by}) GROUP BY ALL),
+  e AS (SELECT *, unnest(range({bins}))::INTEGER AS bin FROM b)
+  SELECT {by}, bin, lo + (hi - lo) * (bin / {float(bins)}::DOUBLE) AS lower, lo + (hi - lo) * ((bin + 1) / {float(bins)}::DOUBLE) AS upper, coalesce(n, 0) AS n_rows FROM e LEFT JOIN h USING ({by}, bin))""".replace("WITH_x", "SELECT * FROM (WITH x")
+
+
+STEPS = (0.0, 0.25, 0.5, 0.75, 0.95, 0.97, 0.99, 1.0)
+SHARED["article_prices"] = "SELECT l2_id, article_id, max(unit_full_price)::DOUBLE AS unit_price FROM scoped GROUP BY l2_id, article_id"
+query("price_histogram", _histogram_sql("article_prices", "l2_id", "unit_price", 100))(lambda v: mt.histogram(_article_prices(v), ["l2_id"], "unit_price", 100))
+query("price_ladder", f"SELECT l2_id, quantile_disc(unit_price, {[0.5, 0.75, 0.85]}) AS price_steps FROM article_prices GROUP BY l2_id")(
+    lambda v: _article_prices(v).groupBy("l2_id").agg(F.percentile_approx("unit_price", [0.5, 0.75, 0.85], 10_000).alias("price_steps"))
+)
+query("spend_histogram", _histogram_sql("base", "test_type", "spend", 700))(lambda v: mt.histogram(stored(baselines(v)), ["test_type"], "baseline_plus_stretch", 700))
+query("spend_ladder", f"SELECT test_type, quantile_disc({cents_sql('spend')}::DECIMAL(14,2), {list(STEPS)})::DOUBLE[] AS spend_steps FROM base GROUP BY test_type")(
+    lambda v: baselines(v).groupBy("test_type").agg(F.percentile_approx(cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)"), list(STEPS), 10_000).cast("array<double>").alias("spend_steps"))
+)
 query("union_cells", "SELECT cust_id, test_type, spend, NULL::VARCHAR AS l2_id FROM base UNION ALL SELECT cust_id, 'headroom', spend_plus_stretch::DOUBLE, l2_id FROM used")(
     lambda v: baselines(v).select("cust_id", "test_type", F.col("baseline_plus_stretch").alias("spend")).unionByName(al.used_headroom(scored(v), not_bought=0.5).select("cust_id", F.lit("headroom").alias("test_type"), F.col("spend_plus_stretch").cast("double").alias("spend"), "l2_id"), allowMissingColumns=True)
 )
@@ -323,7 +350,9 @@ def _sequential_sql(order, n):
     return "SELECT * FROM (WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(f"SELECT * FROM s{i}" for i in used) + ")"
 
 
-query("sequential_exclusive", _sequential_sql(sorted(L2), 20))(lambda v: ce.sequential_exclusive(stored(v.scoped.groupBy("cust_id", "l2_id").agg(F.sum("sales_amt").alias("spend"))), sorted(L2), 20, "l2_id", spend="spend").select("cust_id", "l2_id"))
+query("sequential_exclusive", _sequential_sql(sorted(L2), 20))(
+    lambda v: ce.sequential_exclusive(v.scoped.groupBy("cust_id", "l2_id").agg(F.sum("sales_amt").alias("spend")), sorted(L2), 20, "l2_id", spend="spend").select("cust_id", "l2_id")
+)
 query("anti_already_assigned", f"SELECT DISTINCT cust_id FROM scoped WHERE l2_id = 'SMALL' AND cust_id NOT IN (SELECT cust_id FROM (SELECT DISTINCT cust_id FROM scoped WHERE l2_id = 'ECONOMY') ORDER BY md5('{SEED}|' || cust_id), cust_id LIMIT 20)")(
     lambda v: v.scoped.filter("l2_id = 'SMALL'").select("cust_id").distinct().join(ce.sequential_exclusive(v.scoped, ["ECONOMY"], 20, "l2_id").select("cust_id"), "cust_id", "left_anti")
 )
@@ -508,7 +537,22 @@ query("replace_where", "SELECT cust_id, test_type, offer_id, 20010801 AS campaig
 query("align_schema", "SELECT cust_id, NULL::VARCHAR AS gender, sum(sales_amt)::DOUBLE AS spend FROM scoped GROUP BY cust_id")(
     lambda v: sinks.align_schema(v.scoped.groupBy("cust_id").agg(F.sum("sales_amt").cast("double").alias("spend")), v.customer_master.select("cust_id", "gender"))
 )
-query("insert_only_merge", "SELECT DISTINCT cust_id FROM scoped WHERE cust_id NOT IN (SELECT cust_id FROM recent)")(lambda v: sinks.insert_only(v.scoped.select("cust_id").distinct(), v.recent, ["cust_id"]))
+
+
+def _merged(v):
+    """A table of the recent customers by band, into which all customers are merged, twice: the second run inserts nothing."""
+    path = shared_folder(v.spark)
+    rows = lambda lines, run: lines.select("cust_id").distinct().select("cust_id", (F.col("cust_id") % 7).alias("band"), F.lit(run).alias("run"))
+    rows(v.recent, 0).write.partitionBy("band").parquet(path)
+    source = stored(rows(v.scoped, 1))
+    sinks.insert_new(source, path, ["cust_id", "band"], "band")
+    if sinks.insert_new(source.withColumn("run", F.lit(2)), path, ["cust_id", "band"], "band"):
+        raise ValueError("a second merge of the same rows inserted some")
+    return v.spark.read.schema(source.schema).parquet(path)
+
+
+query("insert_only_merge", "SELECT DISTINCT cust_id FROM scoped WHERE cust_id NOT IN (SELECT cust_id FROM recent)")(lambda v: _merged(v).filter("run > 0").select("cust_id"))
+query("insert_only_merge_target", "SELECT cust_id, cust_id % 7 AS band, CASE WHEN cust_id IN (SELECT cust_id FROM recent) THEN 0 ELSE 1 END AS run FROM (SELECT DISTINCT cust_id FROM scoped)")(_merged)
 
 
 def _written(write, *cols):

@@ -6,12 +6,16 @@ that trailing partitions that the new rows lack go too, and a repeated run chang
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillweave.operators.ranks import same
+from tillweave.sources.scratch import stored
+
 
 def table_create(spark: SparkSession, path: str, schema: T.StructType | DataFrame, partition_by: Sequence[str] = (), stamp: bool = True, overwrite: bool = False) -> DataFrame:
     """Create an empty table of the schema (or of a DataFrame's) and return it; one that is there stays, or goes with overwrite."""
@@ -40,6 +44,47 @@ def insert_only(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def key_bits(source: DataFrame, keys: Sequence[str], bits: int = 20) -> Column:
+    """A condition on rows of any table: false only where the row's keys are surely not among the source's.
+
+    2**bits flags, built by bit_or over 64-bit words; at most 2**(bits - 6) words reach the driver."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    word, flag = F.shiftright(place, 6).cast("int"), F.expr("shiftleft(1L, cast(__place % 64 as int))")
+    words = source.select(place.alias("__place"), word.alias("__word")).groupBy("__word").agg(F.bit_or(flag).alias("bits")).collect()
+    flags = [0] * (1 << (bits - 6))
+    for r in words:
+        flags[r["__word"]] = r["bits"]
+    held = F.get(F.from_json(F.lit(json.dumps(flags)), "array<bigint>"), word)
+    return F.call_function("shiftright", held, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def insert_new(source: DataFrame, path: str, keys: Sequence[str], slice_by: str, most: int = 10_000) -> int:
+    """Append the source rows whose keys their slice of the target table lacks; how many were inserted.
+
+    The target is a folder partitioned by slice_by, one of the keys. Only slices that the source has are read, and of
+    these only rows that the source's key bits let pass. Of source rows with equal keys one is inserted, the
+    smallest. What is inserted is settled first, so a failed write is repeated with the same rows, and a rerun inserts nothing."""
+    spark = source.sparkSession
+    if slice_by not in keys:
+        raise ValueError(f"{slice_by} must be one of the keys")
+    rest = [c for c in source.columns if c not in keys]
+    one = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row")).select(*keys, "__row.*") if rest else source.select(*keys).distinct()
+    one = stored(one)
+    slices = [r[0] for r in one.select(slice_by).distinct().limit(most + 1).collect()]
+    if len(slices) > most:
+        raise ValueError(f"the source has more than {most} slices")
+    target = spark.read.schema(one.schema).parquet(path).select(*keys)
+    wanted = F.lit(False)
+    if None in slices:
+        wanted = F.col(slice_by).isNull()
+    if len(slices) > (None in slices):
+        wanted = wanted | F.col(slice_by).isin(*(s for s in slices if s is not None))
+    held = target.filter(wanted).filter(key_bits(one, keys))
+    new = stored(one.alias("s").join(held.alias("t"), same("s", "t", keys), "left_anti"))
+    new.write.mode("append").partitionBy(slice_by).parquet(path)
+    return new.count()
+
+
 def repartition_write(df: DataFrame, path: str, n: int, partition_by: Sequence[str]) -> None:
     df.repartition(n, *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
