@@ -1,21 +1,18 @@
-"""Rating models and their evaluation: scaling, biases, factorisation, neighbours, ranking."""
+"""Rating models and their evaluation: scaling, biases, neighbours, ranking. Factorisation is in factors."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import uniform
-from tillweave.operators.cells import shuffled_index
 
 
 def lognorm_bounds(df: DataFrame, column: str, keys: Sequence[str] = (), low: float | None = None, high: float | None = None, tol: float = 0.1) -> DataFrame:
@@ -49,62 +46,6 @@ def _numbered(ratings: DataFrame, item: str) -> DataFrame:
     return ratings.join(F.broadcast(items), item)
 
 
-def factorise(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 8, iterations: int = 8, reg: float = 0.1, nonnegative: bool = False, seed: int = 7) -> DataFrame:
-    """user, item, prediction for every user and item by alternating least squares.
-
-    Without nonnegative the residuals of the bias model are factorised and its prediction added. Null ratings are
-    left out; without ratings there are no rows."""
-    ratings = ratings.filter(F.col(rating).isNotNull())
-    base = bias_baseline(ratings, user, item, rating)
-    known = ratings.select(user, item, F.col(rating).cast("double").alias("r"))
-    if nonnegative:
-        train = known.withColumn("target", F.col("r"))
-    else:
-        train = known.join(base, [user, item]).withColumn("target", F.col("r") - F.col("prediction")).drop("prediction")
-    if train.isEmpty():
-        return base.select(user, item, "prediction")
-    users = shuffled_index(ratings.select(user).distinct(), user).select(user, F.col("index").cast("int").alias("user_no"))  # ids of any size and type
-    train = _numbered(train, item).join(users, user)
-    als = ALS(rank=rank, maxIter=iterations, regParam=reg, nonnegative=nonnegative, userCol="user_no", itemCol="item_no", ratingCol="target", seed=seed)
-    model = als.fit(train)
-    items = train.select(item, "item_no").distinct()
-    every = base.join(F.broadcast(items), item).join(users, user).withColumnRenamed("prediction", "bias")
-    scored = model.transform(every)
-    extra = F.coalesce(F.when(F.isnan("prediction"), None).otherwise(F.col("prediction")).cast("double"), F.lit(0.0))
-    return scored.select(user, item, (extra if nonnegative else F.col("bias") + extra).alias("prediction"))
-
-
-def per_segment(ratings: DataFrame, segment: str, fit: Callable[[DataFrame], DataFrame], most: int = 1000) -> DataFrame:
-    """The predictions of fit for every segment's own ratings, with the segment; null is a segment.
-
-    Segments are a configured short list and fitted in turn, each as one Spark job; more than `most` are an error."""
-    found = [r[0] for r in ratings.select(segment).distinct().orderBy(segment).limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"{segment} has more than {most} segments")
-    out, kind = None, dict(ratings.dtypes)[segment]
-    for s in found or [None]:
-        part = fit(ratings.filter(F.col(segment).eqNullSafe(F.lit(s))).drop(segment)).withColumn(segment, F.lit(s).cast(kind))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def kfold(ratings: DataFrame, user: str, item: str, rating: str, fit: Callable[[DataFrame], DataFrame], k: int = 3, seed: int = 42, run: str = "") -> DataFrame:
-    """fold, rmse, mae, run: fit on the other folds of rows, scored on every held-out row.
-
-    A held-out row whose user or item is not in the other folds has the item's mean, the user's, or the mean of all."""
-    out, folded = None, ratings.withColumns({"fold": F.floor(uniform(seed, user, item) * k).cast("int"), "actual": F.col(rating).cast("double")})
-    for f in range(k):
-        train = folded.filter(F.col("fold") != f)
-        held = folded.filter(F.col("fold") == f).join(fit(train.drop("fold", "actual")), [user, item], "left")
-        for key in (item, user):
-            held = held.join(train.groupBy(key).agg(F.avg("actual").alias(f"mean_{key}")), key, "left")
-        held = held.crossJoin(F.broadcast(train.agg(F.avg("actual").alias("mean"))))
-        held = held.withColumn("prediction", F.coalesce("prediction", f"mean_{item}", f"mean_{user}", "mean"))
-        row = rmse_mae(held, "actual", "prediction").withColumns({"fold": F.lit(f), "run": F.lit(run)})
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind: str = "basic", hot: int = 2000) -> DataFrame:
     """user, item, prediction from the k most alike users who rated the item.
 
@@ -217,28 +158,6 @@ def split_by_customer(df: DataFrame, key: str, dev: float = 0.1, test: float = 0
     return df.withColumn("part", F.when(u < test, "test").when(u < test + dev, "dev").otherwise("train"))
 
 
-def grid_search(ratings: DataFrame, user: str, item: str, rating: str, grid: Sequence[dict], k: int = 3, seed: int = 42) -> DataFrame:
-    """params, rmse of factorise at each setting, averaged over k folds of rows; smallest first.
-
-    Every held-out row counts: one whose user or item is not in the other folds has the offset that is known, or the mean."""
-    spark, rows = ratings.sparkSession, []
-    names = {"maxIter": "iterations", "regParam": "reg"}
-    folded = ratings.withColumns({"fold": F.floor(uniform(seed, user, item) * k), "target": F.col(rating).cast("double")})
-    scorer = RegressionEvaluator(metricName="rmse", labelCol="target", predictionCol="prediction")
-    for params in grid:
-        errors = []
-        for f in range(k):
-            train = folded.filter(F.col("fold") != f)
-            model = factorise(train, user, item, rating, seed=seed, **{names.get(x, x): v for x, v in params.items()})
-            held = folded.filter(F.col("fold") == f).join(model, [user, item], "left")
-            for key in (user, item):
-                held = held.join(train.groupBy(key).agg(F.avg("target").alias(f"mean_{key}")), key, "left")
-            held = held.crossJoin(F.broadcast(train.agg(F.avg("target").alias("mean"))))
-            errors.append(scorer.evaluate(held.withColumn("prediction", F.coalesce("prediction", f"mean_{item}", f"mean_{user}", "mean"))))
-        rows.append((str(sorted(params.items())), float(sum(errors) / k)))
-    return spark.createDataFrame(rows, "params string, rmse double").orderBy("rmse")
-
-
 def rmse_mae(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Errors over rows with an actual; sums are exact (decimals of six places)."""
     known = df.filter(F.col(actual).isNotNull())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tillweave.functions.local import local_rows
@@ -10,6 +9,7 @@ from tillweave.functions.numeric import cents
 from tillweave.operators import allocate as al
 from tillweave.operators import cells as ce
 from tillweave.operators import checks as ck
+from tillweave.operators import factors as fa
 from tillweave.operators import filters as fl
 from tillweave.operators import joins as jn
 from tillweave.operators import metrics as mt
@@ -460,9 +460,9 @@ query("segment_profile", "SELECT cust_gender, count(*) AS n_rows, count(DISTINCT
 
 
 def _by_segment(v, **how):
-    """One factorisation per customer gender, the segment that all lines carry."""
+    """Ratings with customer gender, the segment that all lines carry; one factorisation for all segments."""
     rows = v.scoped.select("cust_id", "cust_gender").distinct().join(ratings(v), "cust_id")
-    return mo.per_segment(stored(rows), "cust_gender", lambda r: mo.factorise(r, "cust_id", "l2_id", "rating", **how))
+    return fa.factorise(rows, "cust_id", "l2_id", "rating", segment="cust_gender", **how)
 
 
 query("mf_recommender")(_by_segment)
@@ -486,15 +486,9 @@ _SPREAD = "CASE WHEN s > 0 THEN s ELSE 1.0::DOUBLE END"
 query("knn_basic", _knn_sql("0.0::DOUBLE", "1.0::DOUBLE"))(_knn("basic"))
 query("knn_recommender", _knn_sql("m", "1.0::DOUBLE"))(_knn("means"))
 query("knn_zscore", _knn_sql("m", _SPREAD))(_knn("zscore"))
-query("batch_predict")(lambda v: mo.headroom(jn.prediction_left(mo.factorise(stored(ratings(v)), "cust_id", "l2_id", "rating"), ratings(v).withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")))
-query("grid_search")(lambda v: mo.grid_search(stored(ratings(v)), "cust_id", "l2_id", "rating", [*({"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)), {"rank": 8, "maxIter": 8, "regParam": 0.1}]))
-
-
-def _kfold(v):
-    return mo.kfold(stored(ratings(v)), "cust_id", "l2_id", "rating", lambda r: mo.factorise(r, "cust_id", "l2_id", "rating"), run="mf")
-
-
-query("kfold_eval")(_kfold)
+query("batch_predict")(lambda v: mo.headroom(jn.prediction_left(_by_segment(v), ratings(v).withColumn("actual", F.col("rating").cast("double")), ["cust_id", "l2_id"], "actual")))
+query("grid_search")(lambda v: fa.grid_search(ratings(v), "cust_id", "l2_id", "rating", [*({"rank": 4, "maxIter": 3, "regParam": x} for x in (0.1, 0.5)), {"rank": 50, "maxIter": 30, "regParam": 0.1}]))
+query("kfold_eval")(lambda v: fa.kfold(ratings(v), "cust_id", "l2_id", "rating", run="mf"))
 
 # ---- segmentation
 SEG = ("FD_spend", "GM_spend", "FD_items", "GM_items", "FD_baskets", "GM_baskets")
@@ -510,15 +504,14 @@ query(
     "seg_standardise",
     "SELECT cust_id, "
     + ", ".join(f"floor(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0 END * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS {c}" for c in SEG)
-    + " FROM seg_t, (SELECT "
-    + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in SEG)
-    + " FROM seg_t)",
-)(
-    lambda v: sg.standardise(_seg_data(v), SEG).withColumn("scaled", vector_to_array("scaled")).select(
-        "cust_id", *(((F.floor(F.col("scaled")[i] * 1000000.0 + 0.5)) / 1000000.0).alias(c) for i, c in enumerate(SEG))
-    )
-)
-query("seg_pca")(lambda v: sg.reduced(sg.standardise(_seg_data(v), SEG), 2).select("cust_id", "pca_0", "pca_1"))
+    + " FROM seg_t JOIN (SELECT gender, "
+    + ", ".join(f"coalesce(stddev_samp({c}), 0) AS s_{c}" for c in SEG)
+    + " FROM seg_t GROUP BY gender) AS m ON seg_t.gender IS NOT DISTINCT FROM m.gender",
+)(lambda v: sg.standardise(_seg_data(v), SEG, "gender").select("cust_id", *(((F.floor(F.col("scaled")[i] * 1000000.0 + 0.5)) / 1000000.0).alias(c) for i, c in enumerate(SEG))))
+query("seg_moments", "SELECT gender, count(*) AS n, " + ", ".join(f"{_six(f'coalesce(covar_samp({SEG[i]}, {SEG[j]}), 0)')} AS cov_{i}_{j}" for i in range(len(SEG)) for j in range(i, len(SEG))) + " FROM seg_t GROUP BY gender")(
+    lambda v: (lambda m: m.select("gender", "n", *(_to6(F.col(c)).alias(c) for c in m.columns[2:])))(sg.moments(_seg_data(v), SEG, "gender"))
+)
+query("seg_pca")(lambda v: sg.reduced(_seg_data(v), SEG, 2, "gender").select("cust_id", "gender", "pca_0", "pca_1"))
 query("seg_kmeans_search")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 5, lower=20))
 query("seg_union")(lambda v: sg.search(_seg_data(v), "gender", SEG, 3, 6, pca_k=None, lower=20).join(mt.cust_activity_counts(v.scoped), "cust_id"))
 query("cluster_size_check", "SELECT l2_id, n_rows, n_rows::DOUBLE / (sum(n_rows) OVER ())::DOUBLE AS fraction, n_rows::DOUBLE / (sum(n_rows) OVER ())::DOUBLE < 0.2::DOUBLE AS fails FROM (SELECT l2_id, count(*) AS n_rows FROM scoped GROUP BY l2_id)")(lambda v: sg.cluster_sizes(v.scoped, "l2_id", 0.2))
