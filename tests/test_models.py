@@ -102,6 +102,7 @@ def test_nonnegative_solution_is_the_best(spark):
     for _ in range(20):
         a, b = rng.normal(size=(8, 4)), rng.normal(size=8)
         x = fa.solved((a.T @ a)[None], (a.T @ b)[None], np.array([1]), 0.01, True)[0]
+        assert np.allclose(fa.shared_nonnegative(a.T @ a + 0.01 * np.eye(4), np.stack([a.T @ b, a.T @ b])), x)
         grad = (a.T @ a + 0.01 * np.eye(4)) @ x - a.T @ b
         assert (x >= 0).all() and (grad > -1e-6).all() and (np.abs(grad[x > 1e-9]) < 1e-6).all()
 

@@ -133,6 +133,18 @@ def solved(g: np.ndarray, v: np.ndarray, n: np.ndarray, reg: float, nonnegative:
     return x
 
 
+def shared_nonnegative(g: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The non-negative solution for each row of v of one system, by coordinates."""
+    x = np.zeros_like(v)
+    for _ in range(SWEEPS):
+        before = x.copy()
+        for j in range(len(g)):
+            x[:, j] = np.maximum(0, x[:, j] - (x @ g[j] - v[:, j]) / g[j, j])
+        if np.abs(x - before).max(initial=0) < 1e-10:
+            break
+    return x
+
+
 def user_vectors(part: Part, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch's users: vectors, training means (the segment's where there is no rating), the training rows and their targets."""
     use = np.flatnonzero(part.fold != m.fold) if m.fold is not None else np.arange(len(part.r))
@@ -141,8 +153,22 @@ def user_vectors(part: Part, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarr
     mean = np.where(n > 0, np.bincount(owner, part.r[use], part.users) / np.maximum(n, 1), m.mu[part.of] if part.users else 0)
     t = part.r[use] if m.setting["nonnegative"] else part.r[use] - (mean[owner] + m.mean[seg, item] - m.mu[seg])
     p, q = np.zeros((part.users, m.setting["rank"])), m.q[seg, item]
-    for a, b, g, v in grams(q, t, owner, part.users):
-        p[a:b] = solved(g, v, n[a:b], m.setting["reg"], m.setting["nonnegative"])
+    reg, nonnegative, cut = m.setting["reg"], m.setting["nonnegative"], np.searchsorted(owner, np.arange(part.users + 1))
+    alike: dict = {}  # users of a segment who rated the same items share one matrix
+    for u in range(part.users):
+        alike.setdefault((int(part.of[u]), item[cut[u] : cut[u + 1]].tobytes()), []).append(u)
+    if 4 * len(alike) > part.users:
+        for a, b, g, v in grams(q, t, owner, part.users):
+            p[a:b] = solved(g, v, n[a:b], reg, nonnegative)
+    else:
+        for users in alike.values():
+            one, k = users[0], n[users[0]]
+            if k:
+                x = q[cut[one] : cut[one + 1]]
+                v = t[cut[users][:, None] + np.arange(k)] @ x
+                g = x.T @ x
+                g = g + reg * k * np.eye(len(g))
+                p[users] = shared_nonnegative(g, v) if nonnegative else np.linalg.solve(g, v.T).T
     p[n == 0] = 0
     return p, mean, use, t
 

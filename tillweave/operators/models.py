@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import uniform
+from tillweave.operators import cones
+from tillweave.sources.scratch import stored
 
 
 def lognorm_bounds(df: DataFrame, column: str, keys: Sequence[str] = (), low: float | None = None, high: float | None = None, tol: float = 0.1) -> DataFrame:
@@ -46,13 +48,13 @@ def _numbered(ratings: DataFrame, item: str) -> DataFrame:
     return ratings.join(F.broadcast(items), item)
 
 
-def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind: str = "basic", hot: int = 2000) -> DataFrame:
+def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind: str = "basic", hot: int = 512) -> DataFrame:
     """user, item, prediction from the k most alike users who rated the item.
 
     kind: 'basic', 'means' or 'zscore'. Alike is the cosine over all items that both rated, to twelve places;
-    of equals the smaller users come first. Every user meets every other: blocks of about `hot` users each read all
-    rating vectors (one a user; one rating for each user and item) once, in user order, and hold the best k so far.
-    The work grows with the square of the users; a block holds hot x items x k neighbours.
+    of equals the smaller users come first. Users lie in cells of about `hot`; each cell reads the rating vectors (one a
+    user; one rating for each user and item) of all users that can be among the nearest of its own (cones.meetings),
+    once, in user order, and holds the best k so far: hot x items x k neighbours.
     Null ratings are left out; where all weights are 0 the prediction is null."""
     known = ratings.select(user, item, F.col(rating).cast("double").alias("r")).dropna()
     stats = known.groupBy(user).agg(F.avg("r").alias("m"), F.coalesce(F.stddev_pop("r"), F.lit(0.0)).alias("s"))
@@ -61,12 +63,9 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
     x = _numbered(known, item).join(stats, user).withColumn("z", (F.col("r") - shift) / scale)
     names = x.select(item, "item_no").distinct()
     n_items = names.count()
-    vectors = x.groupBy(user).agg(F.collect_list("item_no").alias("items"), F.collect_list(F.struct("r", "z")).alias("values"))
-    blocks = max(1, -(-stats.count() // hot))
-    mine = F.pmod(F.xxhash64(user), F.lit(blocks))
-    asks = vectors.withColumns({"block": mine, "lead": F.lit(1)})
-    meets = vectors.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "lead": F.lit(0)})
-    rows = asks.unionByName(meets).repartition(blocks, "block").sortWithinPartitions("block", F.desc("lead"), user)
+    listed = x.groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item_no", "r", "z"))).alias("rows"))
+    vectors = stored(listed.select(user, F.transform("rows", lambda v: v["item_no"]).alias("items"), F.transform("rows", lambda v: F.struct(v["r"].alias("r"), v["z"].alias("z"))).alias("values")))
+    rows = cones.meetings(vectors, user, k, hot, n_items).repartition("block").sortWithinPartitions("block", F.desc("lead"), user)
 
     def best(batches):
         def dense(part):

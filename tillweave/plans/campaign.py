@@ -470,7 +470,7 @@ query("nmf_recommender")(lambda v: _by_segment(v, nonnegative=True))
 
 
 def _knn(kind):
-    return lambda v: mo.knn(stored(ratings(v)), "cust_id", "l2_id", "rating", kind=kind).withColumn("prediction", _to6(F.col("prediction")))
+    return lambda v: mo.knn(ratings(v), "cust_id", "l2_id", "rating", kind=kind).withColumn("prediction", _to6(F.col("prediction")))
 
 
 def _knn_sql(shift, scale):
