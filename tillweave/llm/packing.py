@@ -31,7 +31,7 @@ ROOM, END_ID, SEED = 2048, 1, 29
 #: Text bytes that a group has on average, a row counting ROW_BYTES of its own; sets the number of groups from the corpus' size.
 GROUP_BYTES, ROW_BYTES = 2 << 20, 64
 #: Distinct cuts, and ids of these, that a worker remembers before it starts afresh.
-KNOWN, POOL = 500_000, 4_000_000
+KNOWN, POOL = 1_200_000, 10_000_000
 
 
 def unit_starts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -51,12 +51,12 @@ class Cuts:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.bounds, self.pool, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 18, self.kind), 0
 
     def _grown(self, x: np.ndarray, n: int) -> np.ndarray:
         return x if n <= len(x) else np.concatenate((x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)))
@@ -68,11 +68,11 @@ class Cuts:
             got = [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
             n, k = known + i, len(got)
             sizes = np.fromiter(map(len, got), np.int64, k)
-            flat = np.fromiter((t for ids in got for t in ids), np.uint32, int(sizes.sum()))
-            self.start, self.size = self._grown(self.start, n + k), self._grown(self.size, n + k)
+            flat = np.fromiter((t for ids in got for t in ids), self.kind, int(sizes.sum()))
+            self.bounds = self._grown(self.bounds, n + k + 1)
             self.pool = self._grown(self.pool, self.used + len(flat))
             self.pool[self.used : self.used + len(flat)] = flat
-            self.size[n : n + k], self.start[n : n + k] = sizes, self.used + np.cumsum(sizes) - sizes
+            self.bounds[n + 1 : n + k + 1] = self.used + np.cumsum(sizes)  # a cut's ids end where the next one's begin
             self.used += len(flat)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,9 +91,10 @@ class Cuts:
             self.keys = np.insert(self.keys, at[new], keys[new])
             self.place = np.insert(self.place, at[new], np.arange(known, known + len(new), dtype=np.int32))
         unit = self.place[np.searchsorted(self.keys, keys)][back]
-        size = self.size[unit]
+        start = self.bounds[unit].astype(np.int64)
+        size = self.bounds[unit + 1] - start
         total = np.concatenate(([0], np.cumsum(size)))
-        ids = self.pool[np.repeat(self.start[unit] - total[:-1], size) + np.arange(total[-1])]
+        ids = self.pool[np.repeat(start - total[:-1], size) + np.arange(total[-1])]
         return ids, total[np.searchsorted(s, offs)]
 
 
