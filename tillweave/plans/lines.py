@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillweave.functions import numeric
+from tillweave.operators import daily as dy
 from tillweave.operators import filters as fl
 from tillweave.operators import joins as jn
 from tillweave.operators import metrics as mt
 from tillweave.operators import rolling as rl
+from tillweave.operators import sketches as sk
 from tillweave.plans.registry import SHARED, query
 from tillweave.sources.retail import ETL_DATE, HISTORY, LOOKBACK, WINDOW_DAYS
+from tillweave.sources.scratch import shared_folder
 
 L2 = ("ECONOMY", "SMALL", "STANDARD", "MEDIUM")
 L2_SQL = "('ECONOMY', 'SMALL', 'STANDARD', 'MEDIUM')"
@@ -241,3 +244,51 @@ query("etl_data", "SELECT c.cust_id, c.l2_id, number_of_transactions, total_spen
     .join(v.scoped.join(near_window(v).select("cust_id", "win"), ["cust_id", "win"]).groupBy("cust_id", "l2_id").agg(F.sum("sales_amt").cast("double").alias("total_time_window_spend")), ["cust_id", "l2_id"])
     .join(mt.cust_activity_counts(v.scoped), "cust_id")
 )
+
+# totals kept from day to day, and sketches kept by week
+STEPS = 10
+
+
+def _kept(v, by):
+    """A store as of ten days before the campaign, moved on by so many days a step; the lines are read once."""
+    columns = ("cust_id", "l2_id", "basket_id", "sales_amt", "item_qty", "date")
+    first = fl.shifted(ETL_DATE, -LOOKBACK - STEPS)
+    lines = v.hold("kept_lines", lambda v: v.counted_days(first, ETL_DATE).select(*columns))
+    store = dy.Store(v.spark, shared_folder(v.spark), {"cust_id": "bigint", "l2_id": "string"}, LOOKBACK, WINDOW_DAYS)
+    days = [fl.shifted(ETL_DATE, i - STEPS) for i in range(0, STEPS + 1, by)]
+    dy.build(store, lines, days[0])
+    for before, day in zip(days, days[1:], strict=False):
+        dy.step(store, lines, before, day)
+    return store
+
+
+_SUMS = "sum(sales_amt)::DOUBLE AS spend, sum(item_qty)::BIGINT AS units, count(*) AS n_lines, count(DISTINCT basket_id) AS baskets"
+query("kept_weekly_totals", f"SELECT cust_id, l2_id, (date_diff('day', DATE '1995-01-02', d) // 7 + 1)::INTEGER AS week, {_SUMS} FROM recent GROUP BY ALL")(
+    lambda v: _kept(v, 1).weeks().withColumn("spend", F.col("spend").cast("double"))
+)
+query("kept_window_totals", f"SELECT cust_id, l2_id, win, {_SUMS} FROM recent GROUP BY ALL")(lambda v: _kept(v, 5).windows(ETL_DATE).withColumn("spend", F.col("spend").cast("double")))
+
+SPANS = (4, 13, 52)
+SHARED["cents"] = "SELECT l2_id, (date_diff('day', DATE '1995-01-02', d) // 7 + 1)::INTEGER AS week, (sales_amt * 100)::BIGINT AS c FROM recent"
+SHARED["week_cents"] = "SELECT l2_id, week, (total * 100)::BIGINT AS c FROM weekly"
+
+
+def _sketch_sql(cents: str) -> str:
+    return f"""SELECT l2_id, span, percent, n_rows, lo / 100.0::DOUBLE AS lower, hi / 100.0::DOUBLE AS upper, n::DOUBLE / n_rows::DOUBLE AS rank_error
+        FROM (SELECT *, (sum(n) OVER (PARTITION BY l2_id, span ORDER BY lo))::BIGINT AS upto, (sum(n) OVER (PARTITION BY l2_id, span))::BIGINT AS n_rows
+          FROM (SELECT l2_id, span, c >> spare << spare AS lo, ((c >> spare) + 1 << spare) - 1 AS hi, count(*) AS n
+            FROM (SELECT *, greatest(length(bin(c)) - 7, 0) AS spare FROM {cents}), (VALUES (4), (13), (52)) AS s(span)
+            WHERE week > date_diff('day', DATE '1995-01-02', DATE '2001-08-01') // 7 + 1 - span GROUP BY ALL)),
+        (VALUES (50), (75), (85), (95), (100)) AS p(percent) WHERE upto >= (percent * n_rows + 99) // 100 AND upto - n < (percent * n_rows + 99) // 100"""
+
+
+def _sketched(v, rows, value):
+    """Percentiles of the last weeks from sketches written once by week: every span without the lines."""
+    path, last = shared_folder(v.spark), dy.Store(v.spark, "", {}).week_of(ETL_DATE)
+    sk.put_weeks(rows, path, ["l2_id"], value)
+    spans = [sk.over_weeks(v.spark, path, ["l2_id"], last - n + 1, last).withColumn("span", F.lit(n)) for n in SPANS]
+    return sk.quantiles(spans[0].unionByName(spans[1]).unionByName(spans[2]), ["l2_id", "span"], (50, 75, 85, 95, 100))
+
+
+query("sketched_percentile_profile", _sketch_sql("cents"))(lambda v: _sketched(v, v.recent.select("l2_id", "sales_amt", fl.week_number("date", 19950102).alias("week")), "sales_amt"))
+query("sketched_weekly_percentiles", _sketch_sql("week_cents"))(lambda v: _sketched(v, weekly(v, "l2_id", "cust_id"), "total"))

@@ -128,10 +128,14 @@ class Views:
             "if(c_custkey % 11 = 0, 'Other', 'Member') as type", "if(c_custkey % 6 = 0, 'Opt-out', 'Opt-in Active') as marketing_status",
         )
 
+    def counted_days(self, first: int, last: int) -> DataFrame:
+        """Counted food lines of the days first to last."""
+        lines = self.lines(first, last)
+        lines = lines.filter(fl.common_filters() & F.col("date").between(first, last) & fl.channel_filter("FD") & (F.col("l1_id") == "FD") & fl.outside_season())
+        return lines.filter(F.col("sales_amt") > 0.5)
+
     def _counted(self, days: int) -> DataFrame:
-        lines = self.lines(fl.shifted(ETL_DATE, -days), ETL_DATE)
-        lines = lines.filter(fl.common_filters() & fl.lookback_filter(ETL_DATE, days) & fl.channel_filter("FD") & (F.col("l1_id") == "FD") & fl.outside_season())
-        return lines.filter(F.col("sales_amt") > 0.5).withColumn("win", fl.time_window_index("date", ETL_DATE, WINDOW_DAYS))
+        return self.counted_days(fl.shifted(ETL_DATE, -days), ETL_DATE).withColumn("win", fl.time_window_index("date", ETL_DATE, WINDOW_DAYS))
 
     @cached_property
     def scoped(self) -> DataFrame:
