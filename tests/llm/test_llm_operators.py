@@ -577,8 +577,50 @@ def test_fingerprints_of_repeated_rows(spark):
 
 def test_differing_paragraphs(spark):
     d = spark.createDataFrame([("\n".join(map(str, range(30))), "\n".join("x" if i == 17 else str(i) for i in range(31)))], "a string, b string")
-    nodes = lambda c: fingerprints.paragraphs(F.col(c))
-    assert d.select(fingerprints.differing_paragraphs(nodes("a"), nodes("b")).alias("at")).first().at == [17, 30]
+    at = fingerprints.differing_paragraphs(fingerprints.tree(F.col("a")), fingerprints.tree(F.col("b")))
+    assert d.select(at.alias("at")).first().at == [17, 30]
+
+
+def brute_likeness(a, b):
+    """Equal sections in place, then equal paragraphs anywhere, then equal pieces; and the first paragraph that differs."""
+    if a == b:
+        return 1.0, None
+    cut = lambda p: re.findall(fingerprints.CUT, p)
+    lines, whole, left = (a.split("\n"), b.split("\n")), 0, ([], [])
+    n = fingerprints.SECTION
+    for i in range(0, max(map(len, lines)), n):
+        x, y = lines[0][i : i + n], lines[1][i : i + n]
+        if x == y:
+            whole += sum(1 + len(cut(p)) for p in x)
+        else:
+            left[0].extend(x), left[1].extend(y)
+    mine, theirs = set(left[0]), set(left[1])
+    whole += sum(1 + len(cut(p)) for p in mine & theirs)
+    pa, pb = ({q for p in one - other for q in cut(p)} for one, other in ((mine, theirs), (theirs, mine)))
+    whole += len(pa & pb)
+    apart = len(mine ^ theirs) + len(pa ^ pb)
+    first = next(i for i in range(max(map(len, lines))) if lines[0][i : i + 1] != lines[1][i : i + 1])
+    return 2.0 * whole / (2 * whole + apart + 2), first
+
+
+def test_descent_equals_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda: rng.choice(["stone", "ria", "milano", "lake", "of", "ü", "the"])
+    line = lambda: " ".join(word() for _ in range(rng.choice([0, 1, 3, 40, 90])))
+    pairs = [("", ""), ("", "x"), ("a\nb", "a\n\nb"), ("x\n" * 9, "x\n" * 17)]
+    for _ in range(120):
+        a = [line() for _ in range(rng.randrange(1, 40))]
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.randrange(3)] = [line() for _ in range(rng.randrange(3))]
+        if rng.random() < 0.3:
+            b = [p.replace("lake", "sea", 1) for p in b]
+        pairs.append(("\n".join(a), "\n".join(b)))
+    x, y = fingerprints.tree(F.col("a")), fingerprints.tree(F.col("b"))
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", fingerprints.likeness(x, y).alias("z"), F.get(fingerprints.differing_paragraphs(x, y), F.lit(0)).alias("first"))
+    for r in rows.collect():
+        assert (r.z, r["first"]) == brute_likeness(r.a, r.b)
 
 
 # ---- 10

@@ -3,9 +3,11 @@
 Paragraphs are lines; a paragraph is cut by content into pieces (CUT: after a vowel and a space, 16 to
 96 code points in), so an insertion changes only the pieces near it; a section is SECTION paragraphs.
 A paragraph's node is the MD5 of its text, a section's the MD5 of its paragraphs' nodes, the root the
-SHA-256 of the sections' nodes, so equal roots mean equal texts. Where roots differ, differing sections
-and then paragraphs locate the edit. Likeness compares trees: 1 for equal roots, else the Dice
-coefficient of the sets of nodes: root, paragraphs and pieces. No Python runs in tasks.
+SHA-256 of the sections' nodes, so equal roots mean equal texts. Where roots differ, two trees are compared by descent: a
+section that is equal in its place counts whole and is not looked into; of the others, paragraphs that both have count
+whole, wherever they stand; only of those that are left are the pieces compared. Likeness is the Dice coefficient of what
+counts as common (a paragraph weighs one and its pieces), 1 for equal roots. The same descent locates edits: positions of
+paragraphs that differ. No Python runs in tasks.
 
 Defined results: null text is empty; texts that differ, if only in newlines, have a likeness below 1; documents
 are ordered by doc_id, null last, rows that repeat a doc_id by the hash of their text; the document after the last is the
@@ -27,16 +29,6 @@ CUT = r"[^\n]{16,94}?[aeiou] |[^\n]{1,96}"
 MAX_RANGES, MAX_STEPS, RANGE_ROWS = 1024, 1024, 1000
 
 
-def short(nodes: Column) -> Column:
-    """Sorted distinct nodes, 8 hex digits each."""
-    return F.array_sort(F.array_distinct(F.transform(nodes, lambda n: F.substring(n, 1, 8))))
-
-
-def pieces(text: Column) -> Column:
-    cut = F.regexp_extract_all(text, F.lit(CUT), F.lit(0))
-    return F.transform(cut, lambda p: F.md5(p.cast("binary")))
-
-
 def paragraphs(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), lambda p: F.md5(p.cast("binary")))
 
@@ -50,31 +42,67 @@ def root(section_nodes: Column) -> Column:
     return F.sha2(F.array_join(section_nodes, "").cast("binary"), 256)
 
 
+def branches(text: Column) -> Column:
+    """Per paragraph 8 hex digits of its node, then 8 of each of its pieces: equal as the paragraphs are."""
+    digits = lambda t: F.substring(F.md5(t.cast("binary")), 1, 8)
+    cut = lambda p: F.transform(F.regexp_extract_all(p, F.lit(CUT), F.lit(0)), digits)
+    return F.transform(F.split(text, "\n", -1), lambda p: F.concat(digits(p), F.array_join(cut(p), "")))
+
+
 def tree(text: Column) -> Column:
-    """The root, and the short nodes of paragraphs and of pieces."""
-    nodes = paragraphs(text)
-    return F.struct(root(sections(nodes)).alias("root"), short(nodes).alias("paragraphs"), short(pieces(text)).alias("pieces"))
+    """The root, 16 hex digits of each section's node, and the paragraphs' branches."""
+    nodes = sections(paragraphs(text))
+    return F.struct(root(nodes).alias("root"), F.transform(nodes, lambda n: F.substring(n, 1, 16)).alias("sections"), branches(text).alias("branches"))
 
 
 def fingerprint(t: Column) -> Column:
-    """The root and the short nodes of paragraphs and pieces, as one string with colons between."""
-    return F.concat_ws(":", t["root"], F.array_join(t["paragraphs"], ""), F.array_join(t["pieces"], ""))
+    """The tree as one string: root, sections and branches with colons between, branches with commas."""
+    return F.concat_ws(":", t["root"], F.array_join(t["sections"], ""), F.array_join(t["branches"], ","))
+
+
+def differing_sections(a: Column, b: Column) -> Column:
+    """Positions of sections that are not alike in both trees."""
+    most = F.greatest(F.size(a["sections"]), F.size(b["sections"]))
+    return F.filter(F.sequence(F.lit(0), most - 1), lambda i: ~F.get(a["sections"], i).eqNullSafe(F.get(b["sections"], i)))
+
+
+def below(t: Column, at: Column) -> Column:
+    """The branches of the sections at these positions."""
+    return F.flatten(F.transform(at, lambda i: F.slice(t["branches"], i * SECTION + 1, SECTION)))
+
+
+def weight(of: Column) -> Column:
+    """Paragraphs and pieces of branches."""
+    return F.aggregate(of, F.lit(0), lambda n, s: n + F.shiftright(F.length(s), 3))
+
+
+def leaves(of: Column) -> Column:
+    """Distinct pieces of branches."""
+    return F.array_distinct(F.flatten(F.transform(of, lambda s: F.regexp_extract_all(F.substr(s, F.lit(9)), F.lit(".{8}"), F.lit(0)))))
+
+
+def descent(a: Column, b: Column) -> Column:
+    """What a comparison from the roots down finds: weight in common, and in one tree only (both trees' summed)."""
+    at = differing_sections(a, b)
+    mine, theirs = below(a, at), below(b, at)
+    alike, only_a, only_b = F.array_intersect(mine, theirs), F.array_except(mine, theirs), F.array_except(theirs, mine)
+    pa, pb = leaves(only_a), leaves(only_b)
+    shared = F.size(F.array_intersect(pa, pb))
+    common = weight(a["branches"]) - weight(mine) + weight(alike) + shared
+    apart = F.size(only_a) + F.size(only_b) + F.size(pa) + F.size(pb) - 2 * shared
+    return F.struct(common.alias("common"), apart.alias("apart"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of the nodes of two trees, the root being one: 1 exactly for equal roots."""
-    both = F.size(F.array_intersect(a["paragraphs"], b["paragraphs"])) + F.size(F.array_intersect(a["pieces"], b["pieces"]))
-    total = F.size(a["paragraphs"]) + F.size(a["pieces"]) + F.size(b["paragraphs"]) + F.size(b["pieces"]) + 2
-    return F.when(a["root"] == b["root"], 1.0).otherwise(2.0 * both / total)
+    """Dice coefficient of what the descent finds, the roots that differ counted: 1 exactly for equal roots."""
+    d = descent(a, b)
+    return F.when(a["root"] == b["root"], 1.0).otherwise(2.0 * d["common"] / (2 * d["common"] + d["apart"] + 2))
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
-    """Positions of paragraphs whose nodes differ, looked for only in sections that differ."""
-    sa, sb = sections(a), sections(b)
-    most = F.greatest(F.size(sa), F.size(sb))
-    open_ = F.filter(F.sequence(F.lit(0), most - 1), lambda i: ~F.get(sa, i).eqNullSafe(F.get(sb, i)))
-    inner = F.flatten(F.transform(open_, lambda i: F.sequence(i * SECTION, i * SECTION + SECTION - 1)))
-    return F.filter(inner, lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
+    """Positions of paragraphs that differ, looked for only in sections that differ."""
+    inner = F.flatten(F.transform(differing_sections(a, b), lambda i: F.sequence(i * SECTION, i * SECTION + SECTION - 1)))
+    return F.filter(inner, lambda i: ~F.get(a["branches"], i).eqNullSafe(F.get(b["branches"], i)))
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -109,14 +137,15 @@ def successors(docs: DataFrame) -> DataFrame:
     )
     sent = keyed.join(F.broadcast(told), F.col("doc_id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")) & (F.col("slot") == F.col("from")))
     sent = sent.dropDuplicates(["slot"]).select("doc_id", "text", F.col("to").alias("slot"), "th", F.lit(1).alias("guest"))
-    both = keyed.withColumn("guest", F.lit(0)).unionByName(sent).withColumn("tree", tree(F.col("text")))
+    # Dealt before the trees are built, so that only texts are exchanged.
+    both = keyed.withColumn("guest", F.lit(0)).unionByName(sent).repartition("slot").withColumn("tree", tree(F.col("text")))
     w = W.partitionBy("slot").orderBy("guest", *order)
     led = both.withColumns({"next_text": F.lead("text").over(w), "next_tree": F.lead("tree").over(w)})
     return led.filter("guest = 0").select("doc_id", "text", "tree", "next_text", "next_tree")
 
 
 def compare(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document and of its edited text, with likenesses to it and to the next."""
+    """Fingerprints of every document and of its edited text, likenesses to it and to the next; first_edited: the first paragraph that differs."""
     n = F.char_length("text")
     swap = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - swap), F.substring(F.col("next_text"), F.lit(1), swap))
@@ -130,4 +159,5 @@ def compare(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("edited_tree")).alias("edited_fingerprint"),
         likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
         likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
+        F.get(differing_paragraphs(F.col("tree"), F.col("edited_tree")), F.lit(0)).alias("first_edited"),
     )

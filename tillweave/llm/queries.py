@@ -108,6 +108,44 @@ QUERIES = {
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+# op9's twin: trees of three texts as lists, compared by the same descent.
+_TEXTS = ("text", "edited", "next_text")
+
+
+def _branches(c: str) -> str:
+    pieces = r"list_transform(regexp_extract_all(p, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda q: substr(md5(q), 1, 8))"
+    return f"list_transform(string_split({c}, chr(10)), lambda p: substr(md5(p), 1, 8) || coalesce(array_to_string({pieces}, ''), ''))"
+
+
+def _sections(c: str) -> str:
+    nodes = f"list_transform(string_split({c}, chr(10)), lambda p: md5(p))"
+    return f"list_transform(range(0, len(string_split({c}, chr(10))), 8), lambda i: md5(array_to_string(({nodes})[i + 1 : i + 8], '')))"
+
+
+def _open(c: str) -> str:
+    return f"list_filter(range(0, greatest(len(s_text), len(s_{c}))), lambda i: s_text[i + 1][1:16] IS DISTINCT FROM s_{c}[i + 1][1:16])"
+
+
+def _below(t: str, c: str) -> str:
+    return f"flatten(list_transform(o_{c}, lambda i: b_{t}[i * 8 + 1 : i * 8 + 8]))"
+
+
+def _except(a: str, b: str) -> str:
+    return f"list_filter(list_distinct({a}), lambda s: NOT list_contains({b}, s))"
+
+
+def _leaves(x: str) -> str:
+    return f"list_distinct(flatten(list_transform({x}, lambda s: regexp_extract_all(substr(s, 9), '.{{8}}'))))"
+
+
+def _weight(x: str) -> str:
+    return f"coalesce(list_sum(list_transform({x}, lambda s: length(s) // 8)), 0)"
+
+
+def _fingerprint(c: str) -> str:
+    return f"sha256(array_to_string(s_{c}, '')) || ':' || array_to_string(list_transform(s_{c}, lambda n: n[1:16]), '') || ':' || array_to_string(b_{c}, ',')"
+
+
 ORACLE_SQL = {
     "op1_line_dedup": f"""
 WITH lines AS (
@@ -156,23 +194,20 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(24 + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C')) + length(replace(replace(text, '\', '\0'), '<|', '<\1|'))) AS BIGINT) AS formatted_chars
 FROM given GROUP BY conv_id""",
-    "op9_fingerprints": r"""
+    "op9_fingerprints": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM d),
 e AS (SELECT *, substr(text, 1, length(text) - length(text) // 4) || substr(next_text, 1, length(text) // 4) AS edited FROM n),
-l AS (SELECT *,
-  list_sort(list_distinct(list_transform(regexp_extract_all(text, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS a,
-  list_sort(list_distinct(list_transform(regexp_extract_all(edited, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS b,
-  list_sort(list_distinct(list_transform(regexp_extract_all(next_text, '[^\n]{16,94}?[aeiou] |[^\n]{1,96}'), lambda p: substr(md5(p), 1, 8)))) AS c,
-  list_transform(string_split(text, chr(10)), lambda p: md5(p)) AS pa, list_transform(string_split(edited, chr(10)), lambda p: md5(p)) AS pb, list_transform(string_split(next_text, chr(10)), lambda p: md5(p)) AS pc FROM e),
-s AS (SELECT *, list_sort(list_distinct(list_transform(pa, lambda p: p[1:8]))) AS sa, list_sort(list_distinct(list_transform(pb, lambda p: p[1:8]))) AS sb,
-  list_sort(list_distinct(list_transform(pc, lambda p: p[1:8]))) AS sc FROM l)
-SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
-  sha256(array_to_string(list_transform(range(0, len(pa), 8), lambda i: md5(array_to_string(pa[i + 1 : i + 8], ''))), '')) || ':' || array_to_string(sa, '') || ':' || coalesce(array_to_string(a, ''), '') AS fingerprint,
-  sha256(array_to_string(list_transform(range(0, len(pb), 8), lambda i: md5(array_to_string(pb[i + 1 : i + 8], ''))), '')) || ':' || array_to_string(sb, '') || ':' || coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
-  CASE WHEN text = edited THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, b)) + len(list_intersect(sa, sb))) / (len(a) + len(b) + len(sa) + len(sb) + 2) END::DOUBLE AS near_edited,
-  CASE WHEN text = next_text THEN 1.0 ELSE 2.0::DOUBLE * (len(list_intersect(a, c)) + len(list_intersect(sa, sc))) / (len(a) + len(c) + len(sa) + len(sc) + 2) END::DOUBLE AS near_next
-FROM s""",
+b AS (SELECT *, {", ".join(_branches(c) + f" AS b_{c}" for c in _TEXTS)}, {", ".join(_sections(c) + f" AS s_{c}" for c in _TEXTS)} FROM e),
+o AS (SELECT *, {", ".join(_open(c) + f" AS o_{c}" for c in _TEXTS[1:])} FROM b),
+u AS (SELECT *, {", ".join(f"{_below('text', c)} AS m_{c}, {_below(c, c)} AS t_{c}" for c in _TEXTS[1:])} FROM o),
+x AS (SELECT *, {", ".join(f"{_except(f'm_{c}', f't_{c}')} AS x_{c}, {_except(f't_{c}', f'm_{c}')} AS y_{c}" for c in _TEXTS[1:])} FROM u),
+p AS (SELECT *, {", ".join(f"{_leaves(f'x_{c}')} AS p_{c}, {_leaves(f'y_{c}')} AS q_{c}" for c in _TEXTS[1:])} FROM x),
+w AS (SELECT *, {", ".join(f"({_weight('b_text')} - {_weight(f'm_{c}')} + {_weight(f'list_intersect(m_{c}, t_{c})')} + len(list_intersect(p_{c}, q_{c})))::DOUBLE AS common_{c}, len(x_{c}) + len(y_{c}) + len(p_{c}) + len(q_{c}) - 2 * len(list_intersect(p_{c}, q_{c})) AS apart_{c}" for c in _TEXTS[1:])} FROM p)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, {_fingerprint("text")} AS fingerprint, {_fingerprint("edited")} AS edited_fingerprint,
+  {", ".join(f"CASE WHEN text = {c} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * common_{c} / (2 * common_{c} + apart_{c} + 2) END AS near_{c.split('_')[0]}" for c in _TEXTS[1:])},
+  list_filter(flatten(list_transform(o_edited, lambda i: range(i * 8, i * 8 + 8))), lambda j: b_text[j + 1] IS DISTINCT FROM b_edited[j + 1])[1]::INTEGER AS first_edited
+FROM w""",
     "op11_collocations": r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
