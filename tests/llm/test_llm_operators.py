@@ -1,8 +1,10 @@
 """The training-data operators against brute force, on hand-made and small generated tables."""
 
 import hashlib
+import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -473,6 +475,41 @@ def test_flow_prefers_fresh_words():
     assert mixing.min_cost_flow([(frozenset({0}), 10)], [100], 3) == [30]
 
 
+def least_cost(patterns, quotas, repeats):
+    """All ways to give words, by trying: the most words, and of these the least cost."""
+    best = None
+    for given in itertools.product(*(range(repeats * n + 1) for _, n in patterns)):
+        # Hall's condition: what any set of patterns gives fits into the sources that they touch
+        some = (c for r in range(1, len(patterns) + 1) for c in itertools.combinations(range(len(patterns)), r))
+        if any(sum(given[i] for i in c) > sum(quotas[s] for s in frozenset().union(*(patterns[i][0] for i in c))) for c in some):
+            continue
+        cost = sum(r * r * max(0, min(n, g - r * n)) for (_, n), g in zip(patterns, given, strict=True) for r in range(repeats))
+        best = min(best or (0, 0), (-sum(given), cost)) if best else (-sum(given), cost)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_equals_trying_all(seed):
+    rng = random.Random(seed)
+    patterns = [(frozenset(rng.sample(range(4), rng.randint(1, 3))), rng.randint(0, 3)) for _ in range(4)]
+    quotas = [rng.randint(0, 7) for _ in range(4)]
+    given = mixing.min_cost_flow(patterns, quotas, 2)
+    assert all(0 <= g <= 2 * n for g, (_, n) in zip(given, patterns, strict=True))
+    cost = sum(r * r * max(0, min(n, g - r * n)) for (_, n), g in zip(patterns, given, strict=True) for r in range(2))
+    assert (-sum(given), cost) == least_cost(patterns, quotas, 2)
+
+
+def test_flow_of_many_patterns():
+    rng = random.Random(1)
+    patterns = list({frozenset(rng.sample(range(50), rng.randint(1, 12))): rng.randint(1, 10**6) for _ in range(20_000)}.items())
+    total = sum(n for _, n in patterns)
+    quotas = [int(total * (1 + s % 3) / 99) for s in range(50)]
+    began = time.monotonic()
+    given = mixing.min_cost_flow(patterns, quotas, 3)
+    assert time.monotonic() - began < 60
+    assert abs(sum(given) - sum(quotas)) < 50 and all(0 <= g <= 3 * n for g, (_, n) in zip(given, patterns, strict=True))
+
+
 def test_mix(spark, rows, docs, empty):
     out = mixing.mix(docs).collect()
     assert sorted((r.doc_id, r.mix_size) for r in out) == sorted((r[0], len(WORD.findall(r[1] or ""))) for r in rows)

@@ -5,8 +5,8 @@ offers its words once per allowed repetition, at convex costs, so that fresh wor
 before second and third copies. Sources are numbered by a range sort, and their targets found by
 rounds of one aggregate each, of which the driver sees a few sums. The flow to the sources' quotas
 is solved in tasks, one connected set of overlapping sources at a time (a source that shares no
-document is such a set alone): any number of sources passes, and the work of a set grows with the
-square of its patterns. Seeded selection then takes, of each pattern, all documents for every full
+document is such a set alone): any number of sources passes. A set's flow takes rounds linear in its
+patterns, at most some twice the number of its sources for each repetition. Seeded selection then takes, of each pattern, all documents for every full
 repetition and for the rest a prefix in seeded order, found from a histogram of seeded buckets and
 exact sums within the one boundary bucket of each pattern.
 
@@ -18,7 +18,6 @@ included, but a column named like one of RESULT gives way to the result.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -69,50 +68,93 @@ def targets(sources: DataFrame, weights: list[int], repeats: int) -> DataFrame:
 
 
 def min_cost_flow(patterns: list[tuple[frozenset[int], int]], quotas: list[int], repeats: int) -> list[int]:
-    """Words that each pattern gives: successive shortest paths, copy r of a pattern costing r * r."""
-    n = len(patterns)
-    start, end = n + len(quotas), n + len(quotas) + 1
-    graph: list[list[int]] = [[] for _ in range(end + 1)]
-    to, room, cost = [], [], []
-
-    def edge(a: int, b: int, cap: int, price: int) -> None:
-        for x, y, c, p in ((a, b, cap, price), (b, a, 0, -price)):
-            graph[x].append(len(to))
-            to.append(y), room.append(c), cost.append(p)
-
-    for i, (members, size) in enumerate(patterns):
-        for r in range(repeats):
-            edge(start, i, size, r * r)
-        for s in members:
-            edge(i, n + s, repeats * size, 0)
-    for s, q in enumerate(quotas):
-        edge(n + s, end, q, 0)
-    while True:
-        far, via, line = {start: 0}, {}, deque([start])
-        queued = {start}
-        while line:
-            a = line.popleft()
-            queued.discard(a)
-            for e in graph[a]:
-                if room[e] > 0 and far[a] + cost[e] < far.get(to[e], 1 << 60):
-                    far[to[e]], via[to[e]] = far[a] + cost[e], e
-                    if to[e] not in queued:
-                        queued.add(to[e])
-                        line.append(to[e])
-        if end not in far:
-            break
-        path, at = [], end
-        while at != start:
-            path.append(via[at])
-            at = to[via[at] ^ 1]
-        push = min(room[e] for e in path)
-        for e in path:
-            room[e] -= push
-            room[e ^ 1] += push
-    out = [0] * n
-    for e in graph[start]:
-        out[to[e]] += room[e ^ 1]
-    return out
+    """Words that each pattern gives at the least cost, copy r of a pattern costing r * r.
+
+    Only the copies cost anything, so the cheapest way of a word more is one of the lowest copy that still finds a way:
+    copy after copy the flow is made as large as it can be. A round measures every node's distance to the sources that are short,
+    backwards, then pushes along falling distances until no way of these lengths is left; distances grow from round to
+    round, and none passes twice the number of sources.
+    """
+    members = [sorted(m) for m, _ in patterns]
+    flow = [[0] * len(m) for m in members]
+    holders: list[list[tuple[int, int]]] = [[] for _ in quotas]
+    for p, m in enumerate(members):
+        for k, s in enumerate(m):
+            holders[s].append((p, k))
+    room, short = [0] * len(patterns), list(quotas)
+    for _ in range(repeats):
+        for p, (_, size) in enumerate(patterns):
+            room[p] += size
+        while True:
+            far_p, far_s = _distances(members, holders, flow, short)
+            open_ = [p for p, d in enumerate(far_p) if d and room[p] > 0]
+            if not open_:
+                break
+            at_p, at_s = [0] * len(members), [0] * len(quotas)
+            for p in open_:
+                _push(p, members, holders, flow, room, short, far_p, far_s, at_p, at_s)
+    return [sum(f) for f in flow]
+
+
+def _distances(members: list[list[int]], holders: list[list[tuple[int, int]]], flow: list[list[int]], short: list[int]) -> tuple[list[int], list[int]]:
+    """Steps from every pattern and source to a source that is short, 0 where there is no way."""
+    far_p, far_s = [0] * len(members), [int(q > 0) for q in short]
+    line = [s for s, d in enumerate(far_s) if d]
+    while line:
+        reached = []
+        for s in line:
+            for p, _ in holders[s]:
+                if not far_p[p]:
+                    far_p[p] = far_s[s] + 1
+                    reached.append(p)
+        line = []
+        for p in reached:
+            for s, f in zip(members[p], flow[p], strict=True):
+                if f and not far_s[s]:
+                    far_s[s] = far_p[p] + 1
+                    line.append(s)
+    return far_p, far_s
+
+
+def _push(first, members, holders, flow, room, short, far_p, far_s, at_p, at_s) -> None:
+    """Route what pattern first has left along falling distances; at_p and at_s remember the ways already found closed."""
+    on_p, on_s = [first], []
+    while room[first] > 0:
+        if len(on_s) < len(on_p):
+            p = on_p[-1]
+            m, k = members[p], at_p[p]
+            while k < len(m) and far_s[m[k]] + 1 != far_p[p]:
+                k += 1
+            at_p[p] = k
+            if k < len(m):
+                on_s.append(m[k])
+                continue
+            on_p.pop()
+            if not on_p:
+                return
+            at_s[on_s[-1]] += 1
+            continue
+        s = on_s[-1]
+        if short[s] > 0 and far_s[s] == 1:
+            back = [holders[t][at_s[t]] for t in on_s[:-1]]
+            amount = min(room[first], short[s], *(flow[q][k] for q, k in back))
+            for p in on_p:
+                flow[p][at_p[p]] += amount
+            for q, k in back:
+                flow[q][k] -= amount
+            room[first] -= amount
+            short[s] -= amount
+            on_p, on_s = [first], []
+            continue
+        j, ways = at_s[s], holders[s]
+        while j < len(ways) and not (flow[ways[j][0]][ways[j][1]] and far_p[ways[j][0]] + 1 == far_s[s]):
+            j += 1
+        at_s[s] = j
+        if j < len(ways):
+            on_p.append(ways[j][0])
+        else:
+            on_s.pop()
+            at_p[on_p[-1]] += 1
 
 
 def routed(repeats: int):
