@@ -595,6 +595,23 @@ def test_fingerprints_over_ranges(spark, monkeypatch, ranges):
     assert got[(last[0], len(last[1]))] == hashlib.sha256((last[1][: len(last[1]) - n] + "last"[:n]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("ranges", [(1024, 100), (16, 100), (4, 20)])
+def test_fingerprints_deal_null_and_frequent_ids(spark, monkeypatch, ranges):
+    monkeypatch.setattr(fingerprints, "MAX_RANGES", ranges[0])
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", ranges[1])
+    ids = [None if i % 3 == 0 else 50 if i % 3 == 1 else i % 100 for i in range(6000)]
+    docs = spark.createDataFrame([(d, f"text {i} of many ") for i, d in enumerate(ids)], "doc_id long, text string").repartition(5)
+    slots = fingerprints.dealt(docs).collect()
+    assert max(Counter(r.slot for r in slots).values()) < (500 if ranges[0] > 4 else 2000)
+    order = sorted(slots, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.th))
+    assert [r.slot for r in order] == sorted(r.slot for r in slots)
+    asked = Counter()
+    for a, b in zip(order, order[1:] + order[:1], strict=True):
+        n = len(a.text) // 4
+        asked[a.doc_id, hashlib.sha256((a.text[: len(a.text) - n] + b.text[:n]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in fingerprints.compare(docs).select("doc_id", "edited_sha256").collect()) == asked
+
+
 def test_likeness_of_trees(spark):
     """1 only for equal texts; an early insertion changes its neighbourhood alone."""
     rng = random.Random(9)

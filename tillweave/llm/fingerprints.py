@@ -10,12 +10,14 @@ counts as common (a paragraph weighs one and its pieces), 1 for equal roots. The
 paragraphs that differ. No Python runs in tasks.
 
 Defined results: null text is empty; texts that differ, if only in newlines, have a likeness below 1; documents
-are ordered by doc_id, null last, rows that repeat a doc_id by the hash of their text; the document after the last is the
-first, so a single document is its own successor; an empty table gives no rows.
+are ordered by doc_id, null last, rows that repeat a doc_id by the hash of their text (rows equal in both share a task);
+the document after the last is the first, so a single document is its own successor; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -105,29 +107,43 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
     return F.filter(inner, lambda i: ~F.get(a["branches"], i).eqNullSafe(F.get(b["branches"], i)))
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """doc_id, text, its tree, next_text and next_tree, with one exchange of the texts.
+def dealt(docs: DataFrame) -> DataFrame:
+    """doc_id, text, th (hash of the text), slot: slots follow the order of doc_id (null last), then th.
 
     Ids are cut into ranges at approximate quantiles, large tables' ranges into equal steps (all
-    numbers are bounded and any cut gives the same result). Each range's first row is also sent to the range before it, so that the
-    last row of a range meets its successor.
+    numbers are bounded and any cut gives the same result). An id that fills ranges of its own, and null, is dealt on by th.
     """
     need(docs, "doc_id", "text")
     rows = docs.select("doc_id", text_of().alias("text"))
     quantiles = F.percentile_approx("doc_id", [i / MAX_RANGES for i in range(1, MAX_RANGES)], 10 * MAX_RANGES)
-    total = rows.agg(F.count("*").alias("n"), quantiles.alias("q"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    total = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), quantiles.alias("q"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
     want = min(MAX_RANGES, max(1, total.n // RANGE_ROWS))
     steps = min(MAX_STEPS, max(1, total.n // (RANGE_ROWS * MAX_RANGES)))
-    cuts = sorted(set((total.q or [])[MAX_RANGES // want - 1 :: MAX_RANGES // want]))
+    seen = Counter(total.q or [])
+    heavy = sorted(v for v, times in seen.items() if (times - 1) * total.known >= RANGE_ROWS * MAX_RANGES)
+    cuts = sorted({*(total.q or [])[MAX_RANGES // want - 1 :: MAX_RANGES // want], *heavy})
     place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     if steps > 1:
         edges = F.array(*map(F.lit, [total.lo, *cuts, total.hi]))
         low, high = F.get(edges, place).cast("double"), F.get(edges, place + 1).cast("double")
         part = F.least(F.floor((F.col("doc_id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * steps), F.lit(steps - 1))
         place = place * steps + part
-    last = (len(cuts) + 1) * steps
-    slot = F.when(F.col("doc_id").isNull(), last).otherwise(place)
-    keyed = rows.select("doc_id", "text", slot.cast("int").alias("slot"), F.xxhash64("text").alias("th"))
+    slot = F.when(F.col("doc_id").isNull(), (len(cuts) + 1) * steps).otherwise(place)
+    more = min(MAX_STEPS, total.n // RANGE_ROWS) if heavy or total.known < total.n else 0
+    if more:
+        by_text = F.least(F.floor((F.col("th").cast("double") / 2.0**64 + 0.5) * more), F.lit(more - 1))
+        wide = F.col("doc_id").isNull() | (F.col("doc_id").isin(heavy) if heavy else F.lit(False))
+        # a heavy id is the first of its range: the other ids follow it
+        slot = slot * (more + 1) + F.when(wide, by_text).otherwise(more)
+    return rows.withColumn("th", F.xxhash64("text")).select("doc_id", "text", "th", slot.cast("int").alias("slot"))
+
+
+def successors(docs: DataFrame) -> DataFrame:
+    """doc_id, text, its tree, next_text and next_tree, with one exchange of the texts.
+
+    Each slot's first row is also sent to the slot before it, so that the last row of a slot meets its successor.
+    """
+    keyed = dealt(docs)
     order = [F.col("doc_id").asc_nulls_last(), F.col("th")]
     firsts = keyed.groupBy("slot").agg(F.min(F.struct("doc_id", "th")).alias("first"))
     told = (
