@@ -1,7 +1,9 @@
 """Stateful assignment, distributed ranks, band steps, merges that write, histograms: against plain Python."""
 
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -146,3 +148,15 @@ def test_histogram_equals_numpy(spark):
         assert np.allclose([got[k][i].lower for i in range(20)] + [got[k][19].upper], edges)
     assert [got["b"][i].n_rows for i in range(20)] == [3] + [0] * 19
     assert mt.histogram(d, [], "x", 3).count() == 3
+
+
+def test_percentiles_of_large_groups_are_exact(spark):
+    """Groups beyond the size at which percentile_approx is exact; nulls and a group without values."""
+    rng = random.Random(5)
+    values = {"a": [rng.randrange(1 << 40) for _ in range(40_000)], "b": [7, 7, 7, 9], None: list(range(20, 0, -1)), "none": [None]}
+    rows = [(g, x) for g, xs in values.items() for x in [*xs, None]]
+    shares = (0.0, 0.25, 0.5, 0.85, 0.97, 0.999, 1.0)
+    got = {r.g: r.steps for r in rk.percentiles(spark.createDataFrame(rows, "g string, x long").repartition(5), ["g"], "x", shares).collect()}
+    for g, xs in values.items():
+        want = sorted(xs) if g != "none" else None
+        assert got[g] == (want and [want[max(1, math.ceil(Fraction(str(s)) * len(want))) - 1] for s in shares])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillweave.functions.local import local_rows
 from tillweave.functions.numeric import cents
+from tillweave.operators.ranks import percentiles, same
 
 
 def scope_overview(export: DataFrame, *more: str) -> DataFrame:
@@ -45,12 +46,14 @@ def cell_breakdown(export: DataFrame, bands: Sequence[str]) -> DataFrame:
     s = F.col("estimated_spend").cast("decimal(14,2)")
     mean = lambda x: F.sum(x).cast("double") / F.count(x)
     cell = export.groupBy("test_type", "test_group").agg(
-        F.countDistinct("cust_id").alias("customers"), F.percentile_approx(s, 0.25, 10_000).cast("double").alias("p25"), mean(s).alias("avg"),
-        F.percentile_approx(s, 0.75, 10_000).cast("double").alias("p75"), mean((F.col("spend_plus_stretch") - F.col("estimated_spend")).cast("decimal(14,2)")).alias("avg_stretch"),
+        F.countDistinct("cust_id").alias("customers"), mean(s).alias("avg"), mean((F.col("spend_plus_stretch") - F.col("estimated_spend")).cast("decimal(14,2)")).alias("avg_stretch"),
         mean(exact("stretch_perc")).alias("avg_stretch_perc"), mean(exact("threshold_stretch_perc")).alias("avg_threshold_stretch_perc"),
         *(F.countDistinct(F.when(F.col("band") == b, F.col("cust_id"))).alias(f"band_{i}") for i, b in enumerate(bands)),
     )
-    return cell
+    steps = percentiles(export.select("test_type", "test_group", s.alias("s")), ["test_type", "test_group"], "s", (0.25, 0.75))
+    both = cell.alias("c").join(steps.alias("q"), same("c", "q", ["test_type", "test_group"]))
+    p25, p75 = (F.col("q.steps")[i].cast("double").alias(name) for i, name in enumerate(("p25", "p75")))
+    return both.select("c.test_type", "c.test_group", "c.customers", p25, "c.avg", p75, *(f"c.{c}" for c in cell.columns[4:]))
 
 
 def counts_within(export: DataFrame, low: int, high: int) -> DataFrame:

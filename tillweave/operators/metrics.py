@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.functions.numeric import exact_mean, profile
-from tillweave.operators.ranks import same
+from tillweave.operators.ranks import percentiles, same
 
 
 def _spend(name: str):
@@ -75,10 +75,18 @@ def baseline_percentiles(rolling: DataFrame, keys: Sequence[str], column: str, p
     return rolling.groupBy(*keys).agg(*(F.percentile_approx(column, p / 100.0, 10_000).cast("double").alias(f"{p}th_percentile") for p in percents))
 
 
+def group_profile(df: DataFrame, keys: Sequence[str], column: str, percents: Sequence[int] = (50, 75, 85, 90, 100)) -> DataFrame:
+    """The mean of a column and its percentiles in groups of any size."""
+    mean = df.groupBy(*keys).agg(exact_mean(column).alias("mean"))
+    steps = percentiles(df.select(*keys, column), keys, column, [p / 100.0 for p in percents])
+    both = mean.alias("m").join(steps.alias("s"), same("m", "s", keys))
+    return both.select(*(F.col(f"m.{k}") for k in keys), F.col("m.mean").alias(f"average_{column}"), *(F.col("s.steps")[i].cast("double").alias(f"{p}percentile_{column}") for i, p in enumerate(percents)))
+
+
 def category_unit_price(lines: DataFrame, percentile: float = 0.75, lx: str = "l2_id") -> DataFrame:
     """A typical price in each category: a percentile of its articles' highest full prices."""
     top = lines.groupBy(lx, "article_id").agg(F.max("unit_full_price").alias("price"))
-    return top.groupBy(lx).agg(F.percentile_approx("price", percentile, 10_000).cast("double").alias("category_price"))
+    return percentiles(top, [lx], "price", [percentile]).select(lx, F.col("steps")[0].cast("double").alias("category_price"))
 
 
 def customer_unit_price(lines: DataFrame, percentile: float = 0.85, lx: str = "l2_id", win: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ range of (group, value) and numbered within a range; the ranges' sizes give each
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -45,6 +46,20 @@ def ranked_values(df: DataFrame, by: Sequence[str], value: str, descending: bool
     return both.select(*(F.col(f"c.{k}") for k in keys), F.col(f"c.{value}"), rank.cast("int").alias("dense_rank"), before.alias("before"), F.col("s.total"))
 
 
+def percentiles(df: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """by, steps: the group's smallest values that at least each share of its values does not exceed, exact for groups of any size.
+
+    Nulls are no values; a group without values has null."""
+    ranked = ranked_values(df.withColumn("__none", F.col(value).isNull()), [*by, "__none"], value)
+
+    def step(share: float) -> Column:
+        x = Fraction(str(share))
+        place = F.expr(f"greatest(1L, (total * {x.numerator}L + {x.denominator - 1}L) div {x.denominator}L)")
+        return F.max(F.when(~F.col("__none") & (F.col("before") < place), F.col(value)))
+
+    return ranked.groupBy(*by).agg(F.when(F.min("__none"), None).otherwise(F.array(*map(step, shares))).alias("steps"))
+
+
 def with_ranks(df: DataFrame, by: Sequence[str], value: str, descending: bool = False) -> DataFrame:
     """df with dense_rank, before and total of its value in its group."""
     ranks = ranked_values(df, by, value, descending)

@@ -16,6 +16,7 @@ from tillweave.operators import metrics as mt
 from tillweave.operators import models as mo
 from tillweave.operators import rolling as rl
 from tillweave.operators import segments as sg
+from tillweave.operators.ranks import percentiles
 from tillweave.plans.lines import L2
 from tillweave.plans.registry import SHARED, query
 from tillweave.sources import sinks
@@ -287,10 +288,17 @@ query("export_with_ids", "SELECT cust_id, test_type, account_id, uk_digital_id F
     lambda v: al.with_ids(export(v), jn.first_account_link(v.table("customer").select(F.col("c_custkey").alias("cust_id")), v.accounts)).select("cust_id", "test_type", "account_id", "uk_digital_id")
 )
 query("offer_ladder", "SELECT l2_id, quantile_disc(unit_full_price, [0.5, 0.75, 0.85])::DOUBLE[] AS price_steps FROM scoped GROUP BY l2_id")(
-    lambda v: v.scoped.groupBy("l2_id").agg(F.percentile_approx("unit_full_price", [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("price_steps"))
+    lambda v: percentiles(v.scoped, ["l2_id"], "unit_full_price", (0.5, 0.75, 0.85)).select("l2_id", F.col("steps").cast("array<double>").alias("price_steps"))
 )
+
+
+def _spend_steps(v, shares):
+    spend = baselines(v).select("test_type", cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)").alias("spend"))
+    return percentiles(spend, ["test_type"], "spend", shares).select("test_type", F.col("steps").cast("array<double>").alias("spend_steps"))
+
+
 query("offer_spend_steps", f"SELECT test_type, quantile_disc({cents_sql('spend')}::DECIMAL(14,2), [0.5, 0.75, 0.85])::DOUBLE[] AS spend_steps FROM base GROUP BY test_type")(
-    lambda v: baselines(v).groupBy("test_type").agg(F.percentile_approx(cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)"), [0.5, 0.75, 0.85], 10_000).cast("array<double>").alias("spend_steps"))
+    lambda v: _spend_steps(v, (0.5, 0.75, 0.85))
 )
 
 
@@ -311,11 +319,11 @@ STEPS = (0.0, 0.25, 0.5, 0.75, 0.95, 0.97, 0.99, 1.0)
 SHARED["article_prices"] = "SELECT l2_id, article_id, max(unit_full_price)::DOUBLE AS unit_price FROM scoped GROUP BY l2_id, article_id"
 query("price_histogram", _histogram_sql("article_prices", "l2_id", "unit_price", 100))(lambda v: mt.histogram(_article_prices(v), ["l2_id"], "unit_price", 100))
 query("price_ladder", f"SELECT l2_id, quantile_disc(unit_price, {[0.5, 0.75, 0.85]}) AS price_steps FROM article_prices GROUP BY l2_id")(
-    lambda v: _article_prices(v).groupBy("l2_id").agg(F.percentile_approx("unit_price", [0.5, 0.75, 0.85], 10_000).alias("price_steps"))
+    lambda v: percentiles(_article_prices(v), ["l2_id"], "unit_price", (0.5, 0.75, 0.85)).withColumnRenamed("steps", "price_steps")
 )
 query("spend_histogram", _histogram_sql("base", "test_type", "spend", 700))(lambda v: mt.histogram(stored(baselines(v)), ["test_type"], "baseline_plus_stretch", 700))
 query("spend_ladder", f"SELECT test_type, quantile_disc({cents_sql('spend')}::DECIMAL(14,2), {list(STEPS)})::DOUBLE[] AS spend_steps FROM base GROUP BY test_type")(
-    lambda v: baselines(v).groupBy("test_type").agg(F.percentile_approx(cents(F.col("baseline_plus_stretch")).cast("decimal(14,2)"), list(STEPS), 10_000).cast("array<double>").alias("spend_steps"))
+    lambda v: _spend_steps(v, STEPS)
 )
 query("union_cells", "SELECT cust_id, test_type, spend, NULL::VARCHAR AS l2_id FROM base UNION ALL SELECT cust_id, 'headroom', spend_plus_stretch::DOUBLE, l2_id FROM used")(
     lambda v: baselines(v).select("cust_id", "test_type", F.col("baseline_plus_stretch").alias("spend")).unionByName(al.used_headroom(scored(v), not_bought=0.5).select("cust_id", F.lit("headroom").alias("test_type"), F.col("spend_plus_stretch").cast("double").alias("spend"), "l2_id"), allowMissingColumns=True)

@@ -11,6 +11,7 @@ from tillweave.operators import joins as jn
 from tillweave.operators import metrics as mt
 from tillweave.operators import rolling as rl
 from tillweave.operators import sketches as sk
+from tillweave.operators.ranks import percentiles
 from tillweave.plans.registry import SHARED, query
 from tillweave.sources.retail import ETL_DATE, HISTORY, LOOKBACK, WINDOW_DAYS
 from tillweave.sources.scratch import shared_folder
@@ -157,7 +158,7 @@ query("band_snapshot_left", "SELECT cust_id, spend, cust_band_fd FROM (SELECT cu
 query("cust_category_metrics", "SELECT cust_id, l2_id, count(l2_id)::INTEGER AS number_of_transactions, sum(sales_amt)::DOUBLE AS total_spend, count(article_id)::INTEGER AS items, count(DISTINCT basket_id)::INTEGER AS visits, sum(sales_amt)::DOUBLE / count(sales_amt) AS spend_per_item FROM scoped GROUP BY ALL")(lambda v: mt.cust_category_metrics(v.scoped))
 query("cust_total_metrics", "SELECT cust_id, count(l2_id)::INTEGER AS total_number_of_transactions, sum(sales_amt)::DOUBLE AS total_spend_amount, count(DISTINCT basket_id)::INTEGER AS total_visits, count(article_id)::INTEGER AS total_items, count(DISTINCT basket_id)::INTEGER AS sum_baskets, count(DISTINCT l2_id) AS count_of_lx FROM scoped GROUP BY ALL")(lambda v: mt.cust_total_metrics(v.scoped))
 query("cust_activity_counts", "SELECT * FROM activity")(lambda v: mt.cust_activity_counts(v.scoped))
-query("percentile_profile", f"SELECT l2_id, {profile_sql('sales_amt')} FROM recent GROUP BY l2_id")(lambda v: v.recent.groupBy("l2_id").agg(*numeric.profile("sales_amt")))
+query("percentile_profile", f"SELECT l2_id, {profile_sql('sales_amt')} FROM recent GROUP BY l2_id")(lambda v: mt.group_profile(v.recent, ["l2_id"], "sales_amt"))
 query("basket_profile_by_category", f"SELECT cust_id, l2_id, {profile_sql('total_spend_basket')}, {profile_sql('items_per_basket')} FROM (SELECT cust_id, l2_id, basket_id, sum(sales_amt) AS total_spend_basket, count(*) AS items_per_basket FROM scoped GROUP BY ALL) GROUP BY ALL")(lambda v: mt.basket_profile(v.scoped, "l2_id"))
 query("basket_profile", f"SELECT cust_id, {profile_sql('total_spend_basket')}, {profile_sql('items_per_basket')} FROM baskets GROUP BY ALL")(lambda v: mt.basket_profile(v.scoped))
 query("window_profile", f"SELECT cust_id, l2_id, {profile_sql('total_spend_time_window')}, {profile_sql('basket_per_time_window')} FROM cat_windows GROUP BY ALL")(lambda v: mt.window_profile(v.scoped, "l2_id"))
@@ -234,7 +235,7 @@ def _near_basket(v):
 
 query("nearest_p85_basket", "SELECT cust_id, l2_id, sum(sales_amt)::DOUBLE AS total_spend_basket FROM scoped JOIN near_b USING (cust_id, basket_id) GROUP BY ALL")(_near_basket)
 query("percent_rank_of_baseline", "SELECT l2_id, v, percentile_rank FROM (SELECT l2_id, v, b, percent_rank() OVER (PARTITION BY l2_id ORDER BY v) AS percentile_rank FROM (SELECT l2_id, total_spend_time_window::DOUBLE AS v, 0 AS b FROM cat_windows UNION ALL SELECT l2_id, quantile_disc(total_spend_time_window, 0.5)::DOUBLE, 1 FROM (SELECT * FROM cat_windows WHERE win < 3) GROUP BY l2_id)) WHERE b = 1")(
-    lambda v: rl.percent_rank_of_baseline(mt.window_totals(v.scoped, "l2_id"), mt.window_totals(v.scoped, "l2_id").filter("win < 3").groupBy("l2_id").agg(F.percentile_approx("total_spend_time_window", 0.5, 10_000).alias("v")), ["l2_id"], "total_spend_time_window")
+    lambda v: rl.percent_rank_of_baseline(mt.window_totals(v.scoped, "l2_id"), percentiles(mt.window_totals(v.scoped, "l2_id").filter("win < 3"), ["l2_id"], "total_spend_time_window", [0.5]).select("l2_id", F.col("steps")[0].alias("v")), ["l2_id"], "total_spend_time_window")
 )
 query("share_of_total", "SELECT l2_id, n_rows, floor(1000.0::DOUBLE * n_rows / (sum(n_rows) OVER ()) + 0.5) / 1000.0::DOUBLE AS share FROM (SELECT l2_id, count(*) AS n_rows FROM scoped GROUP BY l2_id)")(lambda v: rl.share_of_total(mt.group_counts(v.scoped, "l2_id")))
 query("distinct_rows", "SELECT DISTINCT cust_id, l2_id, purchase_channel FROM trx_line")(lambda v: v.trx_line.select("cust_id", "l2_id", "purchase_channel").distinct())
