@@ -71,3 +71,13 @@ def test_few_pairs_are_met(spark):
         sent.append(sum(seen.values()) / n)
     assert share[1] < 0.25 and share[1] < 0.5 * share[0] and sent[1] < 1.5 * sent[0]
     print("share of pairs met", share, "blocks a user is sent to", sent)
+
+
+def test_copies_are_one_vector(spark, monkeypatch):
+    """Forty copies of the same ratings: as many vectors are dealt out as ratings differ, and the results are those of all pairs."""
+    rows = [(f"u{c:02d}-{u:02d}", i, abs(r) + 0.5) for u, i, r in people(7, 12, 1.0) for c in range(40)]
+    dealt, meetings = [], cones.meetings
+    monkeypatch.setattr(cones, "meetings", lambda vectors, *rest: dealt.append(vectors.count()) or meetings(vectors, *rest))
+    got = {(x.u, x.i): x.prediction for x in mo.knn(spark.createDataFrame(rows, "u string, i string, r double"), "u", "i", "r", k=3, hot=4).collect()}
+    want = brute_knn(rows, 3, "basic")
+    assert dealt[0] <= 12 and set(got) == set(want) and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)

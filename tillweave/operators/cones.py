@@ -104,15 +104,16 @@ class Boxes:
 def _every_block(vectors: DataFrame, user: str, blocks: int) -> DataFrame:
     mine = F.pmod(F.xxhash64(user), F.lit(blocks)).cast("long")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    rows = vectors.select(user, "items", "values")
-    return rows.withColumns({"block": mine, "lead": F.lit(1)}).unionByName(rows.withColumns({"block": every, "lead": F.lit(0)}))
+    return vectors.withColumns({"block": mine, "lead": F.lit(1)}).unionByName(vectors.withColumns({"block": every, "lead": F.lit(0)}))
 
 
 def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) -> DataFrame:
-    """user, items, values, block, lead: each user leads in its own block (lead 1) and meets in all blocks it may matter to.
+    """The vectors with block and lead: each user leads in its own block (lead 1) and meets in all blocks it may matter to.
 
-    vectors has user, items (sorted numbers) and values (structs with r); size is the number of users of a cell, about."""
-    spark, users = vectors.sparkSession, vectors.count()
+    vectors has user, items (sorted numbers) and values (structs with r); size is the number of users of a cell, about.
+    With a column peers a row stands for these users (the smallest first, which is user), all with its ratings."""
+    spark, users, held_columns = vectors.sparkSession, vectors.count(), vectors.columns
+    stands = F.size("peers") if "peers" in held_columns else F.lit(1)
     unit = F.transform("values", lambda v: v["r"] / F.col("__norm"))
     norm = F.sqrt(F.aggregate("values", F.lit(0.0), lambda a, v: a + v["r"] * v["r"]))
     on_grid = lambda steps: F.transform("unit", lambda x: F.floor(x * steps))
@@ -121,8 +122,8 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
     ranges = max(1, min(MAX_RANGES, -(-users // size)))
     level = sum(g * g <= ranges for g in GRIDS)  # a cell lies in one box of this grid
     box = F.slice("grid", F.lit(1), F.size("items") * level).alias("box")
-    placed = stored(placed.repartitionByRange(ranges, "items", "grid", user).select(user, "items", "values", "unit", F.spark_partition_id().alias("range"), box))
-    sides = placed.select("range", "items", "box", F.posexplode("unit").alias("at", "x")).groupBy("range", "items", "box", "at").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n"))
+    placed = stored(placed.repartitionByRange(ranges, "items", "grid", user).select(*held_columns, "unit", F.spark_partition_id().alias("range"), box, stands.alias("__stands")))
+    sides = placed.select("range", "items", "box", "__stands", F.posexplode("unit").alias("at", "x")).groupBy("range", "items", "box", "at").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("__stands").alias("n"))
     boxes = sides.groupBy("range", "items", "box").agg(F.sort_array(F.collect_list(F.struct("at", "lo", "hi"))).alias("s"), F.max("n").alias("n"))
     cells = boxes.select("range", "items", "box", F.transform("s", lambda x: x["lo"]).alias("lo"), F.transform("s", lambda x: x["hi"]).alias("hi"), "n").limit(MAX_CELLS + 1).collect()
     patterns = {p: i for i, p in enumerate(sorted({tuple(c["items"]) for c in cells}))}
@@ -142,10 +143,10 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
         "box": pa.array([list(c["box"]) for c in cells], pa.list_(pa.int64())), "cell": pa.array(range(len(cells)), pa.int64()), "pattern": pa.array([patterns[tuple(c["items"])] for c in cells], pa.int32()),
     })
     numbers = spark.createDataFrame(table)  # at most MAX_CELLS rows, as the other two local tables are bounded
-    rows = placed.join(F.broadcast(numbers), ["range", "items", "box"]).select(user, "items", "values", "cell", "pattern")
+    rows = placed.join(F.broadcast(numbers), ["range", "items", "box"]).select(*held_columns, "cell", "pattern")
     near = stored(spark.range(len(cells)).repartition(max(1, len(cells) // 64)).mapInArrow(pairs, "block long, cell long"))
-    asks = rows.select(user, "items", "values", F.col("cell").alias("block"), F.lit(1).alias("lead"))
-    meets = rows.join(near, "cell").select(user, "items", "values", "block", F.lit(0).alias("lead"))
+    asks = rows.select(*held_columns, F.col("cell").alias("block"), F.lit(1).alias("lead"))
+    meets = rows.join(near, "cell").select(*held_columns, "block", F.lit(0).alias("lead"))
     out = asks.unionByName(meets)
     single = [(p, q, (set(a) & set(b)).pop()) for a, p in patterns.items() for b, q in patterns.items() if len(set(a) & set(b)) == 1]
     if single:
@@ -153,5 +154,5 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
         tall = rows.select(user, "pattern", F.explode(F.arrays_zip("items", "values")).alias("s")).select(user, "pattern", F.col("s.items").alias("item"), F.signum(F.col("s.values.r")).alias("sign"))
         first = tall.withColumn("__row", F.row_number().over(W.partitionBy("pattern", "item", "sign").orderBy(user))).filter(F.col("__row") <= k + 1)
         sent = first.select(user, "pattern", "item").join(F.broadcast(told), ["pattern", "item"]).join(F.broadcast(numbers.select(F.col("cell").alias("block"), F.col("pattern").alias("__mine"))), "__mine")
-        out = out.unionByName(rows.join(sent.select(user, "block"), user).select(user, "items", "values", "block", F.lit(0).alias("lead")))
+        out = out.unionByName(rows.join(sent.select(user, "block"), user).select(*held_columns, "block", F.lit(0).alias("lead")))
     return out

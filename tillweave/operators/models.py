@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import uniform
 from tillweave.operators import cones
@@ -52,11 +52,12 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
     """user, item, prediction from the k most alike users who rated the item.
 
     kind: 'basic', 'means' or 'zscore'. Alike is the cosine over all items that both rated, to twelve places;
-    of equals the smaller users come first. Users lie in cells of about `hot`; each cell reads the rating vectors (one a
-    user; one rating for each user and item) of all users that can be among the nearest of its own (cones.meetings),
-    once, in user order, and holds the best k so far: hot x items x k neighbours.
+    of equals the smaller users come first. Users with the same ratings are one vector, which its k + 1 smallest users
+    stand for, as no other of them can be among anyone's nearest. Vectors lie in cells of about `hot`; each cell reads
+    the vectors of all users that can be among the nearest of its own (cones.meetings), once, and holds the best k + 1
+    so far: hot x items x (k + 1) neighbours. A user's own place among them is left out at the end.
     Null ratings are left out; where all weights are 0 the prediction is null."""
-    known = ratings.select(user, item, F.col(rating).cast("double").alias("r")).dropna()
+    known = stored(ratings.select(user, item, F.col(rating).cast("double").alias("r")).dropna())
     stats = known.groupBy(user).agg(F.avg("r").alias("m"), F.coalesce(F.stddev_pop("r"), F.lit(0.0)).alias("s"))
     shift = F.lit(0.0) if kind == "basic" else F.col("m")
     scale = F.when(F.col("s") > 0, F.col("s")).otherwise(1.0) if kind == "zscore" else F.lit(1.0)
@@ -64,10 +65,17 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
     names = x.select(item, "item_no").distinct()
     n_items = names.count()
     listed = x.groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item_no", "r", "z"))).alias("rows"))
-    vectors = stored(listed.select(user, F.transform("rows", lambda v: v["item_no"]).alias("items"), F.transform("rows", lambda v: F.struct(v["r"].alias("r"), v["z"].alias("z"))).alias("values")))
+    alike = W.partitionBy("items", "__r").orderBy(user)
+    people = listed.select(user, F.transform("rows", lambda v: v["item_no"]).alias("items"), F.transform("rows", lambda v: v["r"]).alias("__r"), F.transform("rows", lambda v: F.struct(v["r"].alias("r"), v["z"].alias("z"))).alias("values"))
+    people = stored(people.withColumns({"__first": F.first(user).over(alike), "__nth": F.row_number().over(alike)}))
+    peers = people.filter(F.col("__nth") <= k + 1).groupBy("__first").agg(F.sort_array(F.collect_list(user)).alias("peers"))
+    vectors = stored(people.filter("__nth = 1").select(user, "items", "values").join(peers.withColumnRenamed("__first", user), user))
     rows = cones.meetings(vectors, user, k, hot, n_items).repartition("block").sortWithinPartitions("block", F.desc("lead"), user)
 
     def best(batches):
+        def as_array(column):
+            return column.to_numpy(zero_copy_only=False)
+
         def dense(part):
             items, values = part.column("items"), part.column("values")
             at = np.repeat(np.arange(part.num_rows), pc.list_value_length(items).to_numpy(zero_copy_only=False)), items.flatten().to_numpy()
@@ -77,7 +85,10 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
 
         def meet(state, part):
             r, z, has = dense(part)
-            q, q_has, place, held = state["r"], state["has"], state["place"], state["held"]
+            q, q_has, held = state["r"], state["has"], state["held"]
+            first, peers = as_array(part.column(user)), part.column("peers")
+            many, flat = pc.list_value_length(peers).to_numpy(zero_copy_only=False), as_array(peers.flatten())
+            begin = np.cumsum(many) - many
             dot, one, two, both = np.zeros((len(q), len(r))), np.zeros((len(q), len(r))), np.zeros((len(q), len(r))), np.zeros((len(q), len(r)), bool)
             for i in range(n_items):  # in one order, so that sums do not depend on the batches
                 dot += np.outer(q[:, i], r[:, i])
@@ -86,33 +97,49 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
                 both |= np.outer(q_has[:, i], has[:, i])
             norm = np.sqrt(one * two)
             sim = np.where(both, np.round(np.divide(dot, norm, out=np.zeros_like(dot), where=norm > 0), 12), -np.inf)
-            for c, u in enumerate(part.column(user).to_pylist()):
-                if u in place:
-                    sim[place[u], c] = -np.inf
             for i in range(n_items):
                 at = np.flatnonzero(has[:, i])
                 old = held[i]
-                row, col = np.nonzero(sim[:, at] > old["least"][:, None])  # who comes later is after its equals
+                row, col = np.nonzero((sim[:, at] >= old["least"][:, None]) & both[:, at])
+                col = at[col]
+                tie = np.flatnonzero(sim[row, col] == old["least"][row])
+                late = tie[first[col[tie]] >= old["last"][row[tie]]]  # of equals the smaller users come first
+                row, col = np.delete(row, late), np.delete(col, late)
                 if not len(row):
                     continue
-                rows_, sims = np.concatenate((old["row"], row)), np.concatenate((old["sim"], sim[row, at[col]]))
-                zs = np.concatenate((old["z"], z[at[col], i]))
-                order = np.lexsort((np.arange(len(rows_)), -sims, rows_))
-                rows_, sims, zs = rows_[order], sims[order], zs[order]
+                pair = np.repeat(np.arange(len(row)), many[col])
+                peer = flat[begin[col][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(many[col]) - many[col], many[col])]
+                row, col = row[pair], col[pair]
+                new = {"row": row, "sim": sim[row, col], "z": z[col, i], "user": peer, "own": first[col] == state["users"][row]}
+                new = {n: np.concatenate((old[n], x)) if len(old["row"]) else x for n, x in new.items()}
+                by_user = new["user"] if new["user"].dtype != object else np.unique(new["user"], return_inverse=True)[1]
+                order = np.lexsort((by_user, -new["sim"], new["row"]))
+                rows_ = new["row"][order]
                 rank = np.arange(len(rows_)) - np.searchsorted(rows_, rows_, "left")
-                some = rank < k
-                least = old["least"]
-                least[rows_[rank == k - 1]] = sims[rank == k - 1]
-                held[i] = {"row": rows_[some], "sim": sims[some], "z": zs[some], "least": least}
+                full, order = order[rank == k], order[rank <= k]
+                old["least"][new["row"][full]], old["last"][new["row"][full]] = new["sim"][full], new["user"][full]
+                held[i] = {n: x[order] for n, x in new.items()} | {"least": old["least"], "last": old["last"]}
+
+        def weighted(h, entry, owner, n):
+            """Per owner the mean of z of these entries, weighed by likeness; null where the weights are 0."""
+            weight, total = np.bincount(owner, h["sim"][entry], n), np.bincount(owner, h["sim"][entry] * h["z"][entry], n)
+            return pa.array(np.divide(total, weight, out=np.zeros(n), where=weight != 0), mask=weight == 0)
 
         def done(state):
-            users, numbers, p = [], [], []
-            for i, h in enumerate(state["held"]):
-                weight = np.bincount(h["row"], h["sim"], len(state["users"]))
-                total = np.bincount(h["row"], h["sim"] * h["z"], len(state["users"]))
-                for at in np.unique(h["row"]).tolist():
-                    users.append(state["users"][at]), numbers.append(i), p.append(float(total[at] / weight[at]) if weight[at] else None)
-            return pa.RecordBatch.from_arrays([pa.array(users, state["type"]), pa.array(numbers, pa.int32()), pa.array(p, pa.float64())], [user, "item_no", "p"])
+            """Per vector and item the prediction of who is not among the nearest k + 1 himself, and of each who is, from the others."""
+            for i, h in enumerate(state["held"] or ()):
+                row, start, n = np.unique(h["row"], return_index=True, return_counts=True)
+                if not len(row):
+                    continue
+                group = np.repeat(np.arange(len(row)), n)
+                near = np.flatnonzero(np.arange(len(group)) - start[group] < k)
+                own = np.flatnonzero(h["own"])
+                rest = np.repeat(np.arange(len(own)), n[group[own]])
+                entry = np.arange(len(rest)) - np.repeat(np.cumsum(n[group[own]]) - n[group[own]], n[group[own]]) + start[group[own]][rest]
+                other = entry != own[rest]
+                cuts = pa.array(np.r_[0, np.cumsum(np.bincount(group[own], minlength=len(row)))].astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, x) for x in (pa.array(h["user"][own], state["type"]), weighted(h, entry[other], rest[other], len(own)), pa.array(n[group[own]] > 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(state["users"][row], state["type"]), pa.array(np.full(len(row), i), pa.int32()), weighted(h, near, group[near], len(row)), *lists], ["__first", "item_no", "p", "own", "own_p", "own_known"])
 
         state = None
         for batch in batches:
@@ -122,28 +149,31 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
             cuts = np.flatnonzero((block[1:] != block[:-1]) | (lead[1:] != lead[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
                 if state is None or state["block"] != block[a]:
-                    if state and state["users"]:
-                        yield done(state)
+                    if state:
+                        yield from done(state)
                     state = {"block": block[a], "users": [], "parts": [], "held": None, "type": batch.column(user).type}
                 for c in range(a, b, 1024):
                     part = batch.slice(c, min(1024, b - c))
                     if lead[a]:
-                        state["users"] += part.column(user).to_pylist()
+                        state["users"].append(as_array(part.column(user)))
                         state["parts"].append(dense(part))
                         continue
                     if state["held"] is None:
                         if not state["users"]:  # no user falls into this block
                             break
                         state["r"], state["has"] = (np.concatenate([x[j] for x in state["parts"]]) for j in (0, 2))
-                        state["place"] = {u: j for j, u in enumerate(state["users"])}
-                        none = np.zeros(0)
-                        state["held"] = [{"row": none.astype(np.int64), "sim": none, "z": none, "least": np.full(len(state["users"]), -np.inf)} for _ in range(n_items)]
+                        state["users"] = np.concatenate(state["users"])
+                        state["held"] = [{"row": np.zeros(0, np.int64), "own": np.zeros(0, bool), "least": np.full(len(state["users"]), -np.inf), "last": state["users"].copy()} for _ in range(n_items)]
                     meet(state, part)
-        if state and state["users"]:
-            yield done(state)
-
-    schema = StructType([StructField(user, known.schema[user].dataType), StructField("item_no", IntegerType()), StructField("p", DoubleType())])
-    pred = rows.mapInArrow(best, schema).join(F.broadcast(names), "item_no")
+        if state:
+            yield from done(state)
+
+    kind = known.schema[user].dataType
+    fields = {"__first": kind, "item_no": IntegerType(), "p": DoubleType(), "own": ArrayType(kind), "own_p": ArrayType(DoubleType()), "own_known": ArrayType(BooleanType())}
+    found = rows.mapInArrow(best, StructType([StructField(n, t) for n, t in fields.items()])).join(F.broadcast(names), "item_no")
+    pred = people.select(user, "__first").join(found, "__first").withColumn("__at", F.array_position("own", F.col(user)).cast("int"))
+    of_own = lambda c: F.get(c, F.col("__at") - 1)
+    pred = pred.filter((F.col("__at") == 0) | of_own("own_known")).withColumn("p", F.when(F.col("__at") > 0, of_own("own_p")).otherwise(F.col("p")))
     return pred.join(stats, user).select(user, item, (F.col("p") * scale + shift).alias("prediction"))
 
 
