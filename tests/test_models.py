@@ -277,4 +277,4 @@ def test_nonnegative_vectors_of_few_items():
         x, t = rng.normal(size=(k, 20)), rng.normal(size=(200, k)) * 50
         x, t = (x, t) if signed else (np.abs(x), np.abs(t))
         want = fa.shared_nonnegative(x.T @ x + 0.1 * k * np.eye(20), t @ x)
-        assert np.allclose(fa.nonnegative_of_few(x, t, 0.1 * k, 64), want, atol=1e-6)
+        assert np.allclose(fa.nonnegative_of_few(x[None], np.zeros(200, int), np.tile(np.arange(k), (200, 1)), t, 0.1, 64), want, atol=1e-6)

@@ -165,23 +165,26 @@ def shared_nonnegative(g: np.ndarray, v: np.ndarray) -> np.ndarray:
     return x
 
 
-def nonnegative_of_few(x: np.ndarray, t: np.ndarray, weight: float, per: int = 1024) -> np.ndarray:
-    """shared_nonnegative(x' x + weight, t x) where x has few rows: the same steps by coordinates, on what is left of t."""
-    out, diagonal = np.empty((len(t), x.shape[1])), (x * x).sum(axis=0) + weight
+def nonnegative_of_few(q: np.ndarray, of: np.ndarray, items: np.ndarray, t: np.ndarray, reg: float, per: int = 2048) -> np.ndarray:
+    """The non-negative vectors of users who rated equally many items, few: the coordinate steps of solved, on what is left of t."""
+    k, rank = items.shape[1], q.shape[2]
+    out = np.empty((len(t), rank))
     for a in range(0, len(t), per):
-        left = np.ascontiguousarray(t[a : a + per].T)
-        p = np.zeros((x.shape[1], left.shape[1]))
+        rows = slice(a, a + per)
+        x = np.ascontiguousarray(q[of[rows, None], items[rows]].transpose(2, 1, 0))
+        left = np.ascontiguousarray(t[rows].T)
+        diagonal, p = (x * x).sum(axis=1) + reg * k, np.zeros((rank, left.shape[1]))
         for _ in range(SWEEPS):
             most = 0.0
-            for j in range(len(p)):
-                new = np.maximum(0, p[j] + (x[:, j] @ left - weight * p[j]) / diagonal[j])
+            for j in range(rank):
+                new = np.maximum(0, p[j] + ((x[j] * left).sum(axis=0) - reg * k * p[j]) / diagonal[j])
                 change = new - p[j]
-                left -= x[:, j, None] * change
+                left -= x[j] * change
                 p[j] = new
                 most = max(most, np.abs(change).max(initial=0))
             if most < 1e-10:
                 break
-        out[a : a + per] = p.T
+        out[rows] = p.T
     return out
 
 
@@ -201,9 +204,14 @@ def user_vectors(part: Part, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarr
             k, x = len(items), m.q[of, items]
             ts = t[cut[users][:, None] + np.arange(k)]
             if nonnegative:
-                p[users] = nonnegative_of_few(x, ts, reg * k) if k <= x.shape[1] else shared_nonnegative(x.T @ x + reg * k * np.eye(x.shape[1]), ts @ x)
+                if k > x.shape[1]:
+                    p[users] = shared_nonnegative(x.T @ x + reg * k * np.eye(x.shape[1]), ts @ x)
             else:
                 p[users] = ts @ linear_map(x[None], reg)[0]
+        for k in np.unique(n[(n > 0) & (n <= p.shape[1])]).tolist() if nonnegative else ():
+            users = np.flatnonzero(n == k)
+            at = cut[users][:, None] + np.arange(k)
+            p[users] = nonnegative_of_few(m.q, part.of[users], item[at], t[at], reg)
     p[n == 0] = 0
     return p, mean, use, t
 
