@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from test_operators import brute_knn
 
-from tillweave.operators import cones
+from tillweave.operators import cones, early
 from tillweave.operators import models as mo
 
 
@@ -81,3 +81,57 @@ def test_copies_are_one_vector(spark, monkeypatch):
     got = {(x.u, x.i): x.prediction for x in mo.knn(spark.createDataFrame(rows, "u string, i string, r double"), "u", "i", "r", k=3, hot=4).collect()}
     want = brute_knn(rows, 3, "basic")
     assert dealt[0] <= 12 and set(got) == set(want) and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
+
+
+def shoppers(seed, n, items="abc", odd=0):
+    """Users who rated some of the items, directions that recur now and then; the last `odd` rated all, the first of them below 0."""
+    rng, rows = random.Random(seed), []
+    for u in range(n):
+        mine = items if u >= n - odd else [i for i in items if rng.random() < 0.6] or [rng.choice(items)]
+        scale = rng.choice([0.5, 1.0, 3.0, rng.uniform(1, 9)])
+        rows += [(f"u{u:04d}", i, (-1.0 if u >= n - odd and i == items[0] else 1.0) * scale * rng.choice([2.0, 6.0, 7.0, rng.uniform(1, 60)])) for i in mine]
+    return rows
+
+
+@pytest.mark.parametrize(("kind", "seed", "odd"), [("basic", 1, 0), ("means", 2, 0), ("zscore", 3, 0), ("basic", 4, 9)])
+def test_users_at_cosine_one_need_no_cells(spark, monkeypatch, kind, seed, odd):
+    """Where users who share one item are many, nobody is dealt into cells; the few of other signs still are, and the results are those of all pairs."""
+    rows, led, meetings = shoppers(seed, 260, odd=odd), [], cones.meetings
+
+    def counted(vectors, *rest):
+        met = meetings(vectors, *rest)
+        led.append((met.filter("lead = 1").count(), met.count()))
+        return met
+
+    monkeypatch.setattr(cones, "meetings", counted)
+    d = spark.createDataFrame(rows, "u string, i string, r double").repartition(3)
+    got, want = {(x.u, x.i): x.prediction for x in mo.knn(d, "u", "i", "r", k=4, kind=kind, hot=20).collect()}, brute_knn(rows, 4, kind)
+    assert set(got) == set(want)
+    wrong = [x for x in want if not (got[x] is not None and math.isclose(got[x], want[x], rel_tol=1e-9, abs_tol=1e-9))]
+    assert not wrong, (len(wrong), [(x, got[x], want[x]) for x in wrong[:5]])
+    assert not led if not odd else 0 < led[0][0] <= odd
+
+
+@pytest.mark.parametrize("most", [0, 30, 10_000])
+def test_users_beyond_the_early_ones_go_to_cells(spark, monkeypatch, most):
+    """Which users are settled early is a matter of cost: the results are the same with none, with some and with all."""
+    rows = shoppers(5, 150)
+    monkeypatch.setattr(early, "MAX_EARLY", most)
+    d = spark.createDataFrame(rows, "u string, i string, r double")
+    got, want = {(x.u, x.i): x.prediction for x in mo.knn(d, "u", "i", "r", k=3, hot=20).collect()}, brute_knn(rows, 3, "basic")
+    assert set(got) == set(want) and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
+
+
+def test_boxes_grow_coarser_rather_than_all_blocks_meet(spark, monkeypatch):
+    """More boxes than cells are allowed: a coarser grid is taken, not every block sent everywhere."""
+    rows = [(u, i, abs(r) + 0.5) for u, i, r in people(6, 200, 3.0)]
+    monkeypatch.setattr(cones, "MAX_CELLS", 80)
+    monkeypatch.setattr(early, "MAX_EARLY", 0)
+    monkeypatch.setattr(cones, "_every_block", lambda *_: pytest.fail("all blocks meet"))
+    d = spark.createDataFrame(rows, "u long, i string, r double")
+    got, want = {(x.u, x.i): x.prediction for x in mo.knn(d, "u", "i", "r", k=3, hot=4).collect()}, brute_knn(rows, 3, "basic")
+    assert set(got) == set(want) and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
+
+
+def test_no_ratings(spark):
+    assert mo.knn(spark.createDataFrame([], "u long, i string, r double"), "u", "i", "r").collect() == []

@@ -101,18 +101,20 @@ class Boxes:
         return np.flatnonzero(keep)
 
 
-def _every_block(vectors: DataFrame, user: str, blocks: int) -> DataFrame:
+def _every_block(vectors: DataFrame, leads: DataFrame, user: str, blocks: int) -> DataFrame:
     mine = F.pmod(F.xxhash64(user), F.lit(blocks)).cast("long")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    return vectors.withColumns({"block": mine, "lead": F.lit(1)}).unionByName(vectors.withColumns({"block": every, "lead": F.lit(0)}))
+    return leads.withColumns({"block": mine, "lead": F.lit(1)}).unionByName(vectors.withColumns({"block": every, "lead": F.lit(0)}))
 
 
 def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) -> DataFrame:
     """The vectors with block and lead: each user leads in its own block (lead 1) and meets in all blocks it may matter to.
 
     vectors has user, items (sorted numbers) and values (structs with r); size is the number of users of a cell, about.
-    With a column peers a row stands for these users (the smallest first, which is user), all with its ratings."""
-    spark, users, held_columns = vectors.sparkSession, vectors.count(), vectors.columns
+    With a column peers a row stands for these users (the smallest first, which is user), all with its ratings. With a
+    column open only the open ones lead, the others only meet them."""
+    spark, users, held_columns = vectors.sparkSession, vectors.count(), [c for c in vectors.columns if c != "open"]
+    vectors = vectors if "open" in vectors.columns else vectors.withColumn("open", F.lit(True))
     stands = F.size("peers") if "peers" in held_columns else F.lit(1)
     unit = F.transform("values", lambda v: v["r"] / F.col("__norm"))
     norm = F.sqrt(F.aggregate("values", F.lit(0.0), lambda a, v: a + v["r"] * v["r"]))
@@ -120,15 +122,18 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
     grids = F.concat(*map(on_grid, GRIDS))
     placed = vectors.withColumn("__norm", F.when(norm > 0, norm).otherwise(1.0)).withColumn("unit", unit).withColumn("grid", grids)
     ranges = max(1, min(MAX_RANGES, -(-users // size)))
-    level = sum(g * g <= ranges for g in GRIDS)  # a cell lies in one box of this grid
-    box = F.slice("grid", F.lit(1), F.size("items") * level).alias("box")
-    placed = stored(placed.repartitionByRange(ranges, "items", "grid", user).select(*held_columns, "unit", F.spark_partition_id().alias("range"), box, stands.alias("__stands")))
-    sides = placed.select("range", "items", "box", "__stands", F.posexplode("unit").alias("at", "x")).groupBy("range", "items", "box", "at").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("__stands").alias("n"))
-    boxes = sides.groupBy("range", "items", "box").agg(F.sort_array(F.collect_list(F.struct("at", "lo", "hi"))).alias("s"), F.max("n").alias("n"))
-    cells = boxes.select("range", "items", "box", F.transform("s", lambda x: x["lo"]).alias("lo"), F.transform("s", lambda x: x["hi"]).alias("hi"), "n").limit(MAX_CELLS + 1).collect()
+    dealt = stored(placed.repartitionByRange(ranges, "items", "grid", user).select(*held_columns, "open", "unit", "grid", F.spark_partition_id().alias("range"), stands.alias("__stands")))
+    most, level = min(MAX_CELLS, MAX_ENTRIES // max(1, n_items)), sum(g * g <= ranges for g in GRIDS)  # a cell lies in one box of this grid
+    boxed = lambda: dealt.withColumn("box", F.slice("grid", F.lit(1), F.size("items") * level))
+    while level and boxed().select("range", "items", "box").distinct().count() > most:  # too many boxes: a coarser grid
+        level -= 1
+    placed = boxed().drop("grid")
+    sides = placed.select("range", "items", "box", "open", "__stands", F.posexplode("unit").alias("at", "x")).groupBy("range", "items", "box", "at").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("__stands").alias("n"), F.max("open").alias("open"))
+    boxes = sides.groupBy("range", "items", "box").agg(F.sort_array(F.collect_list(F.struct("at", "lo", "hi"))).alias("s"), F.max("n").alias("n"), F.max("open").alias("open"))
+    cells = boxes.select("range", "items", "box", F.transform("s", lambda x: x["lo"]).alias("lo"), F.transform("s", lambda x: x["hi"]).alias("hi"), "n", "open").limit(most + 1).collect()
     patterns = {p: i for i, p in enumerate(sorted({tuple(c["items"]) for c in cells}))}
-    if len(cells) > MAX_CELLS or len(patterns) > MAX_PATTERNS or len(cells) * n_items > MAX_ENTRIES:
-        return _every_block(vectors, user, ranges)
+    if len(cells) > most or len(patterns) > MAX_PATTERNS:
+        return _every_block(vectors.drop("open"), vectors.filter("open").drop("open"), user, ranges)
     cells.sort(key=lambda c: (c["range"], c["items"], c["box"]))
     held = Boxes(cells, n_items)
 
@@ -141,11 +146,13 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
     table = pa.table({
         "range": pa.array([c["range"] for c in cells], pa.int32()), "items": pa.array([list(c["items"]) for c in cells], pa.list_(pa.int32())),
         "box": pa.array([list(c["box"]) for c in cells], pa.list_(pa.int64())), "cell": pa.array(range(len(cells)), pa.int64()), "pattern": pa.array([patterns[tuple(c["items"])] for c in cells], pa.int32()),
+        "asks": pa.array([c["open"] for c in cells], pa.bool_()),
     })
     numbers = spark.createDataFrame(table)  # at most MAX_CELLS rows, as the other two local tables are bounded
-    rows = placed.join(F.broadcast(numbers), ["range", "items", "box"]).select(*held_columns, "cell", "pattern")
-    near = stored(spark.range(len(cells)).repartition(max(1, len(cells) // 64)).mapInArrow(pairs, "block long, cell long"))
-    asks = rows.select(*held_columns, F.col("cell").alias("block"), F.lit(1).alias("lead"))
+    rows = placed.join(F.broadcast(numbers), ["range", "items", "box"]).select(*held_columns, "open", "cell", "pattern")
+    leading = numbers.filter("asks")
+    near = stored(leading.select(F.col("cell").alias("id")).repartition(max(1, len(cells) // 64)).mapInArrow(pairs, "block long, cell long"))
+    asks = rows.filter("open").select(*held_columns, F.col("cell").alias("block"), F.lit(1).alias("lead"))
     meets = rows.join(near, "cell").select(*held_columns, "block", F.lit(0).alias("lead"))
     out = asks.unionByName(meets)
     single = [(p, q, (set(a) & set(b)).pop()) for a, p in patterns.items() for b, q in patterns.items() if len(set(a) & set(b)) == 1]
@@ -153,6 +160,6 @@ def meetings(vectors: DataFrame, user: str, k: int, size: int, n_items: int) ->
         told = spark.createDataFrame(pa.table({n: pa.array([s[i] for s in single], pa.int32()) for i, n in enumerate(("__mine", "pattern", "item"))}))
         tall = rows.select(user, "pattern", F.explode(F.arrays_zip("items", "values")).alias("s")).select(user, "pattern", F.col("s.items").alias("item"), F.signum(F.col("s.values.r")).alias("sign"))
         first = tall.withColumn("__row", F.row_number().over(W.partitionBy("pattern", "item", "sign").orderBy(user))).filter(F.col("__row") <= k + 1)
-        sent = first.select(user, "pattern", "item").join(F.broadcast(told), ["pattern", "item"]).join(F.broadcast(numbers.select(F.col("cell").alias("block"), F.col("pattern").alias("__mine"))), "__mine")
+        sent = first.select(user, "pattern", "item").join(F.broadcast(told), ["pattern", "item"]).join(F.broadcast(leading.select(F.col("cell").alias("block"), F.col("pattern").alias("__mine"))), "__mine")
         out = out.unionByName(rows.join(sent.select(user, "block"), user).select(*held_columns, "block", F.lit(0).alias("lead")))
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from tillweave.functions.hashing import uniform
-from tillweave.operators import cones
+from tillweave.operators import cones, early
 from tillweave.sources.scratch import stored
 
 
@@ -42,34 +43,40 @@ def bias_baseline(ratings: DataFrame, user: str, item: str, rating: str) -> Data
     return pairs.select(user, item, (F.col("mu") + (F.col("mean_u") - F.col("mu")) + (F.col("mean_i") - F.col("mu"))).alias("prediction"))
 
 
-def _numbered(ratings: DataFrame, item: str) -> DataFrame:
+def _items(ratings: DataFrame, item: str) -> DataFrame:
     """Items are few; they are numbered in name order."""
-    items = ratings.select(item).distinct().withColumn("item_no", (F.row_number().over(W.orderBy(item)) - 1).cast("int"))
-    return ratings.join(F.broadcast(items), item)
+    return ratings.select(item).distinct().withColumn("item_no", (F.row_number().over(W.orderBy(item)) - 1).cast("int"))
 
 
 def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind: str = "basic", hot: int = 512) -> DataFrame:
     """user, item, prediction from the k most alike users who rated the item.
 
     kind: 'basic', 'means' or 'zscore'. Alike is the cosine over all items that both rated, to twelve places;
-    of equals the smaller users come first. Users with the same ratings are one vector, which its k + 1 smallest users
-    stand for, as no other of them can be among anyone's nearest. Vectors lie in cells of about `hot`; each cell reads
-    the vectors of all users that can be among the nearest of its own (cones.meetings), once, and holds the best k + 1
-    so far: hot x items x (k + 1) neighbours. A user's own place among them is left out at the end.
+    of equals the smaller users come first. Users whose nearest all lie at cosine 1 are settled first (early.settle). For the
+    others users with the same ratings are one vector, which its k + 1 smallest users stand for, as no other of them can be
+    among anyone's nearest. Vectors lie in cells of about `hot`; each cell reads the vectors of all users that can be among
+    the nearest of its own (cones.meetings), once, and holds the best k + 1 so far: hot x items x (k + 1) neighbours. A
+    user's own place among them is left out at the end.
     Null ratings are left out; where all weights are 0 the prediction is null."""
     known = stored(ratings.select(user, item, F.col(rating).cast("double").alias("r")).dropna())
-    stats = known.groupBy(user).agg(F.avg("r").alias("m"), F.coalesce(F.stddev_pop("r"), F.lit(0.0)).alias("s"))
     shift = F.lit(0.0) if kind == "basic" else F.col("m")
     scale = F.when(F.col("s") > 0, F.col("s")).otherwise(1.0) if kind == "zscore" else F.lit(1.0)
-    x = _numbered(known, item).join(stats, user).withColumn("z", (F.col("r") - shift) / scale)
-    names = x.select(item, "item_no").distinct()
+    names = _items(known, item)
     n_items = names.count()
-    listed = x.groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item_no", "r", "z"))).alias("rows"))
+    listed = known.join(F.broadcast(names), item).groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item_no", "r"))).alias("rows"), F.avg("r").alias("m"), F.coalesce(F.stddev_pop("r"), F.lit(0.0)).alias("s"))
+    people = stored(listed.select(user, F.transform("rows", lambda v: v["item_no"]).alias("items"), F.transform("rows", lambda v: F.struct(v["r"].alias("r"), ((v["r"] - shift) / scale).alias("z"))).alias("values"), "m", "s"))
+    done, others = early.settle(people, user, k, n_items)
+    cells = None if others is None else _by_cells(others, user, k, hot, n_items)
+    return reduce(DataFrame.unionByName, (x for x in (done, cells) if x is not None)).join(F.broadcast(names), "item_no").select(user, item, (F.col("p") * scale + shift).alias("prediction"))
+
+
+def _by_cells(people: DataFrame, user: str, k: int, hot: int, n_items: int) -> DataFrame:
+    """user, item_no, p, m and s of the open users, whose nearest are sought in cells among all users."""
     alike = W.partitionBy("items", "__r").orderBy(user)
-    people = listed.select(user, F.transform("rows", lambda v: v["item_no"]).alias("items"), F.transform("rows", lambda v: v["r"]).alias("__r"), F.transform("rows", lambda v: F.struct(v["r"].alias("r"), v["z"].alias("z"))).alias("values"))
+    people = people.withColumn("__r", F.transform("values", lambda v: v["r"]))
     people = stored(people.withColumns({"__first": F.first(user).over(alike), "__nth": F.row_number().over(alike)}))
     peers = people.filter(F.col("__nth") <= k + 1).groupBy("__first").agg(F.sort_array(F.collect_list(user)).alias("peers"))
-    vectors = stored(people.filter("__nth = 1").select(user, "items", "values").join(peers.withColumnRenamed("__first", user), user))
+    vectors = stored(people.filter("__nth = 1").select(user, "items", "values", "open").join(peers.withColumnRenamed("__first", user), user))
     rows = cones.meetings(vectors, user, k, hot, n_items).repartition("block").sortWithinPartitions("block", F.desc("lead"), user)
 
     def best(batches):
@@ -168,13 +175,13 @@ def knn(ratings: DataFrame, user: str, item: str, rating: str, k: int = 20, kind
         if state:
             yield from done(state)
 
-    kind = known.schema[user].dataType
+    kind = people.schema[user].dataType
     fields = {"__first": kind, "item_no": IntegerType(), "p": DoubleType(), "own": ArrayType(kind), "own_p": ArrayType(DoubleType()), "own_known": ArrayType(BooleanType())}
-    found = rows.mapInArrow(best, StructType([StructField(n, t) for n, t in fields.items()])).join(F.broadcast(names), "item_no")
-    pred = people.select(user, "__first").join(found, "__first").withColumn("__at", F.array_position("own", F.col(user)).cast("int"))
+    found = rows.mapInArrow(best, StructType([StructField(n, t) for n, t in fields.items()]))
+    pred = people.filter("open").select(user, "__first", "m", "s").join(found, "__first").withColumn("__at", F.array_position("own", F.col(user)).cast("int"))
     of_own = lambda c: F.get(c, F.col("__at") - 1)
     pred = pred.filter((F.col("__at") == 0) | of_own("own_known")).withColumn("p", F.when(F.col("__at") > 0, of_own("own_p")).otherwise(F.col("p")))
-    return pred.join(stats, user).select(user, item, (F.col("p") * scale + shift).alias("prediction"))
+    return pred.select(user, "item_no", "p", "m", "s")
 
 
 def fold_of(key: str, k: int, seed: int = 42) -> Column:
