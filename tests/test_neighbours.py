@@ -112,7 +112,7 @@ def test_users_at_cosine_one_need_no_cells(spark, monkeypatch, kind, seed, odd):
     assert not led if not odd else 0 < led[0][0] <= odd
 
 
-@pytest.mark.parametrize("most", [0, 30, 10_000])
+@pytest.mark.parametrize("most", [0, 70, 30_000])
 def test_users_beyond_the_early_ones_go_to_cells(spark, monkeypatch, most):
     """Which users are settled early is a matter of cost: the results are the same with none, with some and with all."""
     rows = shoppers(5, 150)

@@ -4,7 +4,7 @@ Users who share one item with a user, rated with the same sign, have cosine 1 wi
 the smaller users come first. So where k + 1 such users have rated an item, only users up to the last of these can be among
 the nearest k, and of the others of them only those whose cosine is 1 to twelve places. What is said of a user depends on its
 class (rated items and signs) but for these exact hits. Classes for which this holds at every item they reach are settled
-here: each user meets the early ones (at most MAX_EARLY, sent with the code), nothing is shuffled. The rest are open.
+here: each user meets the early ones (of bounded number, sent with the code), nothing is shuffled. The rest are open.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from tillweave.functions.shipping import ship
 
 ship(__name__)
 
-#: Classes and early users at most (what goes beyond is open), pairs of one step, and how far below 1 a cosine is worked out in full.
-MAX_CLASSES, MAX_EARLY, PAIRS, NEAR = 512, 20_000, 1 << 22, 1e-9
+#: Classes, and early users times items, at most (what goes beyond is open), pairs of one step, and how far below 1 a cosine is worked out in full.
+MAX_CLASSES, MAX_EARLY, PAIRS, NEAR = 512, 1 << 19, 1 << 22, 1e-9
 #: Ratings whose squares and their products neither overflow nor vanish; with others no class is settled.
 SMALLEST, LARGEST, ODD = 1e-70, 1e70, 9
 
@@ -68,7 +68,7 @@ def settle(people: DataFrame, user: str, k: int, n_items: int) -> tuple[DataFram
     if not steps:
         return all_open
     upto = dict(zip(steps, people.agg(*(F.count(F.when(F.col(user) <= u, 1)) for u in steps)).first(), strict=True))
-    limits = {p: u for p, u in limits.items() if upto[u] <= MAX_EARLY}
+    limits = {p: u for p, u in limits.items() if upto[u] * n_items <= MAX_EARLY}
     if not limits:
         return all_open
     early = signed.filter(F.col(user) <= max(limits.values())).select(user, "items", "signs", "values").orderBy(user).toArrow().combine_chunks()
